@@ -30,7 +30,7 @@ def canonical(frame: pd.DataFrame) -> pd.DataFrame:
     frame = frame[sorted(frame.columns)]
 
     def text(value: object) -> str:
-        if value is None or value is pd.NaT or (isinstance(value, float) and value != value):
+        if value is None or value is pd.NaT or value is pd.NA or (isinstance(value, float) and value != value):
             return "~"
         if isinstance(value, float) and value.is_integer():
             return str(int(value))

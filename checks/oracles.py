@@ -224,11 +224,11 @@ ORACLES: dict[str, str] = {
     "paginate": _PAGES + "SELECT item_no, position, CAST((position - 1) // 10 + 1 AS BIGINT) AS page FROM placed",
     "listing_stop": _stops(40)
     + """SELECT p.stream_id, page, CAST(CASE WHEN stop_page IS NULL OR page < stop_page OR stop_reason = 'short'
-           THEN n_items ELSE 0 END AS BIGINT) AS items_kept, stop_page, stop_reason
+           THEN n_items ELSE 0 END AS BIGINT) AS items_kept, CAST(stop_page AS VARCHAR) AS stop_page, stop_reason
          FROM page_log p LEFT JOIN stops s ON s.stream_id = p.stream_id
          WHERE stop_page IS NULL OR page < stop_page OR (page = stop_page AND stop_reason <> 'max_pages')""",
     "listing_stop_points": _stops(None)
-    + """SELECT r.stream_id, stop_page, stop_reason FROM reached r LEFT JOIN stops s ON s.stream_id = r.stream_id""",
+    + """SELECT r.stream_id, CAST(stop_page AS VARCHAR) AS stop_page, stop_reason FROM reached r LEFT JOIN stops s ON s.stream_id = r.stream_id""",
     "max_pages": ctes("page_log") + "SELECT stream_id, page, n_items FROM page_log WHERE page <= 7",
     "listing_sort": ctes("listing")
     + PARSED
@@ -255,7 +255,7 @@ ORACLES: dict[str, str] = {
     + """SELECT item_no, akn_uri, folder_path AS target_folder FROM parsed
          WHERE ok AND akn_uri NOT IN (SELECT akn_uri FROM completed)
            AND folder_path NOT IN (SELECT folder_path FROM inventory)""",
-    "final_response": ctes("attempts") + _FINAL + "SELECT * FROM final",
+    "final_response": ctes("attempts") + _FINAL + "SELECT * REPLACE (CAST(http_status AS VARCHAR) AS http_status) FROM final",
     "document_outcome": ctes("listing", "inventory", "attempts")
     + PARSED
     + _FINAL
@@ -323,7 +323,7 @@ ORACLES: dict[str, str] = {
         CASE WHEN ok THEN make_date(2024, 1 + doc_id % 9, 15) END AS date_issued,
         CASE WHEN ok THEN make_date(2024, 10 + doc_id % 3, 20) END AS date_published,
         CASE WHEN ok THEN 'statute' END AS subtype, CASE WHEN ok THEN n END AS number,
-        CASE WHEN ok THEN lang END AS language, CASE WHEN ok THEN CAST(2015 + doc_id % 8 AS INTEGER) END AS document_year
+        CASE WHEN ok THEN lang END AS language, CASE WHEN ok THEN CAST(2015 + doc_id % 8 AS VARCHAR) END AS document_year
       FROM sound""",
     "crawl_manifest": _CRAWL + "SELECT * FROM listed",
     "crawl_report": _CRAWL

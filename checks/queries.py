@@ -181,12 +181,13 @@ def paginate(spark, sf):
 @query
 def listing_stop(spark, sf):
     kept = S.listing_stop(derive(spark, sf, "page_log"), limit=10, max_pages=40)
-    return kept.select("stream_id", "page", "items_kept", "stop_page", "stop_reason")
+    return kept.select("stream_id", "page", "items_kept", F.col("stop_page").cast("string"), "stop_reason")
 
 
 @query
 def listing_stop_points(spark, sf):
-    return S.stop_points(derive(spark, sf, "page_log"), limit=10)
+    stops = S.stop_points(derive(spark, sf, "page_log"), limit=10)
+    return stops.select("stream_id", F.col("stop_page").cast("string"), "stop_reason")
 
 
 @query
@@ -248,7 +249,9 @@ def dry_run_plan(spark, sf):
 
 @query
 def final_response(spark, sf):
-    return O.final_responses(derive(spark, sf, "attempts"))
+    # Nullable numbers are compared as text.
+    final = O.final_responses(derive(spark, sf, "attempts"))
+    return final.withColumn("http_status", F.col("http_status").cast("string"))
 
 
 def _outcomes(spark, sf) -> DataFrame:
@@ -366,7 +369,8 @@ def media_collisions(spark, sf):
 
 @query
 def frbr_metadata(spark, sf):
-    return X.frbr_metadata(derive(spark, sf, "xml_corpus").select("doc_id", "xml"))
+    metadata = X.frbr_metadata(derive(spark, sf, "xml_corpus").select("doc_id", "xml"))
+    return metadata.withColumn("document_year", F.col("document_year").cast("string"))
 
 
 # -- whole run --------------------------------------------------------------

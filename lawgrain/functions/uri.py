@@ -39,15 +39,17 @@ def normalise_path(uri: Column, base_path: str) -> Column:
     goes, and so does what stands before the last `base_path`, or that itself.
     Other text is only decoded.
     """
-    # URL parsers drop these three characters wherever they stand.
-    url = F.translate(uri, "\t\r\n", "")
+    # URL parsers drop these three characters wherever they stand; they are
+    # rare, and looking for them is much cheaper than rewriting every URI.
+    blanks = [F.contains(uri, F.lit(blank)) for blank in "\t\r\n"]
+    url = F.when(blanks[0] | blanks[1] | blanks[2], F.translate(uri, "\t\r\n", "")).otherwise(uri)
     from_url = F.substring_index(percent_decode(F.regexp_extract(url, URL_PATH, 1)), base_path, -1)
     return F.when(F.startswith(uri, F.lit("http")), from_url).otherwise(percent_decode(uri))
 
 
 def key_of_path(path: Column) -> Column:
     """Document key of a decoded path: what follows `/akn/fi/`, NULL if it names none."""
-    return F.nullif(F.regexp_extract(path, DOCUMENT_PATH, 1), F.lit(""))
+    return F.get(F.regexp_extract_all(path, F.lit(DOCUMENT_PATH), F.lit(1)), F.lit(0))
 
 
 def document_key(uri: Column, base_path: str) -> Column:
@@ -56,23 +58,24 @@ def document_key(uri: Column, base_path: str) -> Column:
 
 
 def document_info(key: Column) -> Column:
-    """Components of a document key as a struct, NULL for NULL."""
-    part = F.split(key, "/")
-
-    def at(index: int) -> Column:
-        return F.element_at(part, index)
-
-    return F.when(
-        key.isNotNull(),
-        F.struct(
-            at(1).alias("category"),
-            at(2).alias("document_type"),
-            F.when(F.size(part) == 6, at(3)).alias("authority"),
-            at(-3).alias("year"),
-            at(-2).alias("number"),
-            at(-1).alias("lang_and_version"),
-        ),
-    )
+    """Components of a document key as a struct, NULL for NULL.
+
+    The one-element array binds the split key, so that it is made once for all
+    components; a conditional would make it again in each.
+    """
+
+    def info(part: Column) -> Column:
+        return F.struct(
+            F.element_at(part, 1).alias("category"),
+            F.element_at(part, 2).alias("document_type"),
+            F.when(F.size(part) == 6, F.element_at(part, 3)).alias("authority"),
+            F.element_at(part, -3).alias("year"),
+            F.element_at(part, -2).alias("number"),
+            F.element_at(part, -1).alias("lang_and_version"),
+        )
+
+    parts = F.filter(F.array(F.split(key, "/")), lambda part: part.isNotNull())
+    return F.get(F.transform(parts, info), F.lit(0))
 
 
 def parse_uri(uri: Column, base_path: str) -> Column:
@@ -175,7 +178,7 @@ def register_sql_functions(spark: SparkSession, base_path: str) -> None:
             "ELSE akn_percent_decode(uri) END"
         ),
         "akn_key(uri STRING) RETURNS STRING": (
-            f"nullif(regexp_extract(akn_path(uri), r'{DOCUMENT_PATH}', 1), '')"
+            f"get(regexp_extract_all(akn_path(uri), r'{DOCUMENT_PATH}', 1), 0)"
         ),
         f"akn_key_info(k STRING, p ARRAY<STRING>) RETURNS {info}": (
             "CASE WHEN k IS NOT NULL THEN named_struct('category', element_at(p, 1), "

@@ -15,8 +15,14 @@ MAX_ITEMS = 1 << 50
 
 
 def with_document_key(listing: DataFrame, base_path: str, uri: str = "akn_uri") -> DataFrame:
-    """Add `document_key`, NULL where the URI cannot be parsed."""
-    return listing.withColumn("document_key", U.document_key(F.col(uri), base_path))
+    """Add `document_key`, NULL where the URI cannot be parsed.
+
+    The key comes out of a one-element explode. A plain projection would be
+    substituted into every later filter and join condition and the URI parsed
+    again in each; a generated column is computed once per row, and the stage
+    stays compiled as a whole.
+    """
+    return listing.select("*", F.explode(F.array(U.document_key(F.col(uri), base_path))).alias("document_key"))
 
 
 def with_paths(keyed: DataFrame) -> DataFrame:
@@ -71,39 +77,51 @@ def filter_category(listing: DataFrame, categories: tuple[str, ...] | list[str]
     return listing.where(keep)
 
 
-def _window_condition(params: CrawlParams, requested: str, year: Column) -> Column:
-    start, end = params.year_window(requested)
-    checks = [F.lit(True)]
-    # A bound of 0 is not applied.
-    if start:
-        checks.append(year >= start)
-    if end:
-        checks.append(year <= end)
-    return (F.col("requested") == requested) & reduce(lambda a, b: a & b, checks)
-
-
 def filter_year_window(
     scoped: DataFrame, params: CrawlParams, year: str | None = None, keep_unparsed: bool = False
 ) -> DataFrame:
     """Rows whose year lies in the window of the request that reached them.
 
-    The year is that of the document key, or the column named: the bounds are
-    constants, so on a listing stored by year the filter prunes partitions.
-    Rows without a year go unless `keep_unparsed`.
+    The year is that of the document key, or the column named: the widest
+    window is a pair of constants, so on a listing stored by year it prunes
+    partitions. Rows without a year go unless `keep_unparsed`.
     """
     column = U.key_year(F.col("document_key")) if year is None else F.col(year)
-    names = dict.fromkeys(params.categories)
-    keep = reduce(
-        lambda a, b: a | b, [_window_condition(params, name, column) for name in names], F.lit(False)
-    )
-    return scoped.where(keep | column.isNull() if keep_unparsed else keep)
+    windows = {name: params.year_window(name) for name in dict.fromkeys(params.categories)}
+    if not windows:
+        return scoped.where(F.lit(False))
+    # A bound of 0 is not applied.
+    starts = {name: start if start else None for name, (start, _) in windows.items()}
+    ends = {name: end if end else None for name, (_, end) in windows.items()}
+
+    def bound(by_request: dict[str, int | None]) -> Column:
+        chosen = F
+        for name, value in by_request.items():
+            chosen = chosen.when(F.col("requested") == name, F.lit(value).cast("int"))
+        return chosen.otherwise(F.lit(None).cast("int"))
+
+    inside = F.lit(True)
+    for by_request, constant, compare in (
+        (starts, min, lambda limit: column >= limit),
+        (ends, max, lambda limit: column <= limit),
+    ):
+        values = list(by_request.values())
+        if None not in values:
+            # One constant where the requests agree, else also the widest one.
+            inside = inside & compare(F.lit(constant(values)))
+            if len(set(values)) > 1:
+                inside = inside & compare(bound(by_request))
+        elif any(value is not None for value in values):
+            inside = inside & (bound(by_request).isNull() | compare(bound(by_request)))
+    if all(value is None for value in [*starts.values(), *ends.values()]):
+        inside = column.isNotNull() if not keep_unparsed else F.lit(True)
+    return scoped.where(F.coalesce(inside, F.lit(keep_unparsed)) if keep_unparsed else inside)
 
 
 def filter_lang(scoped: DataFrame, lang_and_version: str = "fin@", keep_unparsed: bool = False) -> DataFrame:
     """Rows with the given decoded language and version marker."""
-    marker = U.key_lang(F.col("document_key"))
-    keep = marker == lang_and_version
-    return scoped.where(keep | marker.isNull() if keep_unparsed else keep)
+    keep = U.key_lang(F.col("document_key")) == lang_and_version
+    return scoped.where(F.coalesce(keep, F.lit(True)) if keep_unparsed else keep)
 
 
 def union_listings(first: DataFrame, *others: DataFrame) -> DataFrame:
