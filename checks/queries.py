@@ -240,7 +240,8 @@ def existing_documents(spark, sf):
 
 @query
 def dry_run_plan(spark, sf):
-    work = S.with_document_info(W.worklist(_listing(spark, sf), derive(spark, sf, "completed")), BASE_PATH)
+    parsed = S.with_document_key(_listing(spark, sf), BASE_PATH).where("document_key IS NOT NULL")
+    work = S.with_paths(W.worklist(parsed, derive(spark, sf, "completed")))
     return W.dry_run_plan(work, derive(spark, sf, "inventory"))
 
 
@@ -446,7 +447,7 @@ def read_completed(spark, sf):
     entries = derive(spark, sf, "manifest")
     G.write_completed(entries.where("status = 'success'"), path, "first")
     G.write_completed(entries.where("status <> 'success'"), path, "second")
-    return G.read_completed(spark, path)
+    return G.read_completed(spark, path).distinct()
 
 
 @query

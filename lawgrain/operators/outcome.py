@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lawgrain.functions import http as H
 from lawgrain.functions import uri as U
+from lawgrain.operators.joins import attach
 from lawgrain.params import ASSET_KINDS, MAX_RETRIES, CrawlParams
 
 # Request suffix, stored name and accept type of each kind.
@@ -182,7 +183,7 @@ def document_outcome(
     ZIP, media, then by path.
     """
     folder = F.concat(F.lit(f"{params.output_dir}/"), "folder_path", F.lit("/"))
-    joined = work.join(by_document, uri, "left").withColumn("outcome", outcome_status(params))
+    joined = attach(work, by_document, uri).withColumn("outcome", outcome_status(params))
     outcome = F.col("outcome")
     files = (
         F.when(outcome == "success", F.transform("stored", lambda file: F.concat(folder, file["name"])))

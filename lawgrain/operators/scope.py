@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -159,7 +160,7 @@ STOP_REASONS = ("max_pages", "http_error", "bad_json", "empty", "short")
 
 
 def stop_points(
-    page_log: DataFrame, limit: int = 10, max_pages: int | None = None, stream: str = "stream_id"
+    page_log: DataFrame, limit: int = 10, max_pages: int | None = None, stream: Sequence[str] = ("stream_id",)
 ) -> DataFrame:
     """One row per stream: the page its listing stops at, and why.
 
@@ -182,28 +183,29 @@ def stop_points(
             F.coalesce(reason, F.when(page == max_pages, F.lit(0)))
         )
         at = F.when(reason == 0, past).otherwise(page)
-    events = page_log.select(stream, at.cast("bigint").alias("_at"), reason.alias("_reason"))
-    stops = events.groupBy(stream).agg(
-        F.min(F.when(F.col("_reason").isNotNull(), F.col("_at"))).alias("stop_page"),
-        F.min_by("_reason", F.when(F.col("_reason").isNotNull(), F.col("_at"))).alias("_code"),
+    events = page_log.select(*stream, at.cast("bigint").alias("_at"), reason.alias("_reason"))
+    stopped_at = F.when(F.col("_reason").isNotNull(), F.col("_at"))
+    stops = events.groupBy(*stream).agg(
+        F.min(stopped_at).alias("stop_page"), F.min_by("_reason", stopped_at).alias("_code")
     )
     names = F.array(*[F.lit(name) for name in STOP_REASONS])
-    return stops.select(stream, "stop_page", F.get(names, F.col("_code")).alias("stop_reason"))
+    return stops.select(*stream, "stop_page", F.get(names, F.col("_code")).alias("stop_reason"))
 
 
 def listing_stop(
-    page_log: DataFrame, limit: int = 10, max_pages: int | None = None, stream: str = "stream_id"
+    page_log: DataFrame, limit: int = 10, max_pages: int | None = None, stream: Sequence[str] = ("stream_id",)
 ) -> DataFrame:
     """Pages up to the stop of their stream, with the items each contributes.
 
     `items_kept` is the page's items before the stop and on a `short` stop
-    page, else 0. Later pages are dropped.
+    page, else 0. Later pages are dropped. The stops are one small row per
+    stream; Spark broadcasts them by their size.
     """
     stops = stop_points(page_log, limit, max_pages, stream)
     page, stop = F.col("page"), F.col("stop_page")
     kept = F.when(stop.isNull() | (page < stop) | (F.col("stop_reason") == "short"), F.col("n_items"))
     return (
-        page_log.join(stops, stream)
+        page_log.join(stops, list(stream))
         .where(stop.isNull() | (page <= stop))
         .where(~F.col("stop_reason").eqNullSafe("max_pages") | (page < stop))
         .withColumn("items_kept", F.coalesce(kept, F.lit(0)).cast("bigint"))

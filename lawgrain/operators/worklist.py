@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from lawgrain.operators.joins import attach
 from lawgrain.params import COMPLETED_STATUSES
 
 
@@ -11,8 +12,8 @@ def worklist(listing: DataFrame, completed: DataFrame, resume: bool = True, uri:
     """Listing rows whose URI is not completed; all rows when not resuming.
 
     An anti join on the URI. Its left side may hold one URI very often (a
-    missing URI, say): the join then splits that partition at run time, since
-    every URI is at most once on the right.
+    missing URI, say): the join then splits that partition at run time. It does
+    not matter whether `completed` holds a URI once or several times.
     """
     if not resume:
         return listing
@@ -62,7 +63,7 @@ def in_run_dedup(
         .agg(F.min(order).alias("_first_done"))
     )
     return (
-        outcomes.join(first_done, uri, "left")
+        attach(outcomes, first_done, uri)
         .where(F.col("_first_done").isNull() | (F.col(order) <= F.col("_first_done")))
         .select(*outcomes.columns)
     )

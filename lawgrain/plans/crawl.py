@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lawgrain.operators import manifest as M
 from lawgrain.operators import outcome as O
 from lawgrain.operators import scope as S
 from lawgrain.operators import worklist as W
+from lawgrain.operators.joins import attach
 from lawgrain.params import COMPLETED_STATUSES, CrawlParams
+from lawgrain.session import staged
+from lawgrain.sources import landing as L
 
 
 @dataclass(frozen=True)
@@ -40,37 +43,115 @@ def scoped_listing(listing: DataFrame, params: CrawlParams) -> DataFrame:
     return S.filter_lang(scoped, params.lang_and_version, keep_unparsed=True)
 
 
+def listed_items(pages: DataFrame, params: CrawlParams) -> DataFrame:
+    """Listing rows of the pages a paging loop would have read.
+
+    `pages` is `pages_from_bodies`. Each listing ends at its first failed,
+    unreadable, empty or short page or after `max_pages`; pages behind that,
+    left over from another run, do not count. The log the stops come from does
+    not carry the items.
+    """
+    stream = ("category", "document_type")
+    stops = S.stop_points(L.page_log(pages), params.limit, params.max_pages, stream)
+    page, stop = F.col("page"), F.col("stop_page")
+    read = stop.isNull() | (page < stop) | ((page == stop) & (F.col("stop_reason") == "short"))
+    return L.items_from_pages(pages.join(stops, list(stream)).where(read))
+
+
 def pending_documents(tables: LandingTables, params: CrawlParams) -> DataFrame:
     """What a run would fetch and where to, per listed document."""
-    work = W.worklist(scoped_listing(tables.listing, params), tables.completed, params.resume)
+    parsed = scoped_listing(tables.listing, params).where(F.col("document_key").isNotNull())
+    work = W.worklist(parsed, tables.completed, params.resume and not params.reset)
     inventory = tables.inventory if not params.force else tables.inventory.where(F.lit(False))
     return W.dry_run_plan(S.with_paths(work), inventory, params.output_dir)
 
 
-def crawl_manifest(tables: LandingTables, params: CrawlParams, run_timestamp: str) -> DataFrame:
-    """Manifest entries of one run.
+def document_outcomes(tables: LandingTables, params: CrawlParams, run_timestamp: str) -> DataFrame:
+    """One row per listed URI that is parsed and not completed: what a run makes of it.
 
     Everything about a document hangs on its URI, so the joins run on one row
     per URI. That row comes from an aggregate that combines on the map side,
-    which takes the weight off a URI listed very often. Only then do the
-    listing rows come back: a completed URI gives one entry, a failing or
-    undecided one an entry for each time it is listed.
+    which takes the weight off a URI listed very often. Adds `first_item`,
+    `n_items` (times listed) and `stored_from`: the item of this run that
+    stored the document's folder first, where several URIs lead to one folder.
     """
-    items = scoped_listing(tables.listing, params).select("akn_uri", "run_order")
-    uris = items.groupBy("akn_uri").agg(F.min("run_order").alias("item_no"))
+    items = scoped_listing(tables.listing, params).where(F.col("document_key").isNotNull())
+    uris = items.groupBy("akn_uri").agg(F.min("run_order").alias("item_no"), F.count("*").alias("n_items"))
     work = W.worklist(uris, tables.completed, params.resume and not params.reset)
     work = S.with_paths(S.with_document_key(work, params.base_path))
     work = W.with_existing(work, tables.inventory, params.force)
     by_document = O.responses_by_document(O.final_responses(tables.attempts), params)
-    outcomes = O.document_outcome(work, by_document, params)
-    decided = M.manifest_rows(outcomes, run_timestamp).withColumnRenamed("item_no", "_first")
-    done = F.col("status").isin(*COMPLETED_STATUSES)
-    return (
-        items.join(decided, "akn_uri")
-        .where(~done | (F.col("run_order") == F.col("_first")))
-        .select(F.col("run_order").alias("item_no"), "akn_uri", "status", "timestamp", "files", "error")
+    outcomes = O.document_outcome(work, by_document, params).select(
+        "akn_uri",
+        F.col("item_no").alias("first_item"),
+        "n_items",
+        "folder_path",
+        F.col("outcome").alias("status"),
+        F.coalesce("first_ts", F.to_timestamp_ntz(F.lit(run_timestamp))).alias("timestamp"),
+        "files",
+        "error",
+    )
+    if params.force or params.dry_run:
+        # The store is not looked at, or nothing is stored.
+        return outcomes.withColumn("stored_from", F.lit(None).cast("bigint"))
+    outcomes = staged(outcomes, "outcomes")
+    stored = F.when(F.col("status") == "success", F.col("first_item"))
+    shared = (
+        outcomes.groupBy("folder_path")
+        .agg(F.count("*").alias("_uris"), F.min(stored).alias("stored_from"))
+        .where("_uris > 1 AND stored_from IS NOT NULL")
+        .drop("_uris")
+    )
+    return attach(outcomes, shared, "folder_path")
+
+
+def crawl_manifest(tables: LandingTables, params: CrawlParams, run_timestamp: str) -> DataFrame:
+    """Manifest entries of one run, by `item_no` in the order a loop would write them.
+
+    Rows without a usable URI are errors each by itself and need no join. A
+    completed URI gives one entry. Only URIs that fail and are listed several
+    times go back to the listing: each time gives an entry, until another URI
+    has stored the same folder, after which the next one is skipped.
+    """
+    scoped = scoped_listing(tables.listing, params)
+    stamp = F.to_timestamp_ntz(F.lit(run_timestamp)).alias("timestamp")
+    no_files = F.array().cast("array<string>").alias("files")
+    unparsed = scoped.where(F.col("document_key").isNull()).select(
+        F.col("run_order").alias("item_no"),
+        "akn_uri",
+        F.lit("error").alias("status"),
+        stamp,
+        no_files,
+        F.concat(F.lit("Failed to parse URI: "), "akn_uri").alias("error"),
     )
 
+    outcomes = staged(document_outcomes(tables, params, run_timestamp), "run")
+    main_file = F.array(F.concat(F.lit(f"{params.output_dir}/"), "folder_path", F.lit("/main.xml")))
+    done = F.col("status").isin(*COMPLETED_STATUSES)
+
+    def entries(rows: DataFrame, item: str, skipped: Column) -> DataFrame:
+        return rows.select(
+            F.col(item).alias("item_no"),
+            "akn_uri",
+            F.when(skipped, "skipped").otherwise(F.col("status")).alias("status"),
+            "timestamp",
+            F.when(skipped, main_file).otherwise(F.col("files")).alias("files"),
+            F.when(~skipped, F.col("error")).alias("error"),
+        ).where(F.col("status").isNotNull())
+
+    late = F.coalesce(F.col("first_item") > F.col("stored_from"), F.lit(False))
+    once = F.coalesce(done, F.lit(False)) | late | (F.col("n_items") == 1)
+    single = entries(outcomes.where(once), "first_item", late)
+
+    items = scoped.where(F.col("document_key").isNotNull()).select("akn_uri", "run_order")
+    again = items.join(outcomes.where(~once), "akn_uri")
+    after = F.coalesce(F.col("run_order") > F.col("stored_from"), F.lit(False))
+    failing = entries(again.where(~after), "run_order", F.lit(False))
+    columns = ("akn_uri", "folder_path", "status", "timestamp", "error")
+    first_after = again.where(after).groupBy(*columns).agg(F.min("run_order").alias("run_order"))
+    found = entries(first_after.withColumn("files", no_files), "run_order", F.lit(True))
+    return S.union_listings(unparsed, single, failing, found)
+
 
 def run_report(manifest: DataFrame) -> DataFrame:
     """Summary and exit code over the whole manifest, in one pass."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the jobs are designed for. Deployment sizes (executors, memory,
 # shuffle partitions) belong to spark-submit; AQE coalesces from a high number.
@@ -62,7 +62,12 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Point `DataFrame.checkpoint()` at the shared folder if nothing has yet."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_root(spark))
+def staged(table: DataFrame, label: str) -> DataFrame:
+    """Write a table to the shared folder and read it back.
+
+    Cuts the lineage: what follows is planned on real sizes, reads only the
+    columns it needs and survives the loss of the executors that made it.
+    """
+    path = scratch_dir(table.sparkSession, label)
+    table.write.parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)

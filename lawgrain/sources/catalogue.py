@@ -51,8 +51,8 @@ def write_completed(manifest_entries: DataFrame, root: str, run_id: str) -> None
 
 
 def read_completed(spark: SparkSession, root: str) -> DataFrame:
-    """Distinct completed URIs of all runs."""
-    return spark.read.schema(COMPLETED).parquet(f"{root}/run_id=*").select("akn_uri").distinct()
+    """Completed URIs of all runs; one completed by several runs is there as often."""
+    return spark.read.schema(COMPLETED).parquet(f"{root}/run_id=*").select("akn_uri")
 
 
 def write_progress(progress: DataFrame, root: str, run_id: str) -> None:

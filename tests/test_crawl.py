@@ -7,7 +7,8 @@ import pytest
 
 from lawgrain.params import CrawlParams, requested_types
 from lawgrain.plans import crawl as C
-from lawgrain.schemas import ATTEMPT
+from lawgrain.schemas import ATTEMPT, LIST_PAGE
+from lawgrain.sources import landing as L
 from tests.test_uri import python_key
 
 BASE = "/open/data/v1"
@@ -22,7 +23,7 @@ def world(seed):
     for number in range(260):
         category, kind = draw.choice(TYPES)
         middle = "/agency" if kind == "authority-regulation" and draw.random() < 0.8 else ""
-        uri = f"/akn/fi/{category}/{kind}{middle}/{draw.randint(2020, 2024)}/{draw.randint(1, 12)}/{draw.choice(['fin@', 'fin%40', 'swe@'])}"
+        uri = f"/akn/fi/{category}/{kind}{middle}/{draw.randint(2020, 2024)}/{draw.randint(1, 5)}/{draw.choice(['fin@', 'fin%40', 'swe@'])}"
         if draw.random() < 0.3:
             uri = draw.choice(["", "", "", "junk"])
         listing.append((number, category, kind, uri))
@@ -37,6 +38,7 @@ def world(seed):
 def loop(params, listing, results, completed, stored):
     """(uri, status, error, files) in the order a single-threaded run writes them."""
     done = set(completed) if params.resume and not params.reset else set()
+    stored = set(stored)
     entries = []
     for _, requested, category, kind in requested_types(params.categories):
         start, end = params.year_window(requested)
@@ -66,6 +68,8 @@ def loop(params, listing, results, completed, stored):
             else:
                 entry = ("error", f"Failed to fetch XML: {result}", [])
             entries.append((uri, *entry))
+            if entry[0] == "success":
+                stored.add(key)
             if entry[0] in ("success", "skipped"):
                 done.add(uri)
     return entries
@@ -83,10 +87,11 @@ def loop(params, listing, results, completed, stored):
         {"lang_and_version": "swe@", "years": 2},
     ],
 )
-def test_manifest_of_a_run(spark, more):
+@pytest.mark.parametrize("seed", [17, 18])
+def test_manifest_of_a_run(spark, more, seed):
     options = {"categories": ("act", "judgment", "doc"), "years": 4, **more}
     params = CrawlParams(base_path=BASE, current_year=2024, output_dir="out", **options)
-    listing, results, completed, stored = world(17)
+    listing, results, completed, stored = world(seed)
     log = [
         (uri, "xml", None, 1, r if isinstance(r, int) else None, r if isinstance(r, str) else None, NOW, NOW)
         for uri, r in results.items()
@@ -114,3 +119,26 @@ def test_max_pages_limits_a_paged_listing(spark):
     tables = C.LandingTables(listing, empty, spark.createDataFrame([], "folder_path string"), spark.createDataFrame([], ATTEMPT))
     params = CrawlParams(base_path=BASE, current_year=2024, max_pages=2)
     assert C.pending_documents(tables, params).count() == 20
+
+
+def test_listed_items_follow_the_paging_loop(spark):
+    def body(*numbers):
+        return "[" + ",".join(f'{{"akn_uri": "u{n}", "status": "NEW"}}' for n in numbers) + "]"
+
+    lines = [
+        ("act", "statute", 1, 200, body(1, 2)),
+        ("act", "statute", 2, 200, body(3)),
+        ("act", "statute", 3, 200, body(4, 5)),
+        ("doc", "treaty", 1, 200, body(6, 7)),
+        ("doc", "treaty", 2, 503, body(8, 9)),
+        ("judgment", "kko", 1, 200, "{broken"),
+        ("judgment", "kho", 1, 200, body(10, 11)),
+        ("judgment", "kho", 2, 200, body(12, 13)),
+    ]
+    pages = L.pages_from_bodies(spark.createDataFrame(lines, LIST_PAGE))
+    params = CrawlParams(base_path=BASE, current_year=2024, limit=2)
+    assert [r.akn_uri for r in C.listed_items(pages, params).orderBy("akn_uri").collect()] == [
+        "u1", "u10", "u11", "u12", "u13", "u2", "u3", "u6", "u7",
+    ]
+    capped = CrawlParams(base_path=BASE, current_year=2024, limit=2, max_pages=1)
+    assert sorted(r.akn_uri for r in C.listed_items(pages, capped).collect()) == ["u1", "u10", "u11", "u2", "u6", "u7"]
