@@ -8,6 +8,7 @@ DuckDB; `{orders}` and the like stand for the table.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from lawgrain.session import scratch_dir
 
@@ -179,7 +180,7 @@ STATEMENTS: dict[str, tuple[str, tuple[str, ...]]] = {
 
 
 # Stored tables of this process, by application, table folder and name.
-_STORED: dict[tuple[str, str, str], str] = {}
+_STORED: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 
 # Columns a stored table is partitioned by.
 _PARTITIONED = {"listing": ("category", "document_type")}
@@ -195,12 +196,15 @@ def derive(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         statement, sources = STATEMENTS[name]
         inputs = {source: spark.read.parquet(f"{sf_dir}/{source}.parquet") for source in sources}
         path = scratch_dir(spark, name)
-        writer = spark.sql(statement, **inputs).write
+        # A landing zone has at least a file per core; one driver file would be one task.
+        table = spark.sql(statement, **inputs).repartition(spark.sparkContext.defaultParallelism)
+        writer = table.write
         if name in _PARTITIONED:
             writer = writer.partitionBy(*_PARTITIONED[name])
         writer.parquet(path)
-        _STORED[key] = path
-    return spark.read.parquet(_STORED[key])
+        _STORED[key] = path, table.schema
+    path, schema = _STORED[key]
+    return spark.read.schema(schema).parquet(path)
 
 
 def ctes(*names: str) -> str:

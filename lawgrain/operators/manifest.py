@@ -88,9 +88,10 @@ def manifest_latest(manifest: DataFrame) -> DataFrame:
     """Latest entry per URI, by time and then item number.
 
     The rank is cut at 1, so Spark keeps one row per URI and task before the
-    shuffle; a URI with very many entries arrives as one row per map task.
+    shuffle; a URI with very many entries arrives as one row per map task. The
+    sort is by the URI's hash first, as URIs share long prefixes.
     """
-    latest = Window.partitionBy("akn_uri").orderBy(F.desc("timestamp"), F.desc("item_no"))
+    latest = Window.partitionBy(F.xxhash64("akn_uri"), "akn_uri").orderBy(F.desc("timestamp"), F.desc("item_no"))
     return manifest.withColumn("_rank", F.row_number().over(latest)).where("_rank = 1").drop("_rank")
 
 

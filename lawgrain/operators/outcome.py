@@ -92,13 +92,15 @@ def final_responses(
 
     `exhausted` means that every allowed attempt was made and each called for
     another. The last attempt is found with map-side combining, so no request
-    chain is gathered; a NULL status or exception of that attempt is kept.
+    chain is gathered; a NULL status or exception of that attempt is kept. The
+    exception text makes this a sorting aggregate: the hash of the keys goes
+    first, so that the sort compares numbers and not URIs of one prefix.
     """
     attempt = F.col("attempt")
     retryable = H.is_retryable(F.col("http_status")) | F.col("exception").isNotNull()
     return (
         attempts.where(attempt <= max_retries + 1)
-        .groupBy(*keys)
+        .groupBy(F.xxhash64(*keys).alias("_hash"), *keys)
         .agg(
             F.max_by("http_status", attempt).cast("int").alias("http_status"),
             F.max_by("exception", attempt).alias("exception"),

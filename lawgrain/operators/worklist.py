@@ -17,14 +17,14 @@ def worklist(listing: DataFrame, completed: DataFrame, resume: bool = True, uri:
     """
     if not resume:
         return listing
-    return listing.join(completed.select(uri), uri, "left_anti").select(*listing.columns)
+    return attach(listing, completed.select(uri), uri, "left_anti").select(*listing.columns)
 
 
 def skip_completed(listing: DataFrame, completed: DataFrame, resume: bool = True, uri: str = "akn_uri") -> DataFrame:
     """Listing rows whose URI is completed already; none when not resuming."""
     if not resume:
         return listing.where(F.lit(False))
-    return listing.join(completed.select(uri), uri, "left_semi").select(*listing.columns)
+    return attach(listing, completed.select(uri), uri, "left_semi").select(*listing.columns)
 
 
 def with_existing(rows: DataFrame, inventory: DataFrame, force: bool = False) -> DataFrame:
@@ -37,14 +37,14 @@ def with_existing(rows: DataFrame, inventory: DataFrame, force: bool = False) ->
         return rows.withColumn("exists", F.lit(False))
     stored = inventory.select("folder_path", F.lit(True).alias("exists"))
     return (
-        rows.join(stored, "folder_path", "left")
+        attach(rows, stored, "folder_path")
         .select(*rows.columns, F.coalesce("exists", F.lit(False)).alias("exists"))
     )
 
 
 def existing_documents(rows: DataFrame, inventory: DataFrame) -> DataFrame:
     """Rows whose main XML is in store."""
-    return rows.join(inventory.select("folder_path"), "folder_path", "left_semi").select(*rows.columns)
+    return attach(rows, inventory.select("folder_path"), "folder_path", "left_semi").select(*rows.columns)
 
 
 def in_run_dedup(
@@ -76,6 +76,6 @@ def dry_run_plan(work: DataFrame, inventory: DataFrame, output_dir: str = "") ->
     drop out; repeats of a URI stay, since a dry run completes nothing.
     """
     parsed = work.where(F.col("folder_path").isNotNull())
-    missing = parsed.join(inventory.select("folder_path"), "folder_path", "left_anti")
+    missing = attach(parsed, inventory.select("folder_path"), "folder_path", "left_anti")
     target = F.concat(F.lit(f"{output_dir}/"), "folder_path") if output_dir else F.col("folder_path")
     return missing.select("item_no", "akn_uri", target.alias("target_folder"))

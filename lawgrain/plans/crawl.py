@@ -74,6 +74,7 @@ def document_outcomes(tables: LandingTables, params: CrawlParams, run_timestamp:
     which takes the weight off a URI listed very often. Adds `first_item`,
     `n_items` (times listed) and `stored_from`: the item of this run that
     stored the document's folder first, where several URIs lead to one folder.
+    The rows are stored in the shared folder, as more than one job reads them.
     """
     items = scoped_listing(tables.listing, params).where(F.col("document_key").isNotNull())
     uris = items.groupBy("akn_uri").agg(F.min("run_order").alias("item_no"), F.count("*").alias("n_items"))
@@ -91,10 +92,10 @@ def document_outcomes(tables: LandingTables, params: CrawlParams, run_timestamp:
         "files",
         "error",
     )
+    outcomes = staged(outcomes, "outcomes")
     if params.force or params.dry_run:
         # The store is not looked at, or nothing is stored.
         return outcomes.withColumn("stored_from", F.lit(None).cast("bigint"))
-    outcomes = staged(outcomes, "outcomes")
     stored = F.when(F.col("status") == "success", F.col("first_item"))
     shared = (
         outcomes.groupBy("folder_path")
@@ -102,7 +103,8 @@ def document_outcomes(tables: LandingTables, params: CrawlParams, run_timestamp:
         .where("_uris > 1 AND stored_from IS NOT NULL")
         .drop("_uris")
     )
-    return attach(outcomes, shared, "folder_path")
+    # Few folders are shared: on its stored size Spark plans this as a broadcast.
+    return attach(outcomes, staged(shared, "shared-folders"), "folder_path")
 
 
 def crawl_manifest(tables: LandingTables, params: CrawlParams, run_timestamp: str) -> DataFrame:
@@ -125,7 +127,7 @@ def crawl_manifest(tables: LandingTables, params: CrawlParams, run_timestamp: st
         F.concat(F.lit("Failed to parse URI: "), "akn_uri").alias("error"),
     )
 
-    outcomes = staged(document_outcomes(tables, params, run_timestamp), "run")
+    outcomes = document_outcomes(tables, params, run_timestamp)
     main_file = F.array(F.concat(F.lit(f"{params.output_dir}/"), "folder_path", F.lit("/main.xml")))
     done = F.col("status").isin(*COMPLETED_STATUSES)
 
@@ -144,7 +146,7 @@ def crawl_manifest(tables: LandingTables, params: CrawlParams, run_timestamp: st
     single = entries(outcomes.where(once), "first_item", late)
 
     items = scoped.where(F.col("document_key").isNotNull()).select("akn_uri", "run_order")
-    again = items.join(outcomes.where(~once), "akn_uri")
+    again = attach(items, outcomes.where(~once), "akn_uri", "inner")
     after = F.coalesce(F.col("run_order") > F.col("stored_from"), F.lit(False))
     failing = entries(again.where(~after), "run_order", F.lit(False))
     columns = ("akn_uri", "folder_path", "status", "timestamp", "error")

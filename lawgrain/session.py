@@ -16,6 +16,8 @@ SESSION_CONF = {
     # Split a hot key even where the split costs one more exchange downstream.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Do not record a Python stack for every column expression of a plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Documents differ in size by orders of magnitude: bound Arrow batches by
     # bytes, so that one batch of long documents cannot fill a Python worker.

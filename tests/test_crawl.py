@@ -87,11 +87,10 @@ def loop(params, listing, results, completed, stored):
         {"lang_and_version": "swe@", "years": 2},
     ],
 )
-@pytest.mark.parametrize("seed", [17, 18])
-def test_manifest_of_a_run(spark, more, seed):
+def test_manifest_of_a_run(spark, more):
     options = {"categories": ("act", "judgment", "doc"), "years": 4, **more}
     params = CrawlParams(base_path=BASE, current_year=2024, output_dir="out", **options)
-    listing, results, completed, stored = world(seed)
+    listing, results, completed, stored = world(17)
     log = [
         (uri, "xml", None, 1, r if isinstance(r, int) else None, r if isinstance(r, str) else None, NOW, NOW)
         for uri, r in results.items()
@@ -107,6 +106,9 @@ def test_manifest_of_a_run(spark, more, seed):
     got = [(r.akn_uri, r.status, r.error, r.files) for r in manifest.orderBy("item_no").collect()]
     want = loop(params, listing, results, completed, stored)
     assert got == want
+    if not more:
+        # two URIs of one folder: the second is skipped after the first is stored
+        assert any(status == "skipped" and python_key(uri) not in stored for uri, status, _, _ in want)
     report = C.run_report(manifest).first()
     errors = sum(entry[1] == "error" for entry in want)
     assert (report.total, report.error, report.exit_code) == (len(want), errors, 1 if errors else 0)
