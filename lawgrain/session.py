@@ -43,6 +43,10 @@ def build_session(
     return builder.getOrCreate()
 
 
+# Folders of local sessions without a setting, by application.
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def shared_root(spark: SparkSession) -> str:
     """Shared folder named by the cluster in `spark.checkpoint.dir`.
 
@@ -54,9 +58,10 @@ def shared_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="lawgrain-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[application] = tempfile.mkdtemp(prefix="lawgrain-")
+    return _LOCAL_ROOTS[application]
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
