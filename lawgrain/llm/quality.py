@@ -156,9 +156,8 @@ def _left(text: Column, pattern: str) -> Column:
     return F.regexp_replace(text, pattern, "")
 
 
-def measures(docs: DataFrame, params: QualityParams, id_col: str, text_col: str, lang_col: str) -> DataFrame:
-    """One row of counts per document: the base counts, `classes` and `common`."""
-    text = F.coalesce(docs[text_col], F.lit(""))
+def measure(text: Column, params: QualityParams) -> Column:
+    """Struct of the base counts, `classes` and `common` of a text."""
 
     def of_text(t: Column) -> Column:
         solid = _left(t, SEPARATORS)
@@ -177,8 +176,13 @@ def measures(docs: DataFrame, params: QualityParams, id_col: str, text_col: str,
             ),
         )
 
+    return _bound(F.coalesce(text, F.lit("")), of_text)
+
+
+def measures(docs: DataFrame, params: QualityParams, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    """One row of counts per document."""
     return docs.select(
-        docs[id_col].alias("doc_id"), docs[lang_col].alias("lang"), _bound(text, of_text).alias("m")
+        docs[id_col].alias("doc_id"), docs[lang_col].alias("lang"), measure(docs[text_col], params).alias("m")
     ).select("doc_id", "lang", "m.*")
 
 
@@ -310,3 +314,19 @@ def quality_rules(
     params = params or QualityParams()
     measured = staged(measures(docs, params, id_col, text_col, lang_col), "quality")
     return judge(measured, references(measured, params), params)
+
+
+def keep_good(
+    docs: DataFrame, params: QualityParams | None = None, text_col: str = "text", lang_col: str = "lang"
+) -> DataFrame:
+    """The rows of `docs` that the rules keep, columns unchanged.
+
+    Documents are stored once with their counts, so that nothing has to be joined.
+    """
+    params = params or QualityParams()
+    names = docs.columns
+    rows = docs.select(F.struct(*[docs[c] for c in names]).alias("row"), docs[lang_col].alias("lang"), measure(docs[text_col], params).alias("m"))
+    rows = staged(rows, "quality")
+    refs = references(rows.select("lang", "m.*"), params)
+    judged = judge(rows.select("row", "lang", "m.*"), refs, params)
+    return judged.where("kept").select("row.*")

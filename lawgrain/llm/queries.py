@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lawgrain.llm import quality
+from lawgrain.llm import quality, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,7 +21,13 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.drop("classes", "common", "lang")
 
 
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.simhash_groups(_read(spark, sf_dir, "documents"), shingle=3, radius=2)
+    return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Query] = {
+    "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
 
