@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lawgrain.llm import quality, simhash
+from lawgrain.llm import decontaminate, quality, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,7 +26,12 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_overlaps(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op10_quality_rules": op10_quality_rules,
 }

@@ -16,6 +16,9 @@ SLICE_BYTES = 1 << 20
 SEPARATOR = np.zeros(256, bool)
 SEPARATOR[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
+PUNCTUATION = np.ones(256, bool)
+PUNCTUATION[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
+
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -71,12 +74,22 @@ class Texts:
     def words(self, lower: bool = True) -> "Words":
         return Words(LOWER[self.data] if lower else self.data, self.offsets)
 
+    def tokens(self) -> "Words":
+        """Runs of letters and digits (all beyond ASCII taken as letters), case folded
+        in ASCII and Latin-1."""
+        data = LOWER[self.data]
+        if len(data) > 1:
+            after = data[1:]
+            capital = (data[:-1] == 0xC3) & (after >= 0x80) & (after <= 0x9E) & (after != 0x97)
+            data[1:][capital] += 32
+        return Words(data, self.offsets, PUNCTUATION)
+
 
 class Words:
     """Maximal runs of non-separators; a run never crosses texts."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
-        solid = ~SEPARATOR[data]
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = SEPARATOR):
+        solid = ~separator[data]
         first = np.zeros(len(data) + 1, bool)
         first[offsets] = True
         first = first[: len(data)]
