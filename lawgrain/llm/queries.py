@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lawgrain.llm import decontaminate, quality, simhash
+from lawgrain.llm import decontaminate, pii, quality, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,17 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(_read(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        *pii.counts("base"),
+        F.sha2(pii.joined("base"), 256).alias("base_sha256"),
+        pii.joined("spans").alias("spans"),
+        (F.size("spans") - F.size("base")).cast("long").alias("n_added"),
+    )
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.quality_rules(_read(spark, sf_dir, "documents"))
     return out.drop("classes", "common", "lang")
@@ -33,6 +44,7 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 QUERIES: dict[str, Query] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op5_personal_data": op5_personal_data,
     "op10_quality_rules": op10_quality_rules,
 }
 
