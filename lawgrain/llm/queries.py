@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lawgrain.llm import decontaminate, pii, quality, simhash
+from lawgrain.llm import decontaminate, packing, pii, quality, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,11 @@ def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    params = packing.PackParams(with_ids=False)
+    return packing.pack(_read(spark, sf_dir, "documents"), params)
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.quality_rules(_read(spark, sf_dir, "documents"))
     return out.drop("classes", "common", "lang")
@@ -45,6 +50,7 @@ QUERIES: dict[str, Query] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_personal_data": op5_personal_data,
+    "op8_vector_packing": op8_vector_packing,
     "op10_quality_rules": op10_quality_rules,
 }
 
