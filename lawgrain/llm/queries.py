@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lawgrain.llm import chat, decontaminate, packing, pii, quality, simhash
+from lawgrain.llm import chat, decontaminate, packing, pii, quality, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -80,6 +80,17 @@ def op8_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents"), params)
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score_documents(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+    return scored.select(
+        "doc_id",
+        (~toxicity.in_training(F.col("doc_id"))).alias("held_out"),
+        "score",
+        "predicted",
+        F.size("offending").cast("long").alias("n_offending"),
+    )
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.quality_rules(_read(spark, sf_dir, "documents"))
     return out.drop("classes", "common", "lang")
@@ -100,6 +111,7 @@ QUERIES: dict[str, Query] = {
     "op5_personal_data": op5_personal_data,
     "op7_chat_formatting": op7_chat_formatting,
     "op8_vector_packing": op8_vector_packing,
+    "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
 }
 
