@@ -1,6 +1,7 @@
 """Toxicity by multiple-instance learning: a document is a bag of sentences.
 
-Each sentence has a probability, logistic in the weights of its words; the document's
+Each sentence has a probability, logistic in the weights of its words and of their
+beginnings; the document's
 is their noisy-or, 1 - prod(1 - p). Both the training (labels exist for documents only)
 and the scores go through it, and the sentences behind a score are located.
 
@@ -24,8 +25,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lawgrain.llm.texts import Texts, Words, slices
+from lawgrain.llm.texts import Texts, Words, run_hashes, slices
 
+# Features of a word: itself and its first bytes, so that inflected forms share weight.
+PREFIXES = (4, 5, 6)
+FEATURES = 1 + len(PREFIXES)
 _BREAK = np.zeros(256, np.int64)
 _BREAK[[ord(c) for c in ".!?\n"]] = 1
 
@@ -52,7 +56,7 @@ def sentence_of(words: Words) -> np.ndarray:
 
 @dataclass
 class Bags:
-    """Words of many texts: bucket, sentence of each word; text of each sentence."""
+    """Features of many texts, FEATURES a word: bucket and sentence; text of each sentence."""
 
     bucket: np.ndarray
     sentence: np.ndarray
@@ -63,8 +67,11 @@ class Bags:
         words = texts.tokens()
         sentence = sentence_of(words)
         first = np.flatnonzero(np.diff(sentence, prepend=-1))
-        bucket = (words.hashes() & np.uint64(buckets - 1)).astype(np.int64)
-        return Bags(bucket, sentence, words.text_of()[first]), words
+        hashes = [words.hashes()]
+        for n in PREFIXES:
+            hashes.append(run_hashes(words.data, words.start, np.minimum(words.start + n, words.end)) + np.uint64(n))
+        bucket = (np.column_stack(hashes).ravel() & np.uint64(buckets - 1)).astype(np.int64)
+        return Bags(bucket, np.repeat(sentence, FEATURES), words.text_of()[first]), words
 
 
 @dataclass
@@ -153,7 +160,7 @@ def fit(docs: DataFrame, labels: DataFrame, params: ToxicityParams, id_col: str,
         for batch in batches:
             for part, texts in slices(batch, "text"):
                 bags, words = Bags.of(texts, params.buckets)
-                first = words.first_word
+                first = words.first_word * FEATURES
                 rows = [
                     (bags.bucket[a:b].astype(np.int32), (bags.sentence[a:b] - bags.sentence[a : a + 1]).astype(np.int32))
                     for a, b in zip(first[:-1], first[1:])
@@ -199,8 +206,9 @@ def score_documents(
                 worst = np.flatnonzero(p >= params.threshold)
                 if len(worst):
                     points = np.concatenate(([0], np.cumsum((texts.data & 0xC0) != 0x80)))
-                    begin = words.start[np.searchsorted(bags.sentence, worst, "left")]
-                    end = words.end[np.searchsorted(bags.sentence, worst, "right") - 1]
+                    sentence = bags.sentence[::FEATURES]
+                    begin = words.start[np.searchsorted(sentence, worst, "left")]
+                    end = words.end[np.searchsorted(sentence, worst, "right") - 1]
                     for s, a, b in zip(worst.tolist(), begin.tolist(), end.tolist()):
                         base = points[texts.offsets[bags.text[s]]]
                         offending[bags.text[s]].append(
