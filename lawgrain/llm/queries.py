@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lawgrain.llm import chat, decontaminate, licences, packing, pii, quality, scoring, simhash, toxicity
+from lawgrain.llm import chat, decontaminate, licences, packing, pii, quality, scoring, simhash, substrings, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,10 @@ def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeated_strings(_read(spark, sf_dir, "documents")).drop("starts", "ends")
+
+
 def op3_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan_licences(_read(spark, sf_dir, "documents"))
 
@@ -116,6 +120,7 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 QUERIES: dict[str, Query] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_licence_scan": op3_licence_scan,
     "op5_personal_data": op5_personal_data,
     "op6_lm_scoring": op6_lm_scoring,
