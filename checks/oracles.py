@@ -94,7 +94,7 @@ _CRAWL = (
     + _TYPES
     + f"""
 , scoped AS (
-  SELECT p.* REPLACE (CAST(pass_no AS BIGINT) * 1125899906842624 + item_no AS item_no)
+  SELECT p.* REPLACE (CAST(pass_no AS BIGINT) * 288230376151711744 + item_no AS item_no)
   FROM parsed p JOIN types ON category = t_category AND document_type = t_type
   WHERE (year_int IS NULL OR {_WINDOW}) AND (doc_lang_and_version IS NULL OR doc_lang_and_version = 'fin@')),
 todo AS (SELECT * FROM scoped WHERE akn_uri NOT IN (SELECT akn_uri FROM completed))
@@ -135,8 +135,8 @@ _PAGES = (
 _LIST_PAGES = (
     _PAGES
     + """
-SELECT category, document_type, CAST((position - 1) // 1000 + 1 AS BIGINT) AS page,
-  CAST((position - 1) % 1000 AS BIGINT) AS pos, akn_uri, status FROM placed
+SELECT category, document_type, CAST((position - 1) // 2500 + 1 AS BIGINT) AS page,
+  CAST((position - 1) % 2500 AS BIGINT) AS pos, akn_uri, status FROM placed
 """
 )
 
@@ -180,6 +180,18 @@ progress AS (
 
 _MANIFEST = ctes("manifest")
 
+
+def _sorted(order: str) -> str:
+    return ctes("listing") + PARSED + f"SELECT item_no, akn_uri, row_number() OVER (ORDER BY {order}, item_no) AS place FROM parsed"
+
+
+_GAPS = (
+    ctes("request_log")
+    + """, gaps AS (SELECT * REPLACE (CASE WHEN request_id % 7 <> 0 THEN end_ts END AS end_ts) FROM request_log)
+      SELECT request_id, client_id, CAST(coalesce(greatest(0, 3600000000 - date_diff('microsecond',
+        lag(end_ts) OVER (PARTITION BY client_id ORDER BY start_ts, request_id), start_ts)), 0) AS BIGINT) AS wait_us FROM gaps"""
+)
+
 ORACLES: dict[str, str] = {
     "normalise_path": ctes("listing") + PARSED + "SELECT item_no, path FROM parsed",
     "parse_uri": ctes("listing") + PARSED + f"SELECT item_no, ok AS parsed, {_INFO} FROM parsed",
@@ -230,7 +242,16 @@ ORACLES: dict[str, str] = {
     "listing_stop_points": _stops(None)
     + """SELECT r.stream_id, CAST(stop_page AS VARCHAR) AS stop_page, stop_reason FROM reached r LEFT JOIN stops s ON s.stream_id = r.stream_id""",
     "max_pages": ctes("page_log") + "SELECT stream_id, page, n_items FROM page_log WHERE page <= 7",
-    "listing_sort": ctes("listing")
+    "listing_sort": _sorted("TRY_CAST(doc_number AS BIGINT) DESC NULLS LAST, doc_number DESC NULLS LAST"),
+    "listing_sort_number_up": _sorted("TRY_CAST(doc_number AS BIGINT) ASC NULLS LAST, doc_number ASC NULLS LAST"),
+    "listing_sort_issued": _sorted("date_issued ASC NULLS LAST"),
+    "listing_sort_modified": _sorted("modified DESC NULLS LAST"),
+    "paginate_hashed": ctes("listing")
+    + """, placed AS (
+      SELECT item_no, row_number() OVER (PARTITION BY category, document_type
+        ORDER BY (item_no * 7919 % 1000003) * 9000000000 + item_no) AS position FROM listing)
+      SELECT item_no, position, CAST((position - 1) // 10 + 1 AS BIGINT) AS page FROM placed""",
+    "listing_sort_top": ctes("listing")
     + PARSED
     + """SELECT item_no, akn_uri, doc_number AS number FROM parsed
          ORDER BY TRY_CAST(doc_number AS BIGINT) DESC NULLS LAST, doc_number DESC NULLS LAST, item_no LIMIT 500""",
@@ -271,6 +292,8 @@ ORACLES: dict[str, str] = {
     + """SELECT request_id, client_id, CAST(coalesce(greatest(0, 3600000000 - date_diff('microsecond',
            lag(end_ts) OVER (PARTITION BY client_id ORDER BY start_ts, request_id), start_ts)), 0) AS BIGINT) AS wait_us
          FROM request_log""",
+    "pacing_gaps_narrow": _GAPS,
+    "pacing_gaps_wide": _GAPS,
     "asset_warnings": ctes("attempts")
     + _FINAL
     + """SELECT akn_uri, kind, count(*) AS n_warnings FROM final
@@ -331,18 +354,19 @@ ORACLES: dict[str, str] = {
          count(*) FILTER (WHERE status = 'skipped') AS skipped, count(*) FILTER (WHERE status = 'error') AS error,
          CAST(CASE WHEN count(*) FILTER (WHERE status = 'error') = 0 THEN 0 ELSE 1 END AS INTEGER) AS exit_code FROM listed""",
     "pending_documents": _CRAWL
-    + """SELECT item_no - (item_no // 1125899906842624) * 1125899906842624 AS item_no, akn_uri,
+    + """SELECT item_no - (item_no // 288230376151711744) * 288230376151711744 AS item_no, akn_uri,
          'corpus/' || folder_path AS target_folder FROM todo
          WHERE ok AND folder_path NOT IN (SELECT folder_path FROM inventory)""",
     "read_list_pages": _LIST_PAGES,
     "read_manifest": _MANIFEST + "SELECT akn_uri, status, timestamp, akn_uri AS files, error FROM manifest",
     "write_manifest": _MANIFEST
-    + """SELECT CASE WHEN status = 'error' THEN 'first' ELSE 'second' END AS run_id, item_no, akn_uri, status, timestamp
+    + """SELECT CASE WHEN status = 'error' THEN '007' ELSE '2026-02-01' END AS run_id, item_no, akn_uri, status, timestamp
          FROM manifest""",
     "read_completed": _MANIFEST + "SELECT DISTINCT akn_uri FROM manifest WHERE status IN ('success', 'skipped')",
     "write_corpus": ctes("xml_corpus")
-    + """SELECT doc_id, 'act' AS category, 'statute' AS document_type, CAST(2015 + doc_id % 8 AS BIGINT) AS year,
-         md5(xml) AS xml_md5 FROM xml_corpus""",
+    + """SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '002' ELSE '001' END AS run_id, 'act' AS category,
+         'statute' AS document_type, CAST(2015 + doc_id % 8 AS VARCHAR) AS year,
+         md5(CASE WHEN doc_id % 3 = 0 THEN xml || '<!-- again -->' ELSE xml END) AS xml_md5 FROM xml_corpus""",
     "stream_listing": _LIST_PAGES,
     "stream_dedup": ctes("listing", "completed")
     + "SELECT DISTINCT akn_uri FROM listing WHERE akn_uri NOT IN (SELECT akn_uri FROM completed)",

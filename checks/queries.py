@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from checks.derived import BASE_PATH, BASE_URL, CURRENT_YEAR, derive
 from lawgrain.functions import uri as U
@@ -15,7 +15,7 @@ from lawgrain.operators import scope as S
 from lawgrain.operators import worklist as W
 from lawgrain.params import CrawlParams
 from lawgrain.plans import crawl as C
-from lawgrain.session import scratch_dir
+from lawgrain.session import scratch_dir, staged
 from lawgrain.sources import catalogue as G
 from lawgrain.sources import landing as L
 from lawgrain.streaming import jobs as J
@@ -37,7 +37,7 @@ PARAMS = CrawlParams(
     resume=True,
 )
 INFO_FIELDS = ("category", "document_type", "authority", "year", "number", "lang_and_version")
-PAGE_ITEMS = 1000
+PAGE_ITEMS = 2500
 SLEEP_SECONDS = 3600.0
 
 QUERIES: dict[str, Query] = {}
@@ -197,10 +197,52 @@ def max_pages(spark, sf):
 
 @query
 def listing_sort(spark, sf):
+    return _ranked(_parsed(spark, sf), "number", True)
+
+
+def _ranked(listing: DataFrame, sort_by: str, descending: bool) -> DataFrame:
+    """The whole sorted listing with each row's place, which makes the order a value.
+
+    Positions in a sorted table: rows before a partition, and rows before in it.
+    """
+    ordered = S.listing_sort(listing, sort_by, descending).select("item_no", "akn_uri")
+    placed = ordered.withColumn("part", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id())
+    placed = staged(placed, "sorted")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy("part").agg(F.count("*").alias("n"), F.min("at").alias("first"))
+    offsets = sizes.select("part", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    place = (F.col("offset") + F.col("at") - F.col("first") + 1).cast("bigint")
+    return placed.join(offsets, "part").select("item_no", "akn_uri", place.alias("place"))
+
+
+@query
+def listing_sort_issued(spark, sf):
+    return _ranked(_parsed(spark, sf).withColumn("date_issued", F.col("date_issued")), "dateIssued", False)
+
+
+@query
+def listing_sort_modified(spark, sf):
+    return _ranked(_parsed(spark, sf), "modified", True)
+
+
+@query
+def listing_sort_number_up(spark, sf):
+    return _ranked(_parsed(spark, sf), "number", False)
+
+
+@query
+def listing_sort_top(spark, sf):
     ordered = S.listing_sort(_parsed(spark, sf), "number", descending=True, limit=500)
     return ordered.select("item_no", "akn_uri", F.col("info.number").alias("number"))
 
 
+@query
+def paginate_hashed(spark, sf):
+    """Pages of a listing whose order values are hashes, spread over all BIGINTs."""
+    hashed = _listing(spark, sf).withColumn("order_no", (F.col("item_no") * 7919 % 1000003) * 9000000000 + F.col("item_no"))
+    return S.paginate(hashed, limit=10, order="order_no", range_rows=500).select("item_no", "position", "page")
+
+
 @query
 def union_listings(spark, sf):
     listing = _listing(spark, sf)
@@ -277,6 +319,24 @@ def pacing_audit(spark, sf):
     return audited.select("request_id", "client_id", "wait_us")
 
 
+def _pacing_with_gaps(spark, sf, bucket_seconds: int) -> DataFrame:
+    """Every seventh request has no end time."""
+    end = F.when(F.col("request_id") % 7 != 0, F.col("end_ts"))
+    log = derive(spark, sf, "request_log").withColumn("end_ts", end)
+    audited = O.pacing_audit(log, SLEEP_SECONDS, bucket_seconds=bucket_seconds)
+    return audited.select("request_id", "client_id", "wait_us")
+
+
+@query
+def pacing_gaps_narrow(spark, sf):
+    return _pacing_with_gaps(spark, sf, 3600)
+
+
+@query
+def pacing_gaps_wide(spark, sf):
+    return _pacing_with_gaps(spark, sf, 10 * 365 * 86400)
+
+
 @query
 def asset_warnings(spark, sf):
     return O.asset_warnings(O.final_responses(derive(spark, sf, "attempts")))
@@ -435,9 +495,9 @@ def read_manifest(spark, sf):
 def write_manifest(spark, sf):
     path = scratch_dir(spark, "manifest")
     entries = derive(spark, sf, "manifest")
-    G.write_manifest(entries.where("status = 'error'"), path, "first")
-    G.write_manifest(entries.where("status <> 'error'"), path, "second")
-    G.write_manifest(entries.where("status <> 'error'"), path, "second")  # a repeated run
+    G.write_manifest(entries.where("status = 'error'"), path, "007")
+    G.write_manifest(entries.where("status <> 'error'"), path, "2026-02-01")
+    G.write_manifest(entries.where("status <> 'error'"), path, "2026-02-01")  # a repeated run
     return G.read_manifest_table(spark, path).select("run_id", "item_no", "akn_uri", "status", "timestamp")
 
 
@@ -455,15 +515,12 @@ def write_corpus(spark, sf):
     path = scratch_dir(spark, "corpus")
     corpus = derive(spark, sf, "xml_corpus")
     documents = corpus.withColumn("info", U.parse_uri(F.col("akn_uri"), BASE_PATH))
-    G.write_corpus(documents, path)
-    stored = G.read_corpus(spark, path)
-    return stored.select(
-        "doc_id",
-        "category",
-        "document_type",
-        F.col("year").cast("bigint").alias("year"),
-        F.md5("xml").alias("xml_md5"),
-    )
+    again = documents.withColumn("xml", F.concat("xml", F.lit("<!-- again -->")))
+    G.write_corpus(documents, path, "001")
+    for _ in range(2):  # a later run fetches every third document again, and is repeated
+        G.write_corpus(again.where("doc_id % 3 = 0"), path, "002")
+    stored = G.latest_documents(G.read_corpus(spark, path))
+    return stored.select("doc_id", "run_id", "category", "document_type", "year", F.md5("xml").alias("xml_md5"))
 
 
 # -- streams ----------------------------------------------------------------

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from lawgrain.operators.ordering import literal_rows
-from lawgrain.params import COMPLETED_STATUSES, DOCUMENT_TYPES
+from lawgrain.params import COMPLETED_STATUSES
 from lawgrain.schemas import MANIFEST_STATUSES
 
 
@@ -105,29 +104,18 @@ def append_manifest(history: DataFrame, new: DataFrame) -> DataFrame:
     return history.unionByName(new)
 
 
-def _known_streams(items: DataFrame) -> DataFrame:
-    pairs = [(category, kind) for category, kinds in DOCUMENT_TYPES.items() for kind in kinds]
-    return literal_rows(items, ("category", "document_type"), pairs)
-
-
 def progress_counter(items: DataFrame, order: str = "item_no", processed: str = "processed") -> DataFrame:
     """Per (category, type) the position of its last item that was not skipped.
 
     The position is the number of items up to that one, so two map-side
     combined aggregates do, without numbering a whole listing. The rows between
-    them are at most one per known document type, hence the broadcast. Streams
-    in which nothing was processed are left out.
+    them are one per stream; Spark broadcasts them by their size. Streams in
+    which nothing was processed are left out.
     """
     keys = ["category", "document_type"]
-    known = F.broadcast(_known_streams(items))
-    last = (
-        items.where(F.col(processed))
-        .groupBy(*keys)
-        .agg(F.max(order).alias("last_item"))
-        .join(known, keys, "left_semi")
-    )
+    last = items.where(F.col(processed)).groupBy(*keys).agg(F.max(order).alias("last_item"))
     return (
-        items.join(F.broadcast(last), keys)
+        items.join(last, keys)
         .groupBy(*keys, "last_item")
         .agg(F.count_if(F.col(order) <= F.col("last_item")).alias("position"))
         .select(*keys, "last_item", "position")
@@ -137,12 +125,13 @@ def progress_counter(items: DataFrame, order: str = "item_no", processed: str =
 def resume_position(progress: DataFrame, category: str | None = None, document_type: str | None = None) -> DataFrame:
     """Stored position of the stream processed last, 1 for every other one.
 
-    `progress` is `progress_counter`: at most one row per document type.
+    `progress` is `progress_counter`, counted by an order that runs through all
+    streams, such as `run_order`: item numbers of pages start anew in each listing
+    and would name the longest stream instead of the latest.
     """
-    rank = F.rank().over(Window.orderBy(F.desc("last_item")))
-    resumed = progress.select(
-        "category", "document_type", F.when(rank == 1, F.col("position")).otherwise(1).alias("resume_at")
-    )
+    latest = progress.agg(F.max("last_item")).scalar()
+    at = F.when(F.col("last_item") == latest, F.col("position")).otherwise(1)
+    resumed = progress.select("category", "document_type", at.alias("resume_at"))
     if category is not None:
         resumed = resumed.where((F.col("category") == category) & (F.col("document_type") == document_type))
     return resumed

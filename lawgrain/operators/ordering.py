@@ -6,9 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Order values per bucket. With unique order values no task ever sorts more
-# than this many rows of a group.
-BUCKET_WIDTH = 1 << 20
+# Rows a range should hold on average: small enough to give every listing work for
+# many tasks, large enough that the ranges of a listing are few.
+RANGE_ROWS = 1 << 15
 
 
 def bucketed_ordinal(
@@ -16,17 +16,28 @@ def bucketed_ordinal(
     keys: Sequence[str],
     order: str,
     out: str,
-    bucket_width: int = BUCKET_WIDTH,
+    range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
     """`row_number()` over `keys` by `order`, spread over many tasks.
 
     A plain window would sort a whole group in one task, and a listing has a
     dozen groups however long it is. Here each group is cut into ranges of
-    `order` (a unique BIGINT): a counting pass, which combines on the map side,
-    gives each range its offset, and the window runs within a range only. The
-    rows are shuffled once, by (keys, range). Keys must not be NULL.
+    `order` (a unique BIGINT) as wide as its least and greatest value and its
+    number of rows ask for, dense or sparse: there are never more ranges than
+    rows / `range_rows`. A counting pass, which combines on the map side, gives
+    each range its offset, and the window runs within a range only. The rows are
+    shuffled once, by (keys, range). Keys must not be NULL.
     """
-    cut = rows.withColumn("_range", F.floor(F.col(order) / F.lit(bucket_width)))
+    value = F.col(order).cast("double")
+    extent = rows.groupBy(*keys).agg(F.min(value).alias("_low"), F.max(value).alias("_high"), F.count("*").alias("_rows"))
+    extent = extent.select(
+        *keys, "_low", ((F.col("_high") - F.col("_low") + 1) / F.ceil(F.col("_rows") / F.lit(range_rows))).alias("_width")
+    )
+    cut = (
+        rows.join(extent, list(keys))
+        .withColumn("_range", F.floor((value - F.col("_low")) / F.col("_width")))
+        .drop("_low", "_width")
+    )
     sizes = cut.groupBy(*keys, "_range").agg(F.count("*").alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*keys, "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))

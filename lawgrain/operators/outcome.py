@@ -219,9 +219,9 @@ def pacing_audit(
 
     `wait_us` is max(0, sleep - (start - previous end)) and 0 for a client's
     first request. One client may have made most requests, so the look-back
-    runs within (client, time bucket); only the first request of a bucket needs
-    the last end of an earlier bucket, which a map-side combined aggregate
-    gives. A client works one request at a time, so a bucket is bounded by the
+    runs within (client, time bucket); the first request of a bucket takes the
+    last end of the bucket before, which a map-side combined aggregate gives. A
+    missing end stays missing, whatever the buckets: no wait follows it. A client works one request at a time, so a bucket is bounded by the
     requests it can make in `bucket_seconds`.
     """
     bucket = F.floor(F.unix_micros(F.col(start).cast("timestamp")) / F.lit(bucket_seconds * 1_000_000))
@@ -231,11 +231,12 @@ def pacing_audit(
     earlier = Window.partitionBy(client).orderBy("_bucket")
     carried = lasts.select(client, "_bucket", F.lag("_last_end").over(earlier).alias("_carried"))
     within = Window.partitionBy(client, "_bucket").orderBy(start, request)
-    previous = F.coalesce("_previous", "_carried")
+    previous = F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_previous"))
     elapsed = F.timestamp_diff("MICROSECOND", previous, F.col(start))
     sleep_us = F.lit(round(sleep_seconds * 1_000_000)).cast("bigint")
     return (
         cut.withColumn("_previous", F.lag(end).over(within))
+        .withColumn("_first", F.row_number().over(within) == 1)
         .join(carried, [client, "_bucket"])
         .withColumn("wait_us", F.coalesce(F.greatest(F.lit(0).cast("bigint"), sleep_us - elapsed), F.lit(0)))
         .select(*requests.columns, "wait_us")

@@ -8,11 +8,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lawgrain.functions import uri as U
-from lawgrain.operators.ordering import BUCKET_WIDTH, bucketed_ordinal, literal_rows
+from lawgrain.operators.ordering import RANGE_ROWS, bucketed_ordinal, literal_rows
 from lawgrain.params import AUTHORITY_TYPE, CrawlParams, requested_types
 
-# Item numbers stay below this, so that (pass, item) fits one BIGINT.
-MAX_ITEMS = 1 << 50
+# (pass, item) in one BIGINT: item numbers below MAX_ITEMS and up to MAX_PASSES passes.
+MAX_ITEMS = 1 << 58
+MAX_PASSES = 31
 
 
 def with_document_key(listing: DataFrame, base_path: str, uri: str = "akn_uri") -> DataFrame:
@@ -51,6 +52,8 @@ def expand_types(listing: DataFrame, categories: tuple[str, ...] | list[str]) ->
     repeats it in a form that reaches the scan.
     """
     wanted = requested_types(categories)
+    if len(wanted) > MAX_PASSES:
+        raise ValueError(f"{len(wanted)} document types requested; a run takes {MAX_PASSES}")
     if not wanted:
         empty = listing.where(F.lit(False))
         return (
@@ -63,7 +66,11 @@ def expand_types(listing: DataFrame, categories: tuple[str, ...] | list[str]) ->
         F.col("category").isin(sorted({row[2] for row in wanted}))
         & F.col("document_type").isin(sorted({row[3] for row in wanted}))
     )
-    order = (F.col("pass_no").cast("bigint") * F.lit(MAX_ITEMS) + F.col("item_no")).alias("run_order")
+    item = F.col("item_no").cast("bigint")
+    checked = F.when(item.isNull() | item.between(0, MAX_ITEMS - 1), item).otherwise(
+        F.raise_error(F.concat(F.lit("item number out of range: "), item.cast("string"))).cast("bigint")
+    )
+    order = (F.col("pass_no").cast("bigint") * F.lit(MAX_ITEMS) + checked).alias("run_order")
     return pruned.join(F.broadcast(types), ["category", "document_type"]).select(
         *listing.columns, "requested", "pass_no", order
     )
@@ -138,10 +145,10 @@ def paginate(
     limit: int = 10,
     keys: tuple[str, ...] = ("category", "document_type"),
     order: str = "item_no",
-    bucket_width: int = BUCKET_WIDTH,
+    range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
     """Add the position of each item in its listing and its page number (from 1)."""
-    placed = bucketed_ordinal(listing, keys, order, "position", bucket_width)
+    placed = bucketed_ordinal(listing, keys, order, "position", range_rows)
     return placed.withColumn("page", (F.floor((F.col("position") - 1) / F.lit(limit)) + 1).cast("bigint"))
 
 
@@ -223,8 +230,8 @@ def listing_sort(
     """Listing by number, issue date or modification time.
 
     Numbers sort as numbers, then as text; missing values come last and
-    `item_no` breaks ties. With a limit Spark keeps the top rows of each task
-    instead of sorting the whole listing.
+    `item_no` breaks ties. The sort is distributed by ranges of the keys. With a
+    limit Spark keeps the top rows of each task instead.
     """
     number = U.key_number(F.col("document_key"))
     columns = {

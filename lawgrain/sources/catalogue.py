@@ -2,12 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from lawgrain.operators.manifest import completed_set
+from pyspark.sql.types import StringType, StructField, StructType
+
+from lawgrain.operators.manifest import completed_set, unknown_statuses
 from lawgrain.schemas import COMPLETED, MANIFEST_ENTRY, MANIFEST_FILE, PROGRESS, STATE_FILE
 
 
+def _with_text_partitions(spark: SparkSession, root: str, names: tuple[str, ...]) -> DataFrame:
+    """A partitioned table whose partition values are the text they were written as.
+
+    Left to itself Spark reads "007" as a number and "2026-02-01" as a date.
+    """
+    reader = spark.read.option("basePath", root)
+    found = reader.parquet(root).schema.fields
+    fields = [StructField(f.name, StringType()) if f.name in names else f for f in found]
+    return reader.schema(StructType(fields)).parquet(root)
+
+
 def read_manifest(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """Entries of nested JSON manifests; an unreadable one has none.
 
@@ -22,14 +35,17 @@ def write_manifest(entries: DataFrame, root: str, run_id: str) -> None:
     """Add the entries of one run as a partition of the manifest table.
 
     Appends to the history; a run that is repeated replaces its own partition
-    only. Headers are computed when read, never stored.
+    only. Headers are computed when read, never stored. A status outside the
+    domain fails the write.
     """
+    if not unknown_statuses(entries).isEmpty():
+        raise ValueError("manifest entries with an unknown status")
     entries.write.mode("overwrite").parquet(f"{root}/run_id={run_id}")
 
 
 def read_manifest_table(spark: SparkSession, root: str) -> DataFrame:
-    """Manifest entries of all runs with their `run_id`."""
-    return spark.read.option("basePath", root).parquet(root)
+    """Manifest entries of all runs with their `run_id`, a STRING."""
+    return _with_text_partitions(spark, root, ("run_id",))
 
 
 def read_state(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
@@ -73,24 +89,42 @@ def reset_state(spark: SparkSession, completed_root: str, progress_root: str) ->
         empty.write.mode("overwrite").parquet(f"{root}/run_id=reset")
 
 
-def write_corpus(documents: DataFrame, root: str) -> None:
-    """Store documents partitioned by category, type and year.
+_PLACES = ("category", "document_type", "year")
+
+
+def write_corpus(documents: DataFrame, root: str, run_id: str) -> None:
+    """Add the documents of one run, partitioned by category, type and year.
 
-    `documents` has `info` and `xml`. One file per document does not scale, so
+    `documents` has `info` and `xml`. Earlier runs stay as they are; a run that is
+    repeated replaces its own part. One file per document does not scale, so
     documents share files. The rebalance hint gathers each partition's rows
     into tasks of the advisory size: small partitions are packed together and
     a partition with a third of all documents is split over many tasks.
     """
-    keys = ("category", "document_type", "year")
+    keys = _PLACES
     placed = documents.where(F.col("info").isNotNull()).select(
         "*", *[F.col("info").getField(key).alias(key) for key in keys]
     )
-    placed.hint("rebalance", *keys).write.mode("overwrite").partitionBy(*keys).parquet(root)
+    target = f"{root}/run_id={run_id}"
+    placed.hint("rebalance", *keys).write.mode("overwrite").partitionBy(*keys).parquet(target)
 
 
 def read_corpus(spark: SparkSession, root: str) -> DataFrame:
-    """Stored corpus; filters on category, type and year prune its folders."""
-    return spark.read.option("basePath", root).parquet(root)
+    """Stored documents of all runs; filters on category, type and year prune folders.
+
+    Partition values are STRINGs. A document that several runs have stored is there
+    once for each; `latest_documents` keeps its last copy.
+    """
+    return _with_text_partitions(spark, root, ("run_id", *_PLACES))
+
+
+def latest_documents(corpus: DataFrame) -> DataFrame:
+    """The copy of each document that the last run stored; run ids sort by time.
+
+    The rank is cut at 1, so one row per document and task is shuffled.
+    """
+    last = Window.partitionBy(F.xxhash64("info"), "info").orderBy(F.desc("run_id"))
+    return corpus.withColumn("_rank", F.row_number().over(last)).where("_rank = 1").drop("_rank")
 
 
 def manifest_entries(rows: DataFrame) -> DataFrame:

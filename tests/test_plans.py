@@ -100,7 +100,7 @@ def test_latest_entry_is_cut_before_the_shuffle(spark, hot):
 
 def test_page_numbers_never_sort_a_whole_listing(spark, hot):
     listing = spark.read.parquet(hot).withColumn("category", F.lit("act")).withColumn("document_type", F.lit("statute"))
-    text = plan(S.paginate(listing, bucket_width=1000))
+    text = plan(S.paginate(listing, range_rows=1000))
     for spec in re.findall(r"row_number\(\) windowspecdefinition\(([^)]*)\)", text):
         assert "_range" in spec
 
@@ -139,7 +139,7 @@ def test_corpus_write_splits_a_large_partition(spark, small_skew, tmp_path):
         F.sha2(F.col("id").cast("string"), 512).alias("xml"),
     )
     root = str(tmp_path / "corpus")
-    G.write_corpus(documents.withColumn("info", U.parse_uri(F.col("akn_uri"), BASE)), root)
+    G.write_corpus(documents.withColumn("info", U.parse_uri(F.col("akn_uri"), BASE)), root, "1")
     assert len(G.read_corpus(spark, root).inputFiles()) > 4
     assert G.read_corpus(spark, root).count() == 4_000
 

@@ -96,7 +96,7 @@ def test_paginate_over_many_buckets(spark):
     numbers = random.Random(1).sample(range(10_000), 900)
     lines = [(n, "act", "statute" if i % 9 else "kko") for i, n in enumerate(numbers)]
     frame = spark.createDataFrame(lines, "item_no long, category string, document_type string")
-    got = {row.item_no: (row.position, row.page) for row in S.paginate(frame, 10, bucket_width=64).collect()}
+    got = {row.item_no: (row.position, row.page) for row in S.paginate(frame, 10, range_rows=64).collect()}
     for kind in ("statute", "kko"):
         ordered = sorted(n for n, _, k in lines if k == kind)
         for position, number in enumerate(ordered, 1):
@@ -106,7 +106,7 @@ def test_paginate_over_many_buckets(spark):
 
 def test_bucketed_ordinal_takes_negative_order_values(spark):
     frame = spark.createDataFrame([("a", n) for n in range(-50, 50)], "k string, o long")
-    got = {r.o: r.rn for r in bucketed_ordinal(frame, ["k"], "o", "rn", bucket_width=7).collect()}
+    got = {r.o: r.rn for r in bucketed_ordinal(frame, ["k"], "o", "rn", range_rows=7).collect()}
     assert got == {n: n + 51 for n in range(-50, 50)}
 
 

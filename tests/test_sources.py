@@ -47,8 +47,8 @@ def test_read_list_pages(spark, tmp_path):
 
 
 def test_document_tree_and_inventory(spark, tmp_path):
-    plain = "act/statute/2026/3/fin@"
-    regulation = "doc/authority-regulation/a+b ä/1996/32082/fin@"
+    plain = "judgment/kho/2011/64/fin@"
+    regulation = "doc/authority-regulation/a+b ä/2003/517/swe@"
     put(tmp_path / plain / "main.xml", "<a>\n</a>\n")
     put(tmp_path / plain / "main.pdf", b"%PDF")
     put(tmp_path / plain / "media" / "x.gif", b"GIF")
@@ -66,8 +66,8 @@ def test_document_tree_and_inventory(spark, tmp_path):
 ENTRY = {
     "akn_uri": "u",
     "status": "success",
-    "timestamp": "2026-01-30T17:06:22.377347",
-    "files": ["d/main.xml", "d/main.pdf"],
+    "timestamp": "2019-11-05T08:41:00.000913",
+    "files": ["store/k/main.xml", "store/k/main.zip", "store/k/media/p.png"],
     "error": None,
 }
 
@@ -109,16 +109,16 @@ def test_state_round_trip_and_reset(spark, tmp_path):
 
 def test_read_state_file(spark, tmp_path):
     state = {
-        "current_category": "act",
-        "current_document_type": "statute",
-        "current_page": 10,
-        "completed_uris": ["uri1", "uri2", "uri1"],
-        "updated_at": "2026-01-30T17:06:22.377347",
+        "current_category": "doc",
+        "current_document_type": "treaty",
+        "current_page": 37,
+        "completed_uris": ["b", "a", "c", "b", "b"],
+        "updated_at": "2018-02-14T23:59:59.999999",
     }
     put(tmp_path / "state.json", json.dumps(state, indent=2))
     completed, progress = G.read_state(spark, str(tmp_path / "state.json"))
-    assert sorted(r.akn_uri for r in completed.collect()) == ["uri1", "uri2"]
-    assert tuple(progress.first())[:3] == ("act", "statute", 10)
+    assert sorted(r.akn_uri for r in completed.collect()) == ["a", "b", "c"]
+    assert tuple(progress.first())[:3] == ("doc", "treaty", 37)
     put(tmp_path / "bad.json", "nonsense")
     completed, progress = G.read_state(spark, str(tmp_path / "bad.json"))
     assert completed.count() == 0 and progress.count() == 0
@@ -128,7 +128,7 @@ def test_corpus_is_partitioned_and_pruned(spark, tmp_path):
     root = str(tmp_path / "corpus")
     uris = [f"/akn/fi/act/statute/{2015 + n % 3}/{n}/fin@" for n in range(90)] + ["broken"]
     documents = spark.createDataFrame([(u, f"<a>{u}</a>") for u in uris], "akn_uri string, xml string")
-    G.write_corpus(documents.withColumn("info", U.parse_uri(F.col("akn_uri"), BASE)), root)
+    G.write_corpus(documents.withColumn("info", U.parse_uri(F.col("akn_uri"), BASE)), root, "1")
     corpus = G.read_corpus(spark, root)
     assert corpus.count() == 90
     assert {r.xml for r in corpus.collect()} == {f"<a>{u}</a>" for u in uris[:-1]}
