@@ -92,7 +92,8 @@ SELECT {folder_sql('o_orderkey')} AS folder_path
 FROM {{orders}} WHERE o_orderpriority = '2-HIGH' AND {valid_sql('o_orderkey')}
 """
 
-# Attempt log: every line item is an HTTP attempt for its order's document.
+# Attempt log: every line item is an HTTP attempt for its order's document; a later run
+# has asked for every fifth document again.
 ATTEMPTS = f"""
 WITH a AS (
   SELECT l_orderkey AS k,
@@ -102,13 +103,22 @@ WITH a AS (
          || {_text('l_suppkey % 20')} || '.gif' END AS link,
     l_partkey, l_suppkey, l_linenumber, l_shipdate, l_extendedprice, CAST(l_quantity AS BIGINT) AS q
   FROM {{lineitem}})
-SELECT {uri_sql('k')} AS akn_uri, kind, link,
-  CAST(row_number() OVER (PARTITION BY k, kind, link
-    ORDER BY l_shipdate, l_partkey, l_suppkey, l_linenumber, l_extendedprice, q) AS BIGINT) AS attempt,
-  CASE q % 10 WHEN 0 THEN 404 WHEN 1 THEN 503 WHEN 2 THEN 429 WHEN 3 THEN NULL ELSE 200 END AS http_status,
-  CASE WHEN q % 10 = 3 THEN 'read timed out' END AS exception,
-  l_shipdate AS start_ts, l_shipdate + INTERVAL '2' SECOND AS end_ts
-FROM a WHERE {valid_sql('k')}
+SELECT * FROM (
+  SELECT 'run-1' AS run_id, {uri_sql('k')} AS akn_uri, kind, link,
+    CAST(row_number() OVER (PARTITION BY k, kind, link
+      ORDER BY l_shipdate, l_partkey, l_suppkey, l_linenumber, l_extendedprice, q) AS BIGINT) AS attempt,
+    CASE q % 10 WHEN 0 THEN 404 WHEN 1 THEN 503 WHEN 2 THEN 429 WHEN 3 THEN NULL ELSE 200 END AS http_status,
+    CASE WHEN q % 10 = 3 THEN 'read timed out' END AS exception,
+    l_shipdate AS start_ts, l_shipdate + INTERVAL '2' SECOND AS end_ts
+  FROM a WHERE {valid_sql('k')}
+  UNION ALL
+  SELECT 'run-2', {uri_sql('k')}, kind, link,
+    CAST(row_number() OVER (PARTITION BY k, kind, link
+      ORDER BY l_shipdate, l_partkey, l_suppkey, l_linenumber, l_extendedprice, q) AS BIGINT),
+    CASE WHEN q % 3 = 0 THEN 503 ELSE 200 END, NULL,
+    l_shipdate + INTERVAL '400' DAY, l_shipdate + INTERVAL '400' DAY + INTERVAL '2' SECOND
+  FROM a WHERE k % 5 = 2 AND {valid_sql('k')}
+) runs
 """
 
 # List page log: every customer is an answered page of one of 25 streams.

@@ -45,7 +45,7 @@ _WINDOW = (
     f" OR requested = 'authority-regulation' AND year_int BETWEEN {CURRENT_YEAR - 1} AND {CURRENT_YEAR})"
 )
 
-# Last attempt of each request.
+# Last attempt of each request in its newest run.
 _FINAL = """
 , ranked AS (
   SELECT *, row_number() OVER (PARTITION BY akn_uri, kind, link ORDER BY attempt DESC) AS back,
@@ -53,10 +53,11 @@ _FINAL = """
     min(start_ts) OVER (PARTITION BY akn_uri, kind, link) AS first_start,
     bool_and(exception IS NOT NULL OR http_status IN (429, 500, 502, 503, 504))
       OVER (PARTITION BY akn_uri, kind, link) AS all_retryable
-  FROM attempts WHERE attempt <= 6),
+  FROM (SELECT * FROM attempts
+    QUALIFY run_id = max(run_id) OVER (PARTITION BY akn_uri, kind, link)) newest),
 final AS (
-  SELECT akn_uri, kind, link, http_status, exception, attempts_used,
-    all_retryable AND attempts_used = 6 AS exhausted, first_start AS start_ts
+  SELECT akn_uri, kind, link, run_id, http_status, exception, attempts_used,
+    all_retryable AND attempts_used >= 6 AS exhausted, attempts_used > 6 AS over_budget, first_start AS start_ts
   FROM ranked WHERE back = 1)
 """
 
@@ -204,7 +205,7 @@ ORACLES: dict[str, str] = {
          nullif(split_part(doc_lang_and_version, '@', 2), '') AS version,
          CAST(try_strptime(split_part(doc_lang_and_version, '@', 2), '%Y%m%d') AS DATE) AS version_date FROM parsed""",
     "media_basename": ctes("attempts")
-    + "SELECT akn_uri, attempt, link, regexp_extract(link, '[^/]+$') AS basename FROM attempts WHERE link IS NOT NULL",
+    + "SELECT run_id, akn_uri, attempt, link, regexp_extract(link, '[^/]+$') AS basename FROM attempts WHERE link IS NOT NULL",
     "asset_plan": _LINKS
     + f""", kinds(kind, ord, suffix, name, accept) AS (VALUES
         ('xml', 0, '', 'main.xml', 'application/xml'), ('pdf', 1, '/main.pdf', 'main.pdf', 'application/pdf'),
@@ -225,9 +226,9 @@ ORACLES: dict[str, str] = {
     "filter_media_links": _LINKS + "SELECT link, count(*) AS n_documents FROM links GROUP BY link",
     "filter_completable": _MANIFEST + "SELECT item_no, akn_uri, status FROM manifest WHERE status IN ('success', 'skipped')",
     "filter_retryable": ctes("attempts")
-    + "SELECT akn_uri, kind, link, attempt, http_status FROM attempts WHERE http_status IN (429, 500, 502, 503, 504)",
+    + "SELECT run_id, akn_uri, kind, link, attempt, http_status FROM attempts WHERE http_status IN (429, 500, 502, 503, 504)",
     "classify_response": ctes("attempts")
-    + """SELECT akn_uri, kind, link, attempt, CASE WHEN http_status = 429 THEN 'rate_limited'
+    + """SELECT run_id, akn_uri, kind, link, attempt, CASE WHEN http_status = 429 THEN 'rate_limited'
          WHEN http_status >= 400 THEN 'http_error' WHEN http_status IS NOT NULL THEN 'ok' END AS response_class FROM attempts""",
     "expand_types": ctes("listing")
     + _TYPES

@@ -110,7 +110,7 @@ def lang_version_split(spark, sf):
 @query
 def media_basename(spark, sf):
     links = derive(spark, sf, "attempts").where("link IS NOT NULL")
-    return links.select("akn_uri", "attempt", "link", U.media_basename(F.col("link")).alias("basename"))
+    return links.select("run_id", "akn_uri", "attempt", "link", U.media_basename(F.col("link")).alias("basename"))
 
 
 @query
@@ -155,13 +155,13 @@ def filter_completable(spark, sf):
 @query
 def filter_retryable(spark, sf):
     kept = O.filter_retryable(derive(spark, sf, "attempts"))
-    return kept.select("akn_uri", "kind", "link", "attempt", "http_status")
+    return kept.select("run_id", "akn_uri", "kind", "link", "attempt", "http_status")
 
 
 @query
 def classify_response(spark, sf):
     classed = O.classify_responses(derive(spark, sf, "attempts"))
-    return classed.select("akn_uri", "kind", "link", "attempt", "response_class")
+    return classed.select("run_id", "akn_uri", "kind", "link", "attempt", "response_class")
 
 
 # -- scope, paging ----------------------------------------------------------

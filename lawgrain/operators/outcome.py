@@ -88,28 +88,39 @@ def final_responses(
     max_retries: int = MAX_RETRIES,
     keys: Sequence[str] = ("akn_uri", "kind", "link"),
 ) -> DataFrame:
-    """Per request the last attempt, the attempts used and whether they ran out.
-
-    `exhausted` means that every allowed attempt was made and each called for
-    another. The last attempt is found with map-side combining, so no request
-    chain is gathered; a NULL status or exception of that attempt is kept. The
-    exception text makes this a sorting aggregate: the hash of the keys goes
+    """Per request what its newest run made of it.
+
+    The last attempt of that run with its status or exception, the attempts used,
+    whether they ran out (`exhausted`: every allowed attempt was made and each called
+    for another) and whether there were more than allowed (`over_budget`). Earlier
+    runs do not count: a document that failed in one and was fetched in the next is
+    fetched. Aggregates combine on the map side, so no chain of attempts is gathered.
+    The exception text makes them sorting aggregates: the hash of the keys goes
     first, so that the sort compares numbers and not URIs of one prefix.
     """
     attempt = F.col("attempt")
     retryable = H.is_retryable(F.col("http_status")) | F.col("exception").isNotNull()
-    return (
-        attempts.where(attempt <= max_retries + 1)
-        .groupBy(F.xxhash64(*keys).alias("_hash"), *keys)
-        .agg(
-            F.max_by("http_status", attempt).cast("int").alias("http_status"),
-            F.max_by("exception", attempt).alias("exception"),
-            F.count("*").alias("attempts_used"),
-            F.bool_and(retryable).alias("_all_retryable"),
-            F.min("start_ts").alias("start_ts"),
-        )
-        .withColumn("exhausted", F.col("_all_retryable") & (F.col("attempts_used") == max_retries + 1))
-        .select(*keys, "http_status", "exception", "attempts_used", "exhausted", "start_ts")
+    by_run = attempts.groupBy(F.xxhash64(*keys).alias("_hash"), *keys, "run_id").agg(
+        F.max_by("http_status", attempt).cast("int").alias("http_status"),
+        F.max_by("exception", attempt).alias("exception"),
+        F.count("*").alias("attempts_used"),
+        F.bool_and(retryable).alias("_all_retryable"),
+        F.min("start_ts").alias("start_ts"),
+    )
+    result = F.struct("http_status", "exception", "attempts_used", "_all_retryable", "start_ts")
+    newest = by_run.groupBy("_hash", *keys).agg(
+        F.max_by(result, F.struct("run_id")).alias("_last"), F.max("run_id").alias("run_id")
+    )
+    used = F.col("_last.attempts_used")
+    return newest.select(
+        *keys,
+        "run_id",
+        "_last.http_status",
+        "_last.exception",
+        used.alias("attempts_used"),
+        (F.col("_last._all_retryable") & (used >= max_retries + 1)).alias("exhausted"),
+        (used > max_retries + 1).alias("over_budget"),
+        "_last.start_ts",
     )
 
 
@@ -184,21 +195,22 @@ def document_outcome(
     is `responses_by_document`, one row per URI. `files` are ordered XML, PDF,
     ZIP, media, then by path.
     """
+    return decided(attach(work, by_document, uri), params, uri).select(
+        *work.columns, "outcome", "error", "first_ts", "files"
+    )
+
+
+def decided(joined: DataFrame, params: CrawlParams, uri: str = "akn_uri") -> DataFrame:
+    """`outcome`, `error` and `files` added to worklist rows with their responses."""
     folder = F.concat(F.lit(f"{params.output_dir}/"), "folder_path", F.lit("/"))
-    joined = attach(work, by_document, uri).withColumn("outcome", outcome_status(params))
+    joined = joined.withColumn("outcome", outcome_status(params))
     outcome = F.col("outcome")
     files = (
         F.when(outcome == "success", F.transform("stored", lambda file: F.concat(folder, file["name"])))
         .when(outcome == "skipped", F.array(F.concat(folder, F.lit("main.xml"))))
         .otherwise(F.array().cast("array<string>"))
     )
-    return joined.select(
-        *work.columns,
-        outcome,
-        outcome_error(outcome, F.col(uri)).alias("error"),
-        "first_ts",
-        files.alias("files"),
-    )
+    return joined.withColumn("error", outcome_error(outcome, F.col(uri))).withColumn("files", files)
 
 
 def document_files(outcomes: DataFrame) -> DataFrame:

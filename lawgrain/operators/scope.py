@@ -132,6 +132,18 @@ def filter_lang(scoped: DataFrame, lang_and_version: str = "fin@", keep_unparsed
     return scoped.where(F.coalesce(keep, F.lit(True)) if keep_unparsed else keep)
 
 
+def filter_requested(scoped: DataFrame, params: CrawlParams) -> DataFrame:
+    """Rows in the year window and language, and all whose URI cannot be parsed.
+
+    A parsed year that no INT can hold lies in no window; only rows without a
+    key pass unjudged.
+    """
+    unparsed = F.col("document_key").isNull()
+    year_known = U.key_year(F.col("document_key")).isNotNull()
+    kept = filter_year_window(scoped.where(unparsed | year_known), params, keep_unparsed=True)
+    return filter_lang(kept, params.lang_and_version, keep_unparsed=True)
+
+
 def union_listings(first: DataFrame, *others: DataFrame) -> DataFrame:
     """Listings one after the other, duplicates kept."""
     return reduce(lambda a, b: a.unionByName(b), others, first)

@@ -30,12 +30,12 @@ def skip_completed(listing: DataFrame, completed: DataFrame, resume: bool = True
 def with_existing(rows: DataFrame, inventory: DataFrame, force: bool = False) -> DataFrame:
     """Add `exists`: whether the document's main XML is in store.
 
-    `inventory` has one `folder_path` per stored document. With `force` the
-    store is not consulted and `exists` is FALSE.
+    `inventory` names stored folders by `folder_path`, one perhaps several times.
+    With `force` the store is not consulted and `exists` is FALSE.
     """
     if force:
         return rows.withColumn("exists", F.lit(False))
-    stored = inventory.select("folder_path", F.lit(True).alias("exists"))
+    stored = inventory.select("folder_path").distinct().withColumn("exists", F.lit(True))
     return (
         attach(rows, stored, "folder_path")
         .select(*rows.columns, F.coalesce("exists", F.lit(False)).alias("exists"))

@@ -39,8 +39,7 @@ def scoped_listing(listing: DataFrame, params: CrawlParams) -> DataFrame:
     """
     paged = S.limit_pages(listing, params.max_pages) if "page" in listing.columns else listing
     scoped = S.with_document_key(S.expand_types(paged, params.categories), params.base_path)
-    scoped = S.filter_year_window(scoped, params, keep_unparsed=True)
-    return S.filter_lang(scoped, params.lang_and_version, keep_unparsed=True)
+    return S.filter_requested(scoped, params)
 
 
 def listed_items(pages: DataFrame, params: CrawlParams) -> DataFrame:
@@ -66,23 +65,42 @@ def pending_documents(tables: LandingTables, params: CrawlParams) -> DataFrame:
     return W.dry_run_plan(S.with_paths(work), inventory, params.output_dir)
 
 
+def _staged_scope(tables: LandingTables, params: CrawlParams) -> DataFrame:
+    """Listing rows in scope, read and parsed once; all that follows starts from here."""
+    scoped = scoped_listing(tables.listing, params)
+    return staged(scoped.select("akn_uri", "run_order", F.col("document_key").isNotNull().alias("parsed")), "scope")
+
+
 def document_outcomes(tables: LandingTables, params: CrawlParams, run_timestamp: str) -> DataFrame:
-    """One row per listed URI that is parsed and not completed: what a run makes of it.
+    """One row per listed URI that is parsed and not completed: what a run makes of it."""
+    return _outcomes(_staged_scope(tables, params), tables, params, run_timestamp)
+
+
+def _outcomes(scope: DataFrame, tables: LandingTables, params: CrawlParams, run_timestamp: str) -> DataFrame:
+    """`document_outcomes` of a staged scope.
 
     Everything about a document hangs on its URI, so the joins run on one row
     per URI. That row comes from an aggregate that combines on the map side,
-    which takes the weight off a URI listed very often. Adds `first_item`,
-    `n_items` (times listed) and `stored_from`: the item of this run that
-    stored the document's folder first, where several URIs lead to one folder.
-    The rows are stored in the shared folder, as more than one job reads them.
+    which takes the weight off a URI listed very often, and leaves the rows
+    partitioned by URI as the joins with completed URIs and responses want them.
+    The attempt log is cut to these URIs first; that join partitions it by URI
+    too, so its aggregates need no exchange. What hangs on the folder (documents
+    in store, folders that several URIs share) comes last.
+
+    Adds `first_item`, `n_items` (times listed) and `stored_from`: the item of
+    this run that stored the document's folder first, where several URIs lead to
+    one folder. The rows are stored in the shared folder, as more than one job
+    reads them.
     """
-    items = scoped_listing(tables.listing, params).where(F.col("document_key").isNotNull())
-    uris = items.groupBy("akn_uri").agg(F.min("run_order").alias("item_no"), F.count("*").alias("n_items"))
-    work = W.worklist(uris, tables.completed, params.resume and not params.reset)
-    work = S.with_paths(S.with_document_key(work, params.base_path))
-    work = W.with_existing(work, tables.inventory, params.force)
-    by_document = O.responses_by_document(O.final_responses(tables.attempts), params)
-    outcomes = O.document_outcome(work, by_document, params).select(
+    items = scope.where("parsed")
+    work = items.groupBy("akn_uri").agg(F.min("run_order").alias("item_no"), F.count("*").alias("n_items"))
+    if params.resume and not params.reset:
+        work = work.join(tables.completed.select("akn_uri"), "akn_uri", "left_anti")
+    asked = tables.attempts.join(work.select("akn_uri"), "akn_uri", "left_semi")
+    by_document = O.responses_by_document(O.final_responses(asked), params)
+    joined = S.with_paths(S.with_document_key(work.join(by_document, "akn_uri", "left"), params.base_path))
+    known = W.with_existing(joined, tables.inventory, params.force)
+    outcomes = O.decided(known, params).select(
         "akn_uri",
         F.col("item_no").alias("first_item"),
         "n_items",
@@ -115,19 +133,19 @@ def crawl_manifest(tables: LandingTables, params: CrawlParams, run_timestamp: st
     times go back to the listing: each time gives an entry, until another URI
     has stored the same folder, after which the next one is skipped.
     """
-    scoped = scoped_listing(tables.listing, params)
+    scope = _staged_scope(tables, params)
     stamp = F.to_timestamp_ntz(F.lit(run_timestamp)).alias("timestamp")
     no_files = F.array().cast("array<string>").alias("files")
-    unparsed = scoped.where(F.col("document_key").isNull()).select(
+    unparsed = scope.where("NOT parsed").select(
         F.col("run_order").alias("item_no"),
         "akn_uri",
         F.lit("error").alias("status"),
         stamp,
         no_files,
-        F.concat(F.lit("Failed to parse URI: "), "akn_uri").alias("error"),
+        F.concat(F.lit("Failed to parse URI: "), F.coalesce("akn_uri", F.lit(""))).alias("error"),
     )
 
-    outcomes = document_outcomes(tables, params, run_timestamp)
+    outcomes = _outcomes(scope, tables, params, run_timestamp)
     main_file = F.array(F.concat(F.lit(f"{params.output_dir}/"), "folder_path", F.lit("/main.xml")))
     done = F.col("status").isin(*COMPLETED_STATUSES)
 
@@ -145,7 +163,7 @@ def crawl_manifest(tables: LandingTables, params: CrawlParams, run_timestamp: st
     once = F.coalesce(done, F.lit(False)) | late | (F.col("n_items") == 1)
     single = entries(outcomes.where(once), "first_item", late)
 
-    items = scoped.where(F.col("document_key").isNotNull()).select("akn_uri", "run_order")
+    items = scope.where("parsed").select("akn_uri", "run_order")
     again = attach(items, outcomes.where(~once), "akn_uri", "inner")
     after = F.coalesce(F.col("run_order") > F.col("stored_from"), F.lit(False))
     failing = entries(again.where(~after), "run_order", F.lit(False))

@@ -73,9 +73,10 @@ PROGRESS = _struct(
     ("updated_at", T.TimestampNTZType()),
 )
 
-# One row per HTTP attempt. `link` names the media file, else NULL; a failed
+# One row per HTTP attempt; `run_id` names the run that made it and sorts by time. `link` names the media file, else NULL; a failed
 # connection has an `exception` and no status.
 ATTEMPT = _struct(
+    ("run_id", _STR),
     ("akn_uri", _STR),
     ("kind", _STR),
     ("link", _STR),

@@ -92,7 +92,7 @@ def test_manifest_of_a_run(spark, more):
     params = CrawlParams(base_path=BASE, current_year=2024, output_dir="out", **options)
     listing, results, completed, stored = world(17)
     log = [
-        (uri, "xml", None, 1, r if isinstance(r, int) else None, r if isinstance(r, str) else None, NOW, NOW)
+        ("r1", uri, "xml", None, 1, r if isinstance(r, int) else None, r if isinstance(r, str) else None, NOW, NOW)
         for uri, r in results.items()
         if r is not None
     ]

@@ -17,14 +17,14 @@ T0 = dt.datetime(2024, 1, 1)
 URI = "/akn/fi/act/statute/2024/{}/fin@"
 
 
-def attempts(spark, lines):
-    """(uri, kind, link, [status or exception text, ...]) per request."""
+def attempts(spark, lines, run="r1"):
+    """(uri, kind, link, [status or exception text, ...]) per request of one run."""
     out = []
     for uri, kind, link, chain in lines:
         for n, result in enumerate(chain, 1):
             status, exception = (None, result) if isinstance(result, str) else (result, None)
             start = T0 + dt.timedelta(seconds=len(out))
-            out.append((uri, kind, link, n, status, exception, start, start + dt.timedelta(milliseconds=100)))
+            out.append((run, uri, kind, link, n, status, exception, start, start + dt.timedelta(milliseconds=100)))
     random.Random(5).shuffle(out)
     return spark.createDataFrame(out, ATTEMPT)
 
@@ -44,13 +44,15 @@ def test_final_responses(spark):
             ("two", "media", "media/2.gif", [404]),
         ],
     )
-    got = {(r.akn_uri, r.link): tuple(r)[3:7] for r in O.final_responses(log).collect()}
+    final = O.final_responses(log).collect()
+    got = {(r.akn_uri, r.link): (r.http_status, r.exception, r.attempts_used, r.exhausted) for r in final}
+    assert {r.akn_uri for r in final if r.over_budget} == {"long"}
     assert got == {
         ("ok", None): (200, None, 1, False),
         ("429", None): (200, None, 2, False),
         ("503", None): (404, None, 3, False),
         ("out", None): (503, None, 6, True),
-        ("long", None): (503, None, 6, True),
+        ("long", None): (200, None, 7, False),
         ("timeout", None): (None, "read timed out", 2, False),
         ("down", None): (None, "refused", 6, True),
         ("two", "media/1.gif"): (200, None, 1, False),
@@ -58,6 +60,13 @@ def test_final_responses(spark):
     }
 
 
+def test_newest_run_decides(spark):
+    first = attempts(spark, [("back", "xml", None, [503] * 6), ("gone", "xml", None, [200]), ("once", "xml", None, [200])])
+    second = attempts(spark, [("back", "xml", None, [200]), ("gone", "xml", None, [503, 404])], run="r2")
+    got = {r.akn_uri: (r.run_id, r.http_status, r.attempts_used, r.exhausted) for r in O.final_responses(first.union(second)).collect()}
+    assert got == {"back": ("r2", 200, 1, False), "gone": ("r2", 404, 2, False), "once": ("r1", 200, 1, False)}
+
+
 def test_classes_and_retryable(spark):
     log = spark.createDataFrame([(s,) for s in (200, 304, 404, 429, 500, 501, 502, 503, 504, None)], "http_status int")
     classes = {r.http_status: r.response_class for r in O.classify_responses(log).collect()}

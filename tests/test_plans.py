@@ -78,6 +78,7 @@ def test_hot_uri_is_split_in_dedup(spark, small_skew, hot):
 def test_hot_uri_is_split_in_outcome(spark, small_skew, hot):
     work = S.with_paths(S.with_document_key(spark.read.parquet(hot), BASE)).withColumn("exists", F.lit(False))
     attempts = work.select(
+        F.lit("r1").alias("run_id"),
         "akn_uri",
         F.lit("xml").alias("kind"),
         F.lit(None).cast("string").alias("link"),
@@ -150,3 +151,33 @@ def test_no_cross_joins(spark, name):
 
     text = plan(QUERIES[name](spark, "/root/testdata/sf0.001"))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_a_run_moves_the_log_once_and_the_uris_twice(spark, tmp_path):
+    """The log by URI; the URIs by URI and by folder; the listing is read once."""
+    from checks.queries import PARAMS, _tables
+    from lawgrain.plans import crawl as C
+
+    tables = _tables(spark, "/root/testdata/sf0.001")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    texts = []
+    keep = C.staged
+
+    def spy(table, label):
+        texts.append((label, plan(table)))
+        return keep(table, label)
+
+    C.staged = spy
+    try:
+        C.crawl_manifest(tables, PARAMS, "2001-12-31 00:00:00").collect()
+    finally:
+        C.staged = keep
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    scans = dict(texts)
+    assert scans["scope"].count("FileScan parquet") == 1 and "Exchange" not in scans["scope"].replace("BroadcastExchange", "")
+    exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", scans["outcomes"])
+    # each side of the folder join by folder; all else by URI, the log in one exchange
+    assert len([e for e in exchanges if "folder_path" in e]) <= 3
+    assert all("akn_uri" in e or "folder_path" in e for e in exchanges)
+    assert not any("kind" in e or "link" in e for e in exchanges)
