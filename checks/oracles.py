@@ -89,7 +89,14 @@ stored AS (
 
 # A run over all copies of every URI: the outcome is the URI's, the first
 # completed copy ends it.
-_CRAWL = (
+def _crawl(resume: bool = True, force: bool = False, dry_run: bool = False) -> str:
+    todo = "WHERE akn_uri NOT IN (SELECT akn_uri FROM completed)" if resume else ""
+    decided = _DECIDED.format(work="todo")
+    if force:
+        decided = decided.replace("ON i.folder_path = w.folder_path", "ON FALSE")
+    if dry_run:
+        decided = decided.replace("WHEN x.akn_uri IS NULL THEN NULL", "WHEN TRUE THEN 'dry-run'")
+    return (
     ctes("listing", "completed", "inventory", "attempts")
     + PARSED
     + _TYPES
@@ -98,10 +105,10 @@ _CRAWL = (
   SELECT p.* REPLACE (CAST(pass_no AS BIGINT) * 288230376151711744 + item_no AS item_no)
   FROM parsed p JOIN types ON category = t_category AND document_type = t_type
   WHERE (year_int IS NULL OR {_WINDOW}) AND (doc_lang_and_version IS NULL OR doc_lang_and_version = 'fin@')),
-todo AS (SELECT * FROM scoped WHERE akn_uri NOT IN (SELECT akn_uri FROM completed))
+todo AS (SELECT * FROM scoped {todo})
 """
     + _FINAL
-    + _DECIDED.format(work="todo")
+    + decided
     + """
 , listed AS (
   SELECT item_no, akn_uri, outcome AS status, coalesce(first_ts, TIMESTAMP '2001-12-31 00:00:00') AS timestamp,
@@ -113,6 +120,9 @@ todo AS (SELECT * FROM scoped WHERE akn_uri NOT IN (SELECT akn_uri FROM complete
 """
 )
 
+
+_CRAWL = _crawl()
+
 _LINKS = (
     ctes("xml_corpus")
     + """
@@ -354,6 +364,25 @@ ORACLES: dict[str, str] = {
     + """SELECT count(*) AS total, count(*) FILTER (WHERE status = 'success') AS success,
          count(*) FILTER (WHERE status = 'skipped') AS skipped, count(*) FILTER (WHERE status = 'error') AS error,
          CAST(CASE WHEN count(*) FILTER (WHERE status = 'error') = 0 THEN 0 ELSE 1 END AS INTEGER) AS exit_code FROM listed""",
+    "crawl_no_resume": _crawl(resume=False) + "SELECT * FROM listed",
+    "crawl_force": _crawl(force=True) + "SELECT * FROM listed",
+    "crawl_dry_run": _crawl(dry_run=True) + "SELECT * FROM listed",
+    # A second run finds completed what the first has not failed at.
+    "run_crawl_resume": _CRAWL
+    + """SELECT '007' AS run_id, item_no, akn_uri, status, error FROM listed
+         UNION ALL SELECT '008', item_no, akn_uri, status, error FROM listed WHERE status = 'error'""",
+    "run_crawl_reset": f"""SELECT '007' AS run_id, item_no, akn_uri, status, error FROM ({_CRAWL} SELECT * FROM listed)
+         UNION ALL SELECT '008', item_no, akn_uri, status, error FROM ({_crawl(resume=False)} SELECT * FROM listed)""",
+    "run_crawl_report": f"""SELECT count(*) AS total, count(*) FILTER (WHERE status = 'success') AS success,
+         count(*) FILTER (WHERE status = 'skipped') AS skipped, count(*) FILTER (WHERE status = 'error') AS error,
+         CAST(CASE WHEN count(*) FILTER (WHERE status = 'error') = 0 THEN 0 ELSE 1 END AS INTEGER) AS exit_code FROM (
+         SELECT status FROM ({_CRAWL} SELECT * FROM listed)
+         UNION ALL SELECT status FROM ({_crawl(resume=False)} SELECT * FROM listed))""",
+    "run_crawl_progress": f"""SELECT run_id, category, document_type, max(rn) AS position FROM (
+         SELECT run_id, category, document_type, akn_uri, done,
+           row_number() OVER (PARTITION BY run_id, category, document_type ORDER BY item_no) AS rn
+         FROM ({_CRAWL} SELECT *, akn_uri IN (SELECT akn_uri FROM completed) AS done FROM scoped), (VALUES ('007'), ('008')) v(run_id))
+       WHERE run_id = '008' OR NOT done GROUP BY ALL""",
     "pending_documents": _CRAWL
     + """SELECT item_no - (item_no // 288230376151711744) * 288230376151711744 AS item_no, akn_uri,
          'corpus/' || folder_path AS target_folder FROM todo

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -453,6 +454,60 @@ def pending_documents(spark, sf):
     return C.pending_documents(_tables(spark, sf), PARAMS)
 
 
+def _single_run(spark, sf, **options) -> DataFrame:
+    entries = C.crawl_manifest(_tables(spark, sf), replace(PARAMS, **options), RUN_TIMESTAMP)
+    return entries.withColumn("files", F.concat_ws("|", "files"))
+
+
+@query
+def crawl_no_resume(spark, sf):
+    return _single_run(spark, sf, resume=False)
+
+
+@query
+def crawl_force(spark, sf):
+    return _single_run(spark, sf, force=True)
+
+
+@query
+def crawl_dry_run(spark, sf):
+    return _single_run(spark, sf, dry_run=True)
+
+
+def _two_runs(spark, sf, **second) -> tuple[C.CatalogueRoots, DataFrame]:
+    roots = C.CatalogueRoots(*(scratch_dir(spark, n) for n in ("manifest", "completed", "progress")))
+    tables = _tables(spark, sf)
+    C.run_crawl(tables, roots, PARAMS, "007", RUN_TIMESTAMP)
+    for _ in range(2):  # the second run is repeated
+        report = C.run_crawl(tables, roots, replace(PARAMS, **second), "008", RUN_TIMESTAMP)
+    return roots, report
+
+
+@query
+def run_crawl_resume(spark, sf):
+    roots, _ = _two_runs(spark, sf)
+    return G.read_manifest_table(spark, roots.manifest).select("run_id", "item_no", "akn_uri", "status", "error")
+
+
+@query
+def run_crawl_reset(spark, sf):
+    roots, _ = _two_runs(spark, sf, reset=True)
+    return G.read_manifest_table(spark, roots.manifest).select("run_id", "item_no", "akn_uri", "status", "error")
+
+
+@query
+def run_crawl_report(spark, sf):
+    return _two_runs(spark, sf, resume=False)[1]
+
+
+@query
+def run_crawl_progress(spark, sf):
+    roots, _ = _two_runs(spark, sf, resume=False)
+    fields = "category STRING, document_type STRING, position BIGINT, run_id STRING"
+    stored = spark.read.option("basePath", roots.progress).schema(fields).parquet(roots.progress)
+    return stored.select("run_id", "category", "document_type", "position")
+
+
 # -- sources and sinks ------------------------------------------------------
 
 
@@ -536,7 +591,9 @@ def _finish(stream) -> None:
 @query
 def stream_listing(spark, sf):
     table, checkpoint = scratch_dir(spark, "stream"), scratch_dir(spark, "checkpoint")
-    _finish(J.append_to_table(J.stream_listing(spark, _write_list_pages(spark, sf)), table, checkpoint))
+    pages = _write_list_pages(spark, sf)
+    for _ in range(2):  # the second run finds nothing new
+        _finish(J.append_to_table(J.stream_listing(spark, pages, max_files=4), table, checkpoint))
     read = spark.read.parquet(table)
     return read.select("category", "document_type", "page", F.col("pos").cast("bigint"), "akn_uri", "status")
 
@@ -544,7 +601,7 @@ def stream_listing(spark, sf):
 @query
 def stream_dedup(spark, sf):
     table, checkpoint = scratch_dir(spark, "stream"), scratch_dir(spark, "checkpoint")
-    listing = J.stream_listing(spark, _write_list_pages(spark, sf))
+    listing = J.stream_listing(spark, _write_list_pages(spark, sf), max_files=4)
     fresh = J.stream_dedup(listing, derive(spark, sf, "completed")).select("akn_uri")
     _finish(J.append_to_table(fresh, table, checkpoint))
     return spark.read.parquet(table)
@@ -553,8 +610,8 @@ def stream_dedup(spark, sf):
 def _manifest_stream(spark, sf) -> DataFrame:
     source = scratch_dir(spark, "entries")
     entries = derive(spark, sf, "manifest")
-    entries.write.parquet(source)
-    return spark.readStream.schema(entries.schema).parquet(source)
+    entries.repartition(4).write.parquet(source)
+    return spark.readStream.schema(entries.schema).option("maxFilesPerTrigger", 1).parquet(source)
 
 
 @query
@@ -574,7 +631,7 @@ def stream_manifest(spark, sf):
 @query
 def stream_progress(spark, sf):
     table, checkpoint = scratch_dir(spark, "progress"), scratch_dir(spark, "checkpoint")
-    listing = J.stream_listing(spark, _write_list_pages(spark, sf))
+    listing = J.stream_listing(spark, _write_list_pages(spark, sf), max_files=4)
     _finish(J.keep_current(J.stream_progress(listing), table, checkpoint))
     return J.read_current(spark, table)
 
@@ -584,14 +641,19 @@ def stream_crawl(spark, sf):
     manifest, completed = scratch_dir(spark, "manifest"), scratch_dir(spark, "completed")
     tables = _tables(spark, sf)
 
-    def decide(batch: DataFrame, before: DataFrame) -> DataFrame:
+    def decide(batch: DataFrame, before: DataFrame, stored: DataFrame) -> DataFrame:
         done = M.set_add(tables.completed, before)
-        landed = C.LandingTables(batch, done, tables.inventory, tables.attempts)
+        landed = C.LandingTables(batch, done, tables.inventory.unionByName(stored), tables.attempts)
         return C.crawl_manifest(landed, PARAMS, RUN_TIMESTAMP)
 
-    source = scratch_dir(spark, "listing")
-    tables.listing.write.parquet(source)
-    listing = spark.readStream.schema(tables.listing.schema).parquet(source)
-    _finish(J.stream_crawl(listing, decide, manifest, completed, scratch_dir(spark, "checkpoint")))
+    source, checkpoint = scratch_dir(spark, "listing"), scratch_dir(spark, "checkpoint")
+    schema = tables.listing.schema
+    # Four parts of the listing in two runs of the stream; repeats come after first copies.
+    late, acts = F.col("item_no") >= 1_000_000_000, F.col("category") == "act"
+    for parts in ((acts & ~late, acts & late), (~acts & ~late, ~acts & late)):
+        for part in parts:
+            tables.listing.where(part).coalesce(1).write.mode("append").parquet(source)
+        listing = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+        _finish(J.stream_crawl(listing, decide, manifest, completed, checkpoint))
     stored = spark.read.option("basePath", manifest).parquet(manifest)
     return stored.select("item_no", "akn_uri", "status", "timestamp", F.concat_ws("|", "files").alias("files"), "error")

@@ -71,6 +71,17 @@ def completed_set(manifest: DataFrame) -> DataFrame:
     return filter_completable(manifest).select("akn_uri").distinct()
 
 
+def stored_folders(entries: DataFrame, output_dir: str) -> DataFrame:
+    """Distinct folders of the documents that entries report as stored.
+
+    The first file of a success is its main XML.
+    """
+    main = F.get("files", F.lit(0))
+    folder = F.expr(f"substring(main, {len(output_dir) + 2}, length(main) - {len(output_dir) + 1 + len('/main.xml')})")
+    stored = entries.where("status = 'success'").select(main.alias("main"))
+    return stored.where(F.endswith("main", F.lit("/main.xml"))).select(folder.alias("folder_path")).distinct()
+
+
 def last_uri(manifest: DataFrame) -> DataFrame:
     """URI completed last, by time and then item number."""
     return filter_completable(manifest).agg(

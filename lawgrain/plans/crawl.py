@@ -12,7 +12,8 @@ from lawgrain.operators import scope as S
 from lawgrain.operators import worklist as W
 from lawgrain.operators.joins import attach
 from lawgrain.params import COMPLETED_STATUSES, CrawlParams
-from lawgrain.session import staged
+from lawgrain.session import path_exists, staged, staging_area
+from lawgrain.sources import catalogue as G
 from lawgrain.sources import landing as L
 
 
@@ -178,3 +179,48 @@ def run_report(manifest: DataFrame) -> DataFrame:
     return M.manifest_summary(manifest).withColumn(
         "exit_code", F.when(F.col("error") == 0, 0).otherwise(1)
     )
+
+
+@dataclass(frozen=True)
+class CatalogueRoots:
+    """Folders of the catalogue's tables."""
+
+    manifest: str
+    completed: str
+    progress: str
+
+
+def run_crawl(
+    tables: LandingTables, roots: CatalogueRoots, params: CrawlParams, run_id: str, run_timestamp: str
+) -> DataFrame:
+    """A whole run: state read, entries made, state written, verdict over all history.
+
+    `tables.completed` counts beside the completed URIs of earlier runs, unless the
+    run resets: then both are forgotten and the manifest stays. Each table gets the
+    run as a partition of its own, so a repeated run replaces itself; what it had
+    completed itself does not count. Run ids sort by time. Tables staged on the way
+    are removed. Returns the summary with the exit code.
+    """
+    spark = tables.listing.sparkSession
+    if params.reset:
+        G.reset_state(spark, roots.completed, roots.progress)
+    known = tables.completed.select("akn_uri")
+    if params.reset:
+        known = known.where(F.lit(False))
+    elif path_exists(spark, roots.completed):
+        known = known.unionByName(G.read_completed(spark, roots.completed, but_run=run_id))
+    landed = LandingTables(tables.listing, known, tables.inventory, tables.attempts)
+    with staging_area(spark):
+        G.write_manifest(crawl_manifest(landed, params, run_timestamp), roots.manifest, run_id)
+        entries = spark.read.parquet(f"{roots.manifest}/run_id={run_id}")
+        G.write_completed(entries, roots.completed, run_id)
+        scope = scoped_listing(tables.listing, params).select("category", "document_type", "run_order", "akn_uri")
+        done = known.select("akn_uri").distinct().withColumn("_done", F.lit(True))
+        if not params.resume:
+            done = done.where(F.lit(False))
+        flagged = attach(scope, done, "akn_uri").withColumn("processed", F.col("_done").isNull())
+        progress = M.progress_counter(flagged, order="run_order").select(
+            "category", "document_type", "position", F.to_timestamp_ntz(F.lit(run_timestamp)).alias("updated_at")
+        )
+        G.write_progress(progress, roots.progress, run_id)
+    return run_report(G.read_manifest_table(spark, roots.manifest))

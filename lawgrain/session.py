@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -69,6 +71,43 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def _path(spark: SparkSession, path: str):
+    """Hadoop path and its file system: the store may be one that only Spark reads."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    found, store = _path(spark, path)
+    return store.exists(found)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    found, store = _path(spark, path)
+    store.delete(found, True)
+
+
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right below a folder."""
+    found, store = _path(spark, path)
+    return [s.getPath().getName() for s in store.listStatus(found) if s.isDirectory()] if store.exists(found) else []
+
+
+# Paths staged inside each `staging_area` that is open, innermost last.
+_AREAS: list[list[str]] = []
+
+
+@contextmanager
+def staging_area(spark: SparkSession) -> Iterator[None]:
+    """Removes at its end what was staged inside; for jobs that finish inside."""
+    _AREAS.append([])
+    try:
+        yield
+    finally:
+        for path in _AREAS.pop():
+            remove_path(spark, path)
+
+
 def staged(table: DataFrame, label: str) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
@@ -76,5 +115,7 @@ def staged(table: DataFrame, label: str) -> DataFrame:
     columns it needs and survives the loss of the executors that made it.
     """
     path = scratch_dir(table.sparkSession, label)
+    if _AREAS:
+        _AREAS[-1].append(path)
     table.write.parquet(path)
     return table.sparkSession.read.schema(table.schema).parquet(path)

@@ -66,9 +66,17 @@ def write_completed(manifest_entries: DataFrame, root: str, run_id: str) -> None
     completed_set(manifest_entries).write.mode("overwrite").parquet(f"{root}/run_id={run_id}")
 
 
-def read_completed(spark: SparkSession, root: str) -> DataFrame:
-    """Completed URIs of all runs; one completed by several runs is there as often."""
-    return spark.read.schema(COMPLETED).parquet(f"{root}/run_id=*").select("akn_uri")
+def read_completed(spark: SparkSession, root: str, but_run: str | None = None) -> DataFrame:
+    """Completed URIs of all runs; one completed by several runs is there as often.
+
+    `but_run` leaves one run out: a run that is repeated, whose part is about to be
+    replaced.
+    """
+    fields = StructType([*COMPLETED.fields, StructField("run_id", StringType())])
+    table = spark.read.option("basePath", root).schema(fields).parquet(f"{root}/run_id=*")
+    if but_run is not None:
+        table = table.where(F.col("run_id") != but_run)
+    return table.select("akn_uri")
 
 
 def write_progress(progress: DataFrame, root: str, run_id: str) -> None:

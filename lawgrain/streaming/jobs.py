@@ -8,19 +8,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from lawgrain.operators.manifest import completed_set
+from lawgrain.operators.manifest import completed_set, stored_folders
 from lawgrain.schemas import COMPLETED
+from lawgrain.session import child_folders, path_exists, remove_path, staging_area
 from lawgrain.sources.landing import stream_list_pages
 
 
-def stream_listing(spark: SparkSession, landing: str) -> DataFrame:
-    """Listing rows of list pages as they arrive."""
-    return stream_list_pages(spark, landing)
+def stream_listing(
+    spark: SparkSession, landing: str, max_files: int | None = None, max_bytes: str | None = None
+) -> DataFrame:
+    """Listing rows of list pages as they arrive, so many files or bytes at a time."""
+    return stream_list_pages(spark, landing, max_files, max_bytes)
 
 
 def stream_dedup(listing: DataFrame, completed: DataFrame) -> DataFrame:
@@ -59,11 +61,15 @@ def keep_current(aggregate: DataFrame, root: str, checkpoint: str) -> StreamingQ
     """Keep the latest state of a small aggregate; each batch is a version.
 
     Versions are written whole under their batch number, so that a reader
-    never sees half of one and a replayed batch replaces itself.
+    never sees half of one and a replayed batch replaces itself. The version
+    before stays for readers that have begun; older ones are removed.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
+        for old in _versions(batch.sparkSession, root):
+            if old < batch_id - 1:
+                remove_path(batch.sparkSession, f"{root}/batch_id={old}")
 
     return (
         aggregate.writeStream.outputMode("complete")
@@ -74,12 +80,15 @@ def keep_current(aggregate: DataFrame, root: str, checkpoint: str) -> StreamingQ
     )
 
 
+def _versions(spark: SparkSession, root: str) -> list[int]:
+    """Numbers of the versions that are written completely."""
+    names = [n for n in child_folders(spark, root) if n.startswith("batch_id=")]
+    return sorted(int(n.split("=")[1]) for n in names if path_exists(spark, f"{root}/{n}/_SUCCESS"))
+
+
 def read_current(spark: SparkSession, root: str) -> DataFrame:
-    """Latest version kept by `keep_current`."""
-    versions = spark.read.option("basePath", root).parquet(root)
-    # The newest version is a constant of the file listing: only it is read.
-    newest = versions.select(F.max("batch_id")).first()[0]
-    return versions.where(F.col("batch_id") == newest).drop("batch_id")
+    """Latest version kept by `keep_current`; the folder names say which it is."""
+    return spark.read.parquet(f"{root}/batch_id={_versions(spark, root)[-1]}")
 
 
 def stream_manifest(entries: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
@@ -101,39 +110,48 @@ def stream_manifest(entries: DataFrame, root: str, checkpoint: str) -> Streaming
 
 
 def _read_batches_before(spark: SparkSession, root: str, schema: StructType, batch_id: int) -> DataFrame:
-    try:
-        table = spark.read.option("basePath", root).schema(schema.add("batch_id", "long")).parquet(root)
-    except AnalysisException:
-        # Nothing has been written yet.
+    if not path_exists(spark, root):
         return spark.createDataFrame([], schema)
+    fields = StructType([*schema.fields, StructField("batch_id", LongType())])
+    table = spark.read.option("basePath", root).schema(fields).parquet(root)
     return table.where(F.col("batch_id") < batch_id).drop("batch_id")
 
 
+# What a batch adds to the state of `stream_crawl`.
+_STATE = StructType([*COMPLETED.fields, StructField("folder_path", StringType())])
+
+
 def stream_crawl(
     listing: DataFrame,
-    decide: Callable[[DataFrame, DataFrame], DataFrame],
+    decide: Callable[[DataFrame, DataFrame, DataFrame], DataFrame],
     manifest_root: str,
     completed_root: str,
     checkpoint: str,
+    output_dir: str = "corpus",
 ) -> StreamingQuery:
     """Work off a listing stream into manifest and completed tables.
 
-    `decide(batch, completed)` gives the manifest entries of a batch of listing
-    rows. Completed URIs are read back from the table, so that, unlike with a
-    de-duplicating stream, a URI that failed is tried again when it is listed
-    again, and no state is kept in the stream.
+    `decide(batch, completed, stored)` gives the manifest entries of a batch of
+    listing rows; `stored` has the folders that earlier batches stored, so that a
+    second URI of such a folder is skipped as it is within one batch. State is
+    read back from the table, so that, unlike with a de-duplicating stream, a URI
+    that failed is tried again when it is listed again, and none is kept in the
+    stream. What a batch stages is removed with it.
     """
-    schema = StructType(COMPLETED.fields)
 
     def work(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        before = _read_batches_before(spark, completed_root, StructType(list(schema.fields)), batch_id)
+        before = _read_batches_before(spark, completed_root, _STATE, batch_id)
+        completed = before.where("akn_uri IS NOT NULL").select("akn_uri")
+        stored = before.where("folder_path IS NOT NULL").select("folder_path")
         part = f"{manifest_root}/batch_id={batch_id}"
-        decide(batch, before).write.mode("overwrite").parquet(part)
+        with staging_area(spark):
+            decide(batch, completed, stored).write.mode("overwrite").parquet(part)
         # Read back what was stored instead of deciding twice.
-        completed_set(spark.read.parquet(part)).write.mode("overwrite").parquet(
-            f"{completed_root}/batch_id={batch_id}"
-        )
+        entries = spark.read.parquet(part)
+        done = completed_set(entries).withColumn("folder_path", F.lit(None).cast("string"))
+        folders = stored_folders(entries, output_dir).withColumn("akn_uri", F.lit(None).cast("string"))
+        done.unionByName(folders).write.mode("overwrite").parquet(f"{completed_root}/batch_id={batch_id}")
 
     return (
         listing.writeStream.foreachBatch(work)

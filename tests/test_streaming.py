@@ -82,8 +82,9 @@ def test_stream_crawl_retries_errors_and_skips_completed(spark, tmp_path):
     schema = "item_no long, akn_uri string, result string"
     manifest, completed = str(tmp_path / "manifest"), str(tmp_path / "completed")
 
-    def decide(batch, before):
-        return batch.join(before, "akn_uri", "left_anti").select("akn_uri", F.col("result").alias("status"))
+    def decide(batch, before, stored):
+        files = F.array(F.concat(F.lit("corpus/"), "akn_uri", F.lit("/main.xml"))).alias("files")
+        return batch.join(before, "akn_uri", "left_anti").select("akn_uri", F.col("result").alias("status"), files)
 
     batches = [
         [(1, "a", "error"), (2, "b", "success")],
