@@ -388,6 +388,10 @@ ORACLES: dict[str, str] = {
          'corpus/' || folder_path AS target_folder FROM todo
          WHERE ok AND folder_path NOT IN (SELECT folder_path FROM inventory)""",
     "read_list_pages": _LIST_PAGES,
+    "listed_items": f"SELECT * FROM ({_LIST_PAGES}) WHERE page <= 3",
+    "file_inventory": ctes("xml_corpus")
+    + """SELECT DISTINCT 'run_id=001/category=act/document_type=statute/year=' || CAST(2015 + doc_id % 8 AS VARCHAR) AS folder,
+         TRUE AS filled FROM xml_corpus""",
     "read_manifest": _MANIFEST + "SELECT akn_uri, status, timestamp, akn_uri AS files, error FROM manifest",
     "write_manifest": _MANIFEST
     + """SELECT CASE WHEN status = 'error' THEN '007' ELSE '2026-02-01' END AS run_id, item_no, akn_uri, status, timestamp

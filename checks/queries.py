@@ -511,23 +511,45 @@ def run_crawl_progress(spark, sf):
 # -- sources and sinks ------------------------------------------------------
 
 
-def _write_list_pages(spark, sf) -> str:
-    """The listing as JSON list pages, one file per page."""
+def _list_pages(spark, sf) -> DataFrame:
+    """The listing as JSON list pages: category, document_type, page, value."""
     paged = S.paginate(_listing(spark, sf), limit=PAGE_ITEMS)
     uri = F.when(F.col("akn_uri") != "", F.col("akn_uri")).alias("akn_uri")
     # A page holds at most PAGE_ITEMS items, so its array is small.
     items = F.array_sort(F.collect_list(F.struct("position", uri, "status")))
     body = F.to_json(F.transform(items, lambda item: F.struct(item["akn_uri"].alias("akn_uri"), item["status"].alias("status"))))
+    return paged.groupBy("category", "document_type", "page").agg(body.alias("value"))
+
+
+def _write_list_pages(spark, sf) -> str:
+    """One file for each list page."""
     path = scratch_dir(spark, "pages")
-    (
-        paged.groupBy("category", "document_type", "page")
-        .agg(body.alias("value"))
-        .write.partitionBy("category", "document_type", "page")
-        .text(path)
-    )
+    _list_pages(spark, sf).write.partitionBy("category", "document_type", "page").text(path)
     return path
 
 
+@query
+def listed_items(spark, sf):
+    """The form for large landing zones: a table of answered pages."""
+    path = scratch_dir(spark, "page-table")
+    pages = _list_pages(spark, sf).withColumnRenamed("value", "body").withColumn("http_status", F.lit(200))
+    pages.select("category", "document_type", "page", "http_status", "body").write.parquet(path)
+    params = replace(PARAMS, limit=PAGE_ITEMS, max_pages=3)
+    listing = C.listed_items(L.read_page_table(spark, path), params)
+    return listing.select("category", "document_type", "page", F.col("pos").cast("bigint"), "akn_uri", "status")
+
+
+@query
+def file_inventory(spark, sf):
+    """Folders that the files of a stored corpus lie in, and whether all have content."""
+    path = scratch_dir(spark, "corpus")
+    corpus = derive(spark, sf, "xml_corpus")
+    G.write_corpus(corpus.withColumn("info", U.parse_uri(F.col("akn_uri"), BASE_PATH)), path, "001")
+    files = L.file_inventory(spark, path).where(F.endswith("path", F.lit(".parquet")))
+    folder = F.regexp_extract("path", "/(run_id=.*)/[^/]+$", 1)
+    return files.groupBy(folder.alias("folder")).agg(F.bool_and(F.col("length") > 0).alias("filled"))
+
+
 @query
 def read_list_pages(spark, sf):
     listing = L.read_list_pages(spark, _write_list_pages(spark, sf))
@@ -537,11 +559,11 @@ def read_list_pages(spark, sf):
 @query
 def read_manifest(spark, sf):
     entries = derive(spark, sf, "manifest")
-    # One manifest per document, so that each holds a bounded history.
+    # One manifest per document and year, so that none holds a whole history.
     entry = F.struct("akn_uri", "status", "timestamp", F.array("akn_uri").alias("files"), "error")
     body = F.to_json(F.struct(F.collect_list(entry).alias("entries")), {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"})
     path = scratch_dir(spark, "manifest-json")
-    entries.groupBy("akn_uri").agg(body.alias("value")).select("value").write.text(path)
+    entries.groupBy("akn_uri", F.year("timestamp")).agg(body.alias("value")).select("value").write.text(path)
     read = G.read_manifest(spark, path, multiline=False)
     return read.select("akn_uri", "status", "timestamp", F.concat_ws("|", "files").alias("files"), "error")
 

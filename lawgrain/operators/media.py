@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, functions as F
 from lawgrain.functions import uri as U
 from lawgrain.functions import xml as X
 from lawgrain.params import CrawlParams
-from lawgrain.schemas import DOCUMENT_INFO  # noqa: F401  (documents the `info` column)
 
 
 def with_media_links(corpus: DataFrame, xml: str = "xml", is_text: bool = True) -> DataFrame:

@@ -159,6 +159,10 @@ def test_folders_as_python_would_make_them(spark, parts):
     frame = spark.createDataFrame([(uri,) for uri in uris], "uri string")
     got = [row[0] for row in frame.select(U.key_folder(U.document_key(F.col("uri"), BASE))).collect()]
     assert got == [python_key(uri) for uri in uris]
+    # the SQL functions repeat the rules as text: they must agree on any input
+    U.register_sql_functions(spark, BASE)
+    same = F.expr("akn_folder(akn_parse(uri))").eqNullSafe(U.folder_path(U.parse_uri(F.col("uri"), BASE)))
+    assert frame.where(~same).count() == 0
 
 
 @pytest.mark.parametrize(
