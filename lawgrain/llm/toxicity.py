@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lawgrain.llm.samples import least_hashes
 from lawgrain.llm.texts import Texts, Words, run_hashes, slices
 
 # Features of a word: itself and its first bytes, so that inflected forms share weight.
@@ -36,7 +37,7 @@ _BREAK[[ord(c) for c in ".!?\n"]] = 1
 
 @dataclass(frozen=True)
 class ToxicityParams:
-    sample_docs: int = 8_000
+    sample_docs: int = 5_000
     buckets: int = 1 << 18
     min_docs: int = 5
     min_z: float = 4.0
@@ -91,7 +92,10 @@ class Model:
 
 
 def train(docs: list[tuple[int, np.ndarray, np.ndarray]], params: ToxicityParams) -> Model:
-    """Noisy-or likelihood by Adam on the whole sample: (toxic, buckets, sentences) rows."""
+    """Noisy-or likelihood by Adam on the whole sample.
+
+    Rows of a label, the buckets of each word and the sentence of each word.
+    """
     weight = np.zeros(params.buckets)
     toxic = np.array([d[0] for d in docs], float)
     if not len(docs) or not toxic.any():
@@ -104,14 +108,14 @@ def train(docs: list[tuple[int, np.ndarray, np.ndarray]], params: ToxicityParams
     error = np.sqrt(p * (1 - p).clip(1e-9) / n_pos + q * (1 - q).clip(1e-9) / n_neg)
     chosen = (positive + negative >= params.min_docs) & (np.abs(p - q) >= params.min_z * error)
     features = np.flatnonzero(chosen)
-    place = np.full(params.buckets, -1)
+    place = np.full(params.buckets, -1, np.int32)
     place[features] = np.arange(len(features))
     feat, sent, text, n_sent = [], [], [], 0
     for i, (_, bucket, sentence) in enumerate(docs):
         known = place[bucket]
         use = known >= 0
         feat.append(known[use])
-        sent.append(sentence[use] + n_sent)
+        sent.append(np.repeat(sentence, FEATURES)[use] + n_sent)
         count = int(sentence[-1]) + 1 if len(sentence) else 0
         text.append(np.full(count, i))
         n_sent += count
@@ -150,9 +154,8 @@ def fit(docs: DataFrame, labels: DataFrame, params: ToxicityParams, id_col: str,
         .where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & in_training(F.col("doc_id")))
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(params.sample_docs)
     )
+    chosen = least_hashes(chosen, F.col("doc_id"), params.sample_docs)
     texts = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
     sample = texts.join(F.broadcast(chosen), "doc_id").select("toxic", "text")
 
@@ -160,9 +163,12 @@ def fit(docs: DataFrame, labels: DataFrame, params: ToxicityParams, id_col: str,
         for batch in batches:
             for part, texts in slices(batch, "text"):
                 bags, words = Bags.of(texts, params.buckets)
-                first = words.first_word * FEATURES
+                first, sentence = words.first_word, bags.sentence[::FEATURES]
                 rows = [
-                    (bags.bucket[a:b].astype(np.int32), (bags.sentence[a:b] - bags.sentence[a : a + 1]).astype(np.int32))
+                    (
+                        bags.bucket[a * FEATURES : b * FEATURES].astype(np.int32),
+                        (sentence[a:b] - sentence[a : a + 1]).astype(np.int32),
+                    )
                     for a, b in zip(first[:-1], first[1:])
                 ]
                 yield pa.RecordBatch.from_arrays(
