@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lawgrain.llm.samples import least_hashes
 from lawgrain.llm.texts import Texts, Words, mix, slices
 
 # Notices and opening paragraphs of common licences (fixed texts).
@@ -274,14 +275,9 @@ def train(unknown: list[str], params: LicenceParams) -> Model:
 
 def unknown_paragraphs(docs: DataFrame, params: LicenceParams, text_col: str) -> list[str]:
     """Lines of the documents whose text hashes lowest, a bounded number of bytes each."""
-    text = docs[text_col].cast("string")
-    rows = (
-        docs.select(F.xxhash64(text).alias("h"), F.substring(text, 1, params.sample_bytes // 4).alias("text"))
-        .where(F.col("text").isNotNull())
-        .orderBy("h", "text")
-        .limit(params.sample_docs)
-        .collect()
-    )
+    texts = docs.select(docs[text_col].cast("string").alias("text")).where("text IS NOT NULL")
+    sample = least_hashes(texts, F.col("text"), params.sample_docs)
+    rows = sample.select(F.substring("text", 1, params.sample_bytes // 4).alias("text")).collect()
     return [line for r in rows for line in r["text"].split("\n") if line.strip()]
 
 
