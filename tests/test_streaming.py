@@ -98,3 +98,50 @@ def test_stream_crawl_retries_errors_and_skips_completed(spark, tmp_path):
     rows = spark.read.option("basePath", manifest).parquet(manifest).collect()
     got = sorted((r.batch_id, r.akn_uri, r.status) for r in rows)
     assert got == [(0, "a", "error"), (0, "b", "success"), (1, "a", "success"), (1, "c", "skipped")]
+
+
+def test_stream_crawl_equals_the_batch_over_shared_folders(spark, tmp_path):
+    """Two URIs of one folder: the second is skipped, in one batch or in two."""
+    import datetime as dt
+
+    from lawgrain.operators import manifest as M
+    from lawgrain.params import CrawlParams
+    from lawgrain.plans import crawl as C
+    from lawgrain.schemas import ATTEMPT
+
+    uris = [f"/akn/fi/act/statute/2024/{n}/fin{at}" for at in ("@", "%40") for n in (1, 2)]
+    now = dt.datetime(2024, 5, 1)
+    log = [("r1", u, "xml", None, 1, 503 if "/2/fin@" in u else 200, None, now, now) for u in uris]
+    listing = spark.createDataFrame([(n, "act", "statute", u) for n, u in enumerate(uris)], "item_no long, category string, document_type string, akn_uri string")
+    empty = spark.createDataFrame([], "akn_uri string")
+    folders = spark.createDataFrame([], "folder_path string")
+    attempts = spark.createDataFrame(log, ATTEMPT)
+    params = CrawlParams(base_path="/v1", current_year=2024, resume=True)
+
+    def decide(batch, completed, stored):
+        tables = C.LandingTables(batch, completed, stored, attempts)
+        return C.crawl_manifest(tables, params, "2024-06-01 00:00:00")
+
+    batch = decide(listing, empty, folders)
+    want = sorted((r.akn_uri, r.status) for r in batch.collect())
+    assert [s for _, s in want] == ["skipped", "success", "success", "error"]
+    source, manifest, checkpoint = (str(tmp_path / n) for n in ("listing", "manifest", "checkpoint"))
+    for part in ("item_no < 2", "item_no >= 2"):
+        listing.where(part).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(listing.schema).option("maxFilesPerTrigger", 1).parquet(source)
+        finish(J.stream_crawl(stream, decide, manifest, str(tmp_path / "completed"), checkpoint))
+    entries = spark.read.parquet(manifest)
+    assert sorted((r.akn_uri, r.status) for r in entries.collect()) == want
+    assert {r.folder_path for r in M.stored_folders(entries, "corpus").collect()} == {"act/statute/2024/1/fin@", "act/statute/2024/2/fin@"}
+
+
+def test_old_versions_go(spark, tmp_path):
+    import os
+
+    source, table = str(tmp_path / "entries"), str(tmp_path / "counts")
+    for n in range(4):
+        spark.createDataFrame([(str(n), "success")], "akn_uri string, status string").write.mode("append").parquet(source)
+        entries = spark.readStream.schema("akn_uri string, status string").parquet(source)
+        finish(J.keep_current(J.stream_counts(entries), table, str(tmp_path / "c")))
+    assert sorted(os.listdir(table)) == ["batch_id=2", "batch_id=3"]
+    assert J.read_current(spark, table).first().entries == 4
