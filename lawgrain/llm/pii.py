@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lawgrain.llm.samples import least_hashes
 from lawgrain.llm.texts import slices
 from lawgrain.session import staged
 
@@ -267,12 +268,10 @@ def _unpack(row_nodes: list) -> tuple[list[int], list[int], list[int], list[str]
 
 def fit(table: DataFrame, params: PiiParams) -> Field:
     """The field, from the documents with nodes whose hash is least: a fixed number."""
-    some = (
-        table.where(F.size("nodes") > 0)
-        .select("nodes", F.xxhash64("doc_id", "nodes").alias("h"))
-        .orderBy("h")
-        .limit(params.sample_docs)
-        .select(F.slice("nodes", 1, params.sample_nodes).alias("nodes"))
+    some = least_hashes(
+        table.where(F.size("nodes") > 0).select(F.slice("nodes", 1, params.sample_nodes).alias("nodes")),
+        F.col("nodes"),
+        params.sample_docs,
     )
     return train([_unpack(r["nodes"]) for r in some.collect()], params)
 
