@@ -187,7 +187,7 @@ class Shard:
         """A number for each window of the shard, the same for equal windows."""
         order = suffix_array(self.data)
         prefix = common_prefixes(self.data, order, self.params.length)
-        number = np.empty(len(order), np.int64)
+        number = np.empty(len(order), np.int32)
         number[order] = np.cumsum(prefix < self.params.length)
         return number
 

@@ -26,18 +26,19 @@ def suffix_array(data: np.ndarray) -> np.ndarray:
     # seven bytes, and how many there are: a suffix that ends sooner has a rank of its own
     keys = packed(data) & ~np.uint64(0xFF)
     keys |= np.minimum(n - np.arange(n), 7).astype(np.uint64)
-    order = np.argsort(keys, kind="stable").astype(np.int64)
-    ranked = keys[order]
-    first = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1])) if n else np.zeros(0, np.int64)
+    order = np.argsort(keys, kind="stable").astype(np.int32)
+    keys = keys[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if n else np.zeros(0, np.int64)
+    del keys
     size = np.diff(np.append(first, n))
-    rank = np.empty(n + 1, np.int64)
+    rank = np.empty(n + 1, np.int32)
     rank[n] = -1
     rank[order] = np.repeat(first, size)
-    tied = np.flatnonzero(np.repeat(size, size) > 1)
+    tied = np.flatnonzero(np.repeat(size, size) > 1).astype(np.int32)
     h = 7
     while len(tied):
         suffix = order[tied]
-        key = (rank[suffix] << 32) | (rank[suffix + h] + 1)
+        key = (rank[suffix].astype(np.int64) << 32) | (rank[suffix + h] + 1)
         by = np.argsort(key, kind="stable")
         key, suffix = key[by], suffix[by]
         order[tied] = suffix
@@ -58,10 +59,10 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, limit: int, lane: int =
     a lane goes on comparing eight bytes at a time from where its last prefix ended.
     """
     n = len(data)
-    before = np.full(n, -1, np.int64)
+    before = np.full(n, -1, np.int32)
     before[order[1:]] = order[:-1]
     words = np.concatenate((packed(data), np.zeros(limit + 16, np.uint64)))
-    prefix = np.zeros(n, np.int64)
+    prefix = np.zeros(n, np.int16 if limit < 1 << 15 else np.int32)
     starts = np.arange(0, n, lane)
     length = np.zeros(len(starts), np.int64)
     for step in range(min(lane, n)):
@@ -69,7 +70,7 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, limit: int, lane: int =
         if at[-1] >= n:
             at = at[:-1]
         length = np.maximum(length[: len(at)] - 1, 0)
-        other = before[at]
+        other = before[at].astype(np.int64)
         length[other < 0] = 0
         going = np.flatnonzero((other >= 0) & (length < limit))
         while len(going):
@@ -90,7 +91,7 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, limit: int, lane: int =
             length[going] = l + gain
             going = going[(gain == 8) & (length[going] < limit)]
         prefix[at] = length
-    out = np.zeros(n, np.int64)
+    out = np.zeros(n, prefix.dtype)
     out[1:] = prefix[order[1:]]
     return out
 
