@@ -1,6 +1,7 @@
 """Licence scans: a trained paragraph classifier whose predictions templates confirm.
 
-A paragraph is a line, joined with the next while it does not end a sentence. Its word
+A paragraph is a line, or else a line joined with the next ones while they do not end a
+sentence (joined lines count where none of them is a licence by itself). Its word
 bigrams and trigrams are hashed into a sparse logistic regression over licence families
 and "unknown", trained on altered copies of the templates against paragraphs of a
 bounded sample of documents and sentences that only speak of licences. A temperature,
@@ -118,8 +119,8 @@ _END = np.zeros(256, bool)
 _END[[ord(c) for c in ".:;!?"]] = True
 
 
-def paragraph_of(texts: Texts, words: Words) -> np.ndarray:
-    """A number for each word that changes with its paragraph and its text."""
+def paragraph_of(words: Words, joined: bool) -> np.ndarray:
+    """A number for each word that changes with its line, or joined lines, and its text."""
     if not len(words):
         return np.zeros(0, np.int64)
     newline = words.data == 10
@@ -127,7 +128,7 @@ def paragraph_of(texts: Texts, words: Words) -> np.ndarray:
     full = np.concatenate(([0], np.cumsum(_END[words.data])))
     step = np.diff(lines)
     gap_ends = full[words.start[1:]] > full[words.end[:-1]]
-    new = ((step > 0) & gap_ends) | (step > 1) | (np.diff(words.text_of()) > 0)
+    new = ((step > 0) & (gap_ends | (not joined))) | (step > 1) | (np.diff(words.text_of()) > 0)
     return np.concatenate(([0], np.cumsum(new)))
 
 
@@ -143,6 +144,19 @@ def grams(hashes: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np
     return mix(total[whole]), owner[whole]
 
 
+def _features(hashes: np.ndarray, owner: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bucket, owner and value of each bigram and trigram.
+
+    The values of an owner sum to the same whatever its length, so that a long text
+    does not look like a licence by the number of its common phrases.
+    """
+    parts = [grams(hashes, owner, k) for k in (2, 3)]
+    bucket = np.concatenate([p[0] for p in parts]) & np.uint64(buckets - 1)
+    who = np.concatenate([p[1] for p in parts])
+    total = np.bincount(who) if len(who) else np.zeros(1)
+    return bucket, who, 20.0 / total[who] if len(who) else np.zeros(0)
+
+
 class Template:
     def __init__(self, text: str, shingle: int):
         words = Texts.of([text]).tokens()
@@ -164,16 +178,26 @@ class Model:
     temperature: float
     templates: list[tuple[int, frozenset[int]]]
 
-    def logits(self, hashes: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    def predict(self, hashes: np.ndarray, owner: np.ndarray, least: float) -> list[tuple[int, int, int, float]]:
+        """(first word, end, family, probability) of the paragraphs of a family."""
+        found, score = self.logits(hashes, owner)
+        if not len(found):
+            return []
+        p = self.probabilities(score)
+        best, sure = p.argmax(axis=1), p.max(axis=1)
+        hit = np.flatnonzero((best < len(self.families) - 1) & (sure >= least))
+        first = np.searchsorted(owner, found[hit], "left")
+        end = np.searchsorted(owner, found[hit], "right")
+        return list(zip(first.tolist(), end.tolist(), best[hit].tolist(), sure[hit].tolist()))
+
+    def logits(self, hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Paragraphs with any known n-gram, and their scores."""
-        parts = [grams(hashes, owner, k) for k in (2, 3)]
-        bucket = np.concatenate([p[0] for p in parts]) & np.uint64(len(self.used) - 1)
-        who = np.concatenate([p[1] for p in parts])
+        bucket, who, value = _features(hashes, owner, len(self.used))
         known = self.used[bucket]
-        bucket, who = bucket[known], who[known]
+        bucket, who, value = bucket[known], who[known], value[known]
         found, place = np.unique(who, return_inverse=True)
         score = np.zeros((len(found), len(self.bias)))
-        np.add.at(score, place, self.weight[bucket])
+        np.add.at(score, place, self.weight[bucket] * value[:, None])
         return found, score / self.temperature + self.bias
 
     def probabilities(self, score: np.ndarray) -> np.ndarray:
@@ -231,13 +255,11 @@ def train(unknown: list[str], params: LicenceParams) -> Model:
     texts, labels = _examples(params, [u for u in unknown if not is_licence(u)])
     words = Texts.of(texts).tokens()
     hashes, owner = words.hashes(), words.text_of()
-    pairs = [grams(hashes, owner, n) for n in (2, 3)]
-    bucket = np.concatenate([p[0] for p in pairs]) & np.uint64(params.buckets - 1)
-    who = np.concatenate([p[1] for p in pairs])
+    bucket, who, value = _features(hashes, owner, params.buckets)
     # only n-grams of altered templates can speak for a family
     used = np.zeros(params.buckets, bool)
     used[bucket[labels[who] < width - 1]] = True
-    bucket, who = bucket[used[bucket]], who[used[bucket]]
+    bucket, who, value = (x[used[bucket]] for x in (bucket, who, value[:, None]))
     features, column = np.unique(bucket, return_inverse=True)
     held = np.arange(len(texts)) % 5 == 4
     target = np.eye(width)[labels]
@@ -249,17 +271,17 @@ def train(unknown: list[str], params: LicenceParams) -> Model:
 
     def scores() -> np.ndarray:
         z = np.zeros((len(texts), width))
-        np.add.at(z, who, weight[column])
+        np.add.at(z, who, weight[column] * value)
         return z
 
     for _ in range(params.epochs):
         p = model.probabilities(scores() + bias)
         error = (p - target) * share[:, None]
         gradient = np.zeros_like(weight)
-        np.add.at(gradient, column, error[who])
+        np.add.at(gradient, column, error[who] * value)
         speed = 0.9 * speed + gradient + 1e-5 * weight
-        weight -= 4.0 * speed
-        bias -= 4.0 * error.sum(axis=0)
+        weight -= 1.0 * speed
+        bias -= 1.0 * error.sum(axis=0)
     z = scores()
 
     def loss(t: float) -> float:
@@ -282,7 +304,7 @@ def unknown_paragraphs(docs: DataFrame, params: LicenceParams, text_col: str) ->
 
 
 _SCHEMA = (
-    "doc_id long, paragraph long, start long, end long, family string, probability double, similarity double, confirmed boolean"
+    "doc_id long, line long, start long, end long, family string, probability double, similarity double, confirmed boolean"
 )
 
 
@@ -301,28 +323,31 @@ def scan_licences(
                 words = texts.tokens()
                 if not len(words):
                     continue
-                hashes, owner, text = words.hashes(), paragraph_of(texts, words), words.text_of()
-                found, score = model.logits(hashes, owner, len(texts))
-                p = model.probabilities(score) if len(found) else score
-                best = p.argmax(axis=1)
-                hit = np.flatnonzero((best < len(TEMPLATES)) & (p.max(axis=1, initial=0) >= params.min_probability))
-                if not len(hit):
+                hashes, text = words.hashes(), words.text_of()
+                lines = paragraph_of(words, False)
+                taken = np.zeros(len(words), bool)
+                hits = []
+                for owner in (lines, paragraph_of(words, True)):
+                    for a, b, family, p in model.predict(hashes, owner, params.min_probability):
+                        if not taken[a:b].any():
+                            taken[a:b] = True
+                            hits.append((a, b, family, p))
+                if not hits:
                     continue
                 points = np.concatenate(([0], np.cumsum((texts.data & 0xC0) != 0x80)))
                 out = []
-                for h in hit.tolist():
-                    a, b = np.searchsorted(owner, found[h], "left"), np.searchsorted(owner, found[h], "right")
+                for a, b, family, p in sorted(hits):
                     t = text[a]
                     base = points[texts.offsets[t]]
-                    like = model.similarity(int(best[h]), hashes[a:b], params.shingle)
+                    like = model.similarity(family, hashes[a:b], params.shingle)
                     out.append(
                         (
                             part.column(0)[int(t)].as_py(),
-                            int(found[h] - owner[words.first_word[t]]),
+                            int(lines[a] - lines[words.first_word[t]]),
                             int(points[words.start[a]] - base),
                             int(points[words.end[b - 1]] - base),
-                            model.families[int(best[h])],
-                            float(p[h, best[h]]),
+                            model.families[family],
+                            p,
                             like,
                             like >= params.min_similarity,
                         )

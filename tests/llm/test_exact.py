@@ -346,7 +346,7 @@ def test_licence_lines(spark, data, corpus):
     assert all("icense" in text[r["doc_id"]][r["start"] : r["end"]] or "CC" in text[r["doc_id"]] for r in found)
     model = licences.train(["A quiet line of text without any claim."], licences.LicenceParams())
     words = Texts.of(["Every word here is about the weather and nothing else."]).tokens()
-    found, score = model.logits(words.hashes(), words.text_of(), 1)
+    found, score = model.logits(words.hashes(), words.text_of())
     assert not len(found) or model.probabilities(score)[0].argmax() == len(licences.TEMPLATES)
 
 
