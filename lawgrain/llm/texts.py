@@ -68,6 +68,15 @@ class Texts:
     def __len__(self) -> int:
         return len(self.offsets) - 1
 
+    def parts(self, limit: int = SLICE_BYTES) -> Iterator["Texts"]:
+        """Runs of whole texts with up to `limit` bytes (or one text) each."""
+        at = 0
+        while at < len(self):
+            to = max(at + 1, int(np.searchsorted(self.offsets, self.offsets[at] + limit, "right")) - 1)
+            low, high = self.offsets[at], self.offsets[to]
+            yield Texts(self.data[low:high], self.offsets[at : to + 1] - low)
+            at = to
+
     def bytes(self, i: int) -> bytes:
         return self.data[self.offsets[i] : self.offsets[i + 1]].tobytes()
 
