@@ -3,15 +3,18 @@
 A seed is a mask over consecutive tokens: its ones are hashed, its zeros ignored, so
 windows that differ only in ignored tokens share a hash. Hashes of the training texts
 are looked up among those of the benchmark; around each hit the two texts are laid on
-the same diagonal, and the segment with the best score of matches against
-substitutions is kept if it is long enough and at least `min_identity` of it matches.
+the same diagonal, and the two overlap there if any segment that is long enough has
+`min_identity` of matches or more. The masks lose none of them: at the default length
+and identity, every such segment holds one of 12 to 23 tokens, and wherever its
+substitutions stand, some mask has a window without them.
 
 The benchmark is taken in blocks of bounded bytes: each is read by the driver, sent to
 the executors, and all documents are compared with it, whole texts in Arrow batches
 with no shuffle. However large the benchmark, no more than a block is ever sent.
 
-Tokens are runs of letters and digits, case folded. Items with fewer tokens than a
-seed's span are looked up whole, and must match whole.
+Tokens are runs of letters and digits, case folded. Items shorter than `min_overlap`
+have masks of their own and must overlap over their whole length; those of fewer than
+`min_tokens` are looked up whole, and must match whole.
 
 Defined results: NULL or empty texts and items have no tokens and no overlap; a NULL
 id is returned as it is; a repeated row gives a repeated result; items with equal texts
@@ -34,8 +37,11 @@ from lawgrain.llm.texts import Texts, mix, slices
 
 @dataclass(frozen=True)
 class SeedParams:
-    # Each has six ones; spans of 8 to 11 tokens.
-    masks: tuple[str, ...] = ("11011011", "1011100101", "1100101011", "11100010011")
+    # Each has six ones. Together they find any 2 substitutions in 12 tokens, 3 in 15, 4 in 20.
+    masks: tuple[str, ...] = ("1111011", "110010111", "11000100111")
+    # Five ones, for items under min_overlap: any 1 substitution in 8 tokens, 2 in 10.
+    short_masks: tuple[str, ...] = ("111011", "11001101", "101000111", "101010101")
+    min_tokens: int = 8
     min_overlap: int = 12
     min_identity: float = 0.8
     block_bytes: int = 8 << 20
@@ -62,16 +68,17 @@ class SeedIndex:
         words = Texts.of(texts).tokens()
         hashes, first = words.hashes(), words.first_word
         self.items = [hashes[first[i] : first[i + 1]] for i in range(len(ids))]
-        shortest = min(map(len, params.masks))
-        lengths = sorted({len(x) for x in self.items if 0 < len(x) < shortest})
-        self.masks = [*params.masks, *("1" * n for n in lengths)]
+        sizes = [len(x) for x in self.items]
+        short = range(params.min_tokens, params.min_overlap)
+        whole = sorted({n for n in sizes if 0 < n < params.min_tokens})
+        seeds = [
+            *((mask, [i for i, n in enumerate(sizes) if n >= params.min_tokens and n not in short]) for mask in params.masks),
+            *((mask, [i for i, n in enumerate(sizes) if n in short]) for mask in params.short_masks),
+            *(("1" * length, [i for i, n in enumerate(sizes) if n == length]) for length in whole),
+        ]
+        self.masks = [mask for mask, _ in seeds]
         self.tables = []
-        for k, mask in enumerate(self.masks):
-            fit = [
-                i
-                for i, x in enumerate(self.items)
-                if (len(x) >= shortest and k < len(params.masks)) or (k >= len(params.masks) and len(x) == len(mask))
-            ]
+        for mask, fit in seeds:
             found = [window_hashes(self.items[i], mask) for i in fit]
             keys = np.concatenate(found) if found else np.zeros(0, np.uint64)
             item = np.repeat(np.array(fit, np.int64), [len(f) for f in found])
@@ -106,10 +113,13 @@ class SeedIndex:
             begin = max(low, diagonal)
             end = min(high, diagonal + len(self.items[i]))
             same = tokens[begin:end] == self.items[i][begin - diagonal : end - diagonal]
-            a, b = best_segment(same, self.params.min_identity)
-            matches = int(same[a:b].sum())
-            if b - a < min(self.params.min_overlap, len(self.items[i])) or matches < self.params.min_identity * (b - a):
+            size = len(self.items[i])
+            least = size if size < self.params.min_tokens else min(self.params.min_overlap, size)
+            segment = best_segment(same, self.params.min_identity if size >= self.params.min_tokens else 1.0, least)
+            if segment is None:
                 continue
+            a, b = segment
+            matches = int(same[a:b].sum())
             found = (matches, b - a, begin - low + a, begin - diagonal + a)
             # most matches; of equals the shortest, then the first
             if (text, i) not in best or (-found[0], *found[1:]) < (-best[text, i][0], *best[text, i][1:]):
@@ -117,15 +127,34 @@ class SeedIndex:
         return [(t, i, start, at, n, m) for (t, i), (m, n, start, at) in sorted(best.items())]
 
 
-def best_segment(same: np.ndarray, identity: float) -> tuple[int, int]:
-    """Bounds of the segment with the greatest sum of 1 - identity per match and
-    -identity per substitution: its matches are `identity` of it or more."""
-    if not len(same):
-        return 0, 0
-    sums = np.concatenate(([0.0], np.cumsum(np.where(same, 1 - identity, -identity))))
-    lowest = np.minimum.accumulate(sums)
-    end = int(np.argmax(sums - lowest))
-    return int(np.flatnonzero(sums[: end + 1] == lowest[end])[0]), end
+def best_segment(same: np.ndarray, identity: float, least: int) -> tuple[int, int] | None:
+    """Bounds of the segment of `least` tokens or more with the most matches, among those
+    with `identity` of matches or more; of equals the shortest, then the first.
+
+    Any such segment can be widened to the greatest length one of them has, so a segment
+    of that length has the most matches.
+    """
+    n = len(same)
+    if n < least or same.sum() < max(1, identity * least - 1e-9):
+        return None
+    matches = np.concatenate(([0], np.cumsum(same)))
+    excess = matches - identity * np.arange(n + 1)
+    # the greatest excess from each place on, never rising
+    ahead = np.maximum.accumulate(excess[::-1])[::-1]
+    ends = np.searchsorted(-ahead, 1e-9 - excess, "right") - 1
+    length = int((ends - np.arange(n + 1)).max())
+    if length < max(least, 1):
+        return None
+    start = np.arange(n + 1 - length)
+    found = matches[length:] - matches[:-length]
+    start = start[found == found.max()]
+    # shed substitutions at both ends as far as `least` allows
+    at = np.flatnonzero(same)
+    first, last = at[matches[start]], at[matches[start + length] - 1] + 1
+    begin = np.minimum(first, np.maximum(start, last - least))
+    size = np.maximum(last - begin, least)
+    k = np.lexsort((begin, size))[0]
+    return int(begin[k]), int(begin[k] + size[k])
 
 
 def _indexes(benchmark: DataFrame, params: SeedParams, item_col: str, text_col: str) -> list[SeedIndex]:

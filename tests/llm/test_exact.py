@@ -1,6 +1,7 @@
 """Registered queries against plain versions on the smallest driver tables."""
 
 import hashlib
+import itertools
 import math
 import re
 import zlib
@@ -158,6 +159,40 @@ def test_overlaps_with_substitutions():
             assert found[0][:2] == (0, 0) and found[0][4] >= 20
 
 
+@pytest.mark.parametrize("size", range(8, 61))
+def test_overlaps_with_random_substitutions_as_brute_force(size):
+    """Every diagonal segment is tried, in items of `size` tokens at identities of 0.8 to 0.95."""
+    params = decontaminate.SeedParams()
+    random, least = np.random.default_rng(size), min(size, 12)
+    items = [[f"i{k}w{j}" for j in range(size)] for k in range(30)]
+    index = decontaminate.SeedIndex(list(range(30)), [" ".join(x) for x in items], params)
+    same, texts = [], []
+    for k, item in enumerate(items):
+        changed = set(random.choice(size, round(size * (0.2, 0.15, 0.1, 0.05, 0.25)[k % 5]), replace=False).tolist())
+        same.append([j not in changed for j in range(size)])
+        texts.append("before " * (k % 3) + " ".join(f"x{j}" if j in changed else w for j, w in enumerate(item)) + " after")
+    want = {}
+    for k, match in enumerate(same):
+        segments = [
+            (-m, b - a, a) for a in range(size) for b in range(a + least, size + 1) if 5 * (m := sum(match[a:b])) >= 4 * (b - a)
+        ]
+        if segments:
+            m, n, a = min(segments)
+            want[k, k] = (a + k % 3, a, n, -m)
+    got = {(t, i): tuple(rest) for t, i, *rest in index.overlaps(Texts.of(texts))}
+    assert got == want and want
+
+
+@pytest.mark.parametrize("length, substitutions", [(8, 1), (9, 1), (10, 2), (11, 2), (12, 2), (15, 3), (20, 4)])
+def test_seeds_lose_no_pattern(length, substitutions):
+    """Longer segments hold one of these or of 12 to 23 tokens with as many substitutions."""
+    params = decontaminate.SeedParams()
+    masks = params.masks if length >= params.min_overlap else params.short_masks
+    windows = [{at + k for k, c in enumerate(m) if c == "1"} for m in masks for at in range(length - len(m) + 1)]
+    for changed in itertools.combinations(range(length), substitutions):
+        assert any(w.isdisjoint(changed) for w in windows), changed
+
+
 def test_personal_data(corpus, result):
     got = result("op5_personal_data")
     kinds = {
