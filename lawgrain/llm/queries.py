@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lawgrain.llm import chat, decontaminate, licences, packing, pii, quality, scoring, simhash, substrings, toxicity
+from lawgrain.llm import (
+    alignment,
+    chat,
+    decontaminate,
+    lexical,
+    licences,
+    packing,
+    pii,
+    quality,
+    scoring,
+    simhash,
+    substrings,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -117,6 +130,38 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.find_overlaps(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"), top=10)
+
+
+OP12_SQL = r"""
+WITH words AS (
+  SELECT doc_id, row, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT *, row_number() OVER () AS row FROM documents)
+), counts AS (SELECT row, doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+sizes AS (SELECT row, sum(tf)::BIGINT AS n FROM counts GROUP BY row),
+whole AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM sizes),
+wanted AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM counts, whole GROUP BY term, docs
+), scores AS (
+  SELECT item_id, row, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms))))::BIGINT AS score
+  FROM wanted JOIN counts USING (term) JOIN weights USING (term) JOIN sizes USING (row), whole GROUP BY ALL
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scores WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 10
+"""
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
@@ -128,7 +173,9 @@ QUERIES: dict[str, Query] = {
     "op8_vector_packing": op8_vector_packing,
     "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }
 
 # Statements exist where SQL can express the whole result.
-ORACLES: dict[str, str] = {"op7_chat_formatting": OP7_SQL}
+ORACLES: dict[str, str] = {"op7_chat_formatting": OP7_SQL, "op12_lexical_search": OP12_SQL}
