@@ -20,6 +20,7 @@ from lawgrain.llm import (
     simhash,
     substrings,
     toxicity,
+    wrappers,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -130,6 +131,10 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.find_overlaps(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract(_read(spark, sf_dir, "pages"))
+
+
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"), top=10)
 
@@ -173,6 +178,7 @@ QUERIES: dict[str, Query] = {
     "op8_vector_packing": op8_vector_packing,
     "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
+    "op11_html_extraction": op11_html_extraction,
     "op12_lexical_search": op12_lexical_search,
     "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }

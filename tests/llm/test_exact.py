@@ -39,7 +39,7 @@ def result(spark, data):
 def test_registration():
     names = set(E.queries())
     assert set(queries.QUERIES) | {"pipeline"} <= names
-    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 14))
     assert set(E.oracle_sql()) <= names
 
 
