@@ -59,7 +59,7 @@ class AlignParams:
     pieces: str = "piece_bpe_32k.model"
     chunk_chars: int = 1 << 20
     max_context: int = 1 << 16  # a border without a cut so near moves to the next cut
-    slice_bytes: int = 4 << 20
+    slice_bytes: int = 2 << 20
 
 
 class Side:
@@ -137,10 +137,9 @@ def render(a: np.ndarray, a_end: np.ndarray, b: np.ndarray, b_end: np.ndarray, s
         return np.zeros(0, np.uint8), np.zeros(0, np.int64)
     flat, starts = _decimals()
     last_a, last_b = np.searchsorted(a_end, shared), np.searchsorted(b_end, shared)
-    group_a, group_b = np.searchsorted(shared, a_end), np.searchsorted(shared, b_end)
-    before_b = np.concatenate(([0], last_b + 1))
-    at_a = np.arange(len(a)) + before_b[group_a]
-    at_b = np.arange(len(b)) + last_a[group_b] + 1
+    size_a, size_b = np.diff(last_a, prepend=-1), np.diff(last_b, prepend=-1)
+    at_a = np.arange(len(a)) + np.repeat(last_b + 1 - size_b, size_a)
+    at_b = np.arange(len(b)) + np.repeat(last_a + 1, size_b)
     ids = np.empty(len(a) + len(b), np.int64)
     mark = np.full(len(ids), ord(","), np.uint8)
     ids[at_a], ids[at_b] = a, b
@@ -228,19 +227,28 @@ class Slice:
         self.b_end = np.cumsum(tools.b.length[self.b])
         # behind each unit
         self.bound = np.cumsum([len(p) if ok else 0 for p, ok in zip(padded, self.valid)])
-        ends = np.union1d(self.a_end, self.b_end)
+        # 1 where a token of A ends, 2 where one of B does
+        mark = np.zeros((self.bound[-1] if units else 0) + 1, np.uint8)
+        mark[self.a_end] = 1
+        mark[self.b_end] += 2
+        ends = np.flatnonzero(mark)
+        sides = mark[ends]
+        self.shared = ends[sides == 3]
+        # a link for each part between neighbouring ends: its tokens are the next to end
+        next_a, next_b = np.cumsum(sides & 1) - (sides & 1), np.cumsum(sides >> 1) - (sides >> 1)
         if high is not None:
-            ends = ends[(ends > low) & (ends <= high)]
-        code = self.a[np.searchsorted(self.a_end, ends)] * PIECES + self.b[np.searchsorted(self.b_end, ends)]
+            inside = (ends > low) & (ends <= high)
+            ends, next_a, next_b = ends[inside], next_a[inside], next_b[inside]
+        code = (self.a[next_a] * PIECES + self.b[next_b]).astype(np.int32)
         self.codes, of, self.counts = np.unique(code, return_inverse=True, return_counts=True)
-        pairs = np.searchsorted(self.bound, ends) * max(1, len(self.codes)) + of
+        unit = np.repeat(np.arange(len(units)), self.per_unit(ends))
+        pairs = unit * max(1, len(self.codes)) + of
         pairs, self.times = np.unique(pairs, return_counts=True)
         unit, self.pair = np.divmod(pairs, max(1, len(self.codes)))
         # distinct pairs of unit i: first_pair[i] up to first_pair[i + 1]
         self.first_pair = np.searchsorted(unit, np.arange(len(units) + 1))
         self.n_links = np.add.reduceat(np.append(self.times, 0), self.first_pair[:-1]) if len(units) else none
         self.n_links[np.diff(self.first_pair) == 0] = 0
-        self.shared = np.intersect1d(self.a_end, self.b_end, assume_unique=True)
 
     def per_unit(self, ends: np.ndarray) -> np.ndarray:
         return np.diff(np.searchsorted(ends, self.bound, "right"), prepend=0)
