@@ -388,10 +388,27 @@ ORACLES: dict[str, str] = {
          'corpus/' || folder_path AS target_folder FROM todo
          WHERE ok AND folder_path NOT IN (SELECT folder_path FROM inventory)""",
     "read_list_pages": _LIST_PAGES,
-    "listed_items": f"SELECT * FROM ({_LIST_PAGES}) WHERE page <= 3",
+    "listed_items": _LIST_PAGES,
     "file_inventory": ctes("xml_corpus")
     + """SELECT DISTINCT 'run_id=001/category=act/document_type=statute/year=' || CAST(2015 + doc_id % 8 AS VARCHAR) AS folder,
          TRUE AS filled FROM xml_corpus""",
+    "read_document_tree": ctes("xml_corpus")
+    + """SELECT substr(akn_uri, 9) AS folder_path, 1::BIGINT AS files, md5(xml) AS xml_md5,
+         octet_length(encode(xml)) + 1 <= 8192 AS as_text FROM xml_corpus""",
+    "stored_documents": ctes("xml_corpus")
+    + "SELECT doc_id, substr(akn_uri, 9) AS folder_path FROM xml_corpus WHERE doc_id % 2 = 0",
+    "read_state": _MANIFEST + "SELECT DISTINCT akn_uri FROM manifest WHERE status IN ('success', 'skipped')",
+    "read_state_progress": _MANIFEST
+    + """SELECT 'act' AS category, 'type-' || year(timestamp) AS document_type, count(*) AS position,
+         max(timestamp) AS updated_at FROM manifest GROUP BY year(timestamp), day(timestamp)""",
+    "read_progress": _PROGRESS
+    + """SELECT category, document_type, position + extra AS position, TIMESTAMP '2001-12-31 00:00:00' AS updated_at, run_id
+         FROM progress, (VALUES ('007', 0), ('008', 1)) v(run_id, extra)""",
+    "reset_state": _MANIFEST + "SELECT DISTINCT akn_uri FROM manifest WHERE status = 'skipped'",
+    "manifest_report": _MANIFEST
+    + """SELECT count(*) AS total, count(*) FILTER (WHERE status = 'success') AS success,
+         count(*) FILTER (WHERE status = 'skipped') AS skipped, count(*) FILTER (WHERE status = 'error') AS error,
+         CAST(CASE WHEN count(*) FILTER (WHERE status = 'error') = 0 THEN 0 ELSE 1 END AS INTEGER) AS exit_code FROM manifest""",
     "read_manifest": _MANIFEST + "SELECT akn_uri, status, timestamp, akn_uri AS files, error FROM manifest",
     "write_manifest": _MANIFEST
     + """SELECT CASE WHEN status = 'error' THEN '007' ELSE '2026-02-01' END AS run_id, item_no, akn_uri, status, timestamp

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks.derived import BASE_PATH, BASE_URL, CURRENT_YEAR, derive
 from lawgrain.functions import uri as U
@@ -16,7 +16,7 @@ from lawgrain.operators import scope as S
 from lawgrain.operators import worklist as W
 from lawgrain.params import CrawlParams
 from lawgrain.plans import crawl as C
-from lawgrain.session import scratch_dir, staged
+from lawgrain.session import scratch_dir
 from lawgrain.sources import catalogue as G
 from lawgrain.sources import landing as L
 from lawgrain.streaming import jobs as J
@@ -198,37 +198,26 @@ def max_pages(spark, sf):
 
 @query
 def listing_sort(spark, sf):
-    return _ranked(_parsed(spark, sf), "number", True)
+    return _placed(_parsed(spark, sf), "number", True)
 
 
-def _ranked(listing: DataFrame, sort_by: str, descending: bool) -> DataFrame:
-    """The whole sorted listing with each row's place, which makes the order a value.
-
-    Positions in a sorted table: rows before a partition, and rows before in it.
-    """
-    ordered = S.listing_sort(listing, sort_by, descending).select("item_no", "akn_uri")
-    placed = ordered.withColumn("part", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id())
-    placed = staged(placed, "sorted")
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = placed.groupBy("part").agg(F.count("*").alias("n"), F.min("at").alias("first"))
-    offsets = sizes.select("part", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    place = (F.col("offset") + F.col("at") - F.col("first") + 1).cast("bigint")
-    return placed.join(offsets, "part").select("item_no", "akn_uri", place.alias("place"))
+def _placed(listing: DataFrame, sort_by: str, descending: bool) -> DataFrame:
+    return S.listing_rank(listing, sort_by, descending).select("item_no", "akn_uri", "place")
 
 
 @query
 def listing_sort_issued(spark, sf):
-    return _ranked(_parsed(spark, sf).withColumn("date_issued", F.col("date_issued")), "dateIssued", False)
+    return _placed(_parsed(spark, sf), "dateIssued", False)
 
 
 @query
 def listing_sort_modified(spark, sf):
-    return _ranked(_parsed(spark, sf), "modified", True)
+    return _placed(_parsed(spark, sf), "modified", True)
 
 
 @query
 def listing_sort_number_up(spark, sf):
-    return _ranked(_parsed(spark, sf), "number", False)
+    return _placed(_parsed(spark, sf), "number", False)
 
 
 @query
@@ -503,9 +492,7 @@ def run_crawl_report(spark, sf):
 @query
 def run_crawl_progress(spark, sf):
     roots, _ = _two_runs(spark, sf, resume=False)
-    fields = "category STRING, document_type STRING, position BIGINT, run_id STRING"
-    stored = spark.read.option("basePath", roots.progress).schema(fields).parquet(roots.progress)
-    return stored.select("run_id", "category", "document_type", "position")
+    return G.read_progress(spark, roots.progress).select("run_id", "category", "document_type", "position")
 
 
 # -- sources and sinks ------------------------------------------------------
@@ -534,7 +521,7 @@ def listed_items(spark, sf):
     path = scratch_dir(spark, "page-table")
     pages = _list_pages(spark, sf).withColumnRenamed("value", "body").withColumn("http_status", F.lit(200))
     pages.select("category", "document_type", "page", "http_status", "body").write.parquet(path)
-    params = replace(PARAMS, limit=PAGE_ITEMS, max_pages=3)
+    params = replace(PARAMS, limit=PAGE_ITEMS)
     listing = C.listed_items(L.read_page_table(spark, path), params)
     return listing.select("category", "document_type", "page", F.col("pos").cast("bigint"), "akn_uri", "status")
 
@@ -546,10 +533,110 @@ def file_inventory(spark, sf):
     corpus = derive(spark, sf, "xml_corpus")
     G.write_corpus(corpus.withColumn("info", U.parse_uri(F.col("akn_uri"), BASE_PATH)), path, "001")
     files = L.file_inventory(spark, path).where(F.endswith("path", F.lit(".parquet")))
-    folder = F.regexp_extract("path", "/(run_id=.*)/[^/]+$", 1)
+    folder = F.regexp_replace(F.regexp_extract("path", "/(run_id=.*)/[^/]+$", 1), "/attempt=[^/]+", "")
     return files.groupBy(folder.alias("folder")).agg(F.bool_and(F.col("length") > 0).alias("filled"))
 
 
+def _document_tree(spark, sf) -> tuple[str, str]:
+    """Every document as a file of its own, in the folder its URI names: path and root."""
+    path = scratch_dir(spark, "tree")
+    corpus = derive(spark, sf, "xml_corpus")
+    parts = U.parse_uri(F.col("akn_uri"), BASE_PATH)
+    names = ("category", "document_type", "year", "number", "lang_and_version")
+    placed = corpus.withColumn("info", parts).select(*[F.col(f"info.{n}").alias(n) for n in names], "xml")
+    # one task writes many folders; folders hold one file each, as URIs are unique
+    placed.write.partitionBy(*names).text(path)
+    return path, path.rsplit("/", 1)[1]
+
+
+@query
+def read_document_tree(spark, sf):
+    path, root = _document_tree(spark, sf)
+    tree = L.read_document_tree(spark, path, "*.txt", root, text_bytes=8192)
+    content = F.coalesce("xml", F.col("content").cast("string"))
+    # the text sink ends its lines with a line feed
+    return tree.groupBy("folder_path").agg(
+        F.count("*").alias("files"),
+        F.md5(F.regexp_replace(F.max(content), "\n$", "")).alias("xml_md5"),
+        F.bool_and(F.col("xml").isNotNull()).alias("as_text"),
+    )
+
+
+@query
+def stored_documents(spark, sf):
+    """Worklist rows of a stored tree: which documents need not be fetched again."""
+    path, root = _document_tree(spark, sf)
+    tree = L.read_document_tree(spark, path, "*.txt", root).select("folder_path")
+    wanted = derive(spark, sf, "xml_corpus").select("doc_id", F.concat(F.lit("/akn/fi/"), F.when(F.col("doc_id") % 2 == 0, F.substring("akn_uri", 9, 1000)).otherwise("act/none/1/1/fin@")).alias("akn_uri"))
+    rows = S.with_document_info(wanted, BASE_PATH)
+    return W.existing_documents(rows, tree).select("doc_id", "folder_path")
+
+
+def _state_files(spark, sf) -> str:
+    """State files of single-machine harvesters: one for each year of orders."""
+    path = scratch_dir(spark, "state")
+    entries = derive(spark, sf, "manifest").withColumn("y", F.year("timestamp"))
+    done = F.collect_list(F.when(F.col("status").isin("success", "skipped"), F.col("akn_uri")))
+    body = F.to_json(
+        F.struct(
+            F.lit("act").alias("current_category"),
+            F.concat(F.lit("type-"), "y").alias("current_document_type"),
+            F.count("*").alias("current_page"),
+            done.alias("completed_uris"),
+            F.max("timestamp").alias("updated_at"),
+        ),
+        {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"},
+    )
+    # a file for each year and day of the month bounds what one state holds
+    entries.groupBy("y", F.dayofmonth("timestamp")).agg(body.alias("value")).select("value").write.text(path)
+    return path
+
+
+@query
+def read_state(spark, sf):
+    completed, _ = G.read_state(spark, _state_files(spark, sf), multiline=False)
+    return completed
+
+
+@query
+def read_state_progress(spark, sf):
+    _, progress = G.read_state(spark, _state_files(spark, sf), multiline=False)
+    return progress.select("category", "document_type", "position", "updated_at")
+
+
+@query
+def read_progress(spark, sf):
+    """Positions of two runs, one of them repeated and one lost before it was published."""
+    path = scratch_dir(spark, "progress")
+    counted = _progress(spark, sf).select("category", "document_type", "position", F.lit(RUN_TIMESTAMP).cast("timestamp_ntz").alias("updated_at"))
+    G.write_progress(counted, path, "007")
+    G.write_progress(counted.where("category = 'act'"), path, "008")
+    G.write_progress(counted.withColumn("position", F.col("position") + 1), path, "008")
+    counted.write.parquet(f"{path}/run_id=009/attempt=lost")
+    return G.read_progress(spark, path)
+
+
+@query
+def reset_state(spark, sf):
+    """What is completed after a reset: the runs since."""
+    completed, progress = scratch_dir(spark, "completed"), scratch_dir(spark, "progress")
+    entries = derive(spark, sf, "manifest")
+    G.write_completed(entries.where("status = 'success'"), completed, "1")
+    G.reset_state(spark, completed, progress)
+    G.write_completed(entries.where("status = 'skipped'"), completed, "2")
+    return G.read_completed(spark, completed)
+
+
+@query
+def manifest_report(spark, sf):
+    """Summary and exit code of a stored manifest from its counts, one row a run."""
+    path = scratch_dir(spark, "manifest")
+    entries = derive(spark, sf, "manifest")
+    for run in ("1", "2"):
+        G.write_manifest(entries.where(F.col("item_no") % 2 == int(run) - 1), path, run)
+    return C.stored_report(spark, path)
+
+
 @query
 def read_list_pages(spark, sf):
     listing = L.read_list_pages(spark, _write_list_pages(spark, sf))

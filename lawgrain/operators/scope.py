@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lawgrain.functions import uri as U
-from lawgrain.operators.ordering import RANGE_ROWS, bucketed_ordinal, literal_rows
+from lawgrain.operators.ordering import RANGE_ROWS, bucketed_ordinal, total_ordinal, literal_rows
 from lawgrain.params import AUTHORITY_TYPE, CrawlParams, requested_types
 
 # (pass, item) in one BIGINT: item numbers below MAX_ITEMS and up to MAX_PASSES passes.
@@ -236,6 +236,29 @@ def listing_stop(
 SORT_KEYS = ("number", "dateIssued", "modified")
 
 
+def _sort_order(listing: DataFrame, sort_by: str, descending: bool) -> tuple[DataFrame, list[Column]]:
+    """The listing with its sort keys as columns, and the order by them.
+
+    The keys come out of a one-element explode: expressions in a sort are
+    computed again at each comparison.
+    """
+    number = U.key_number(F.col("document_key")) if sort_by == "number" else None
+    keys = {
+        "number": lambda: [number.try_cast("bigint"), number],
+        "dateIssued": lambda: [F.col("date_issued")],
+        "modified": lambda: [F.col("modified")],
+    }
+    if sort_by not in keys:
+        raise ValueError(f"sort_by must be one of {SORT_KEYS}")
+    columns = keys[sort_by]()
+    if sort_by == "number":
+        made = F.struct(*[c.alias(f"_{i}") for i, c in enumerate(columns)])
+        listing = listing.withColumn("_sort", F.explode(F.array(made)))
+        columns = [F.col(f"_sort._{i}") for i in range(len(columns))]
+    direction = "desc_nulls_last" if descending else "asc_nulls_last"
+    return listing, [*[getattr(c, direction)() for c in columns], F.col("item_no").asc()]
+
+
 def listing_sort(
     listing: DataFrame, sort_by: str = "number", descending: bool = False, limit: int | None = None
 ) -> DataFrame:
@@ -245,14 +268,15 @@ def listing_sort(
     `item_no` breaks ties. The sort is distributed by ranges of the keys. With a
     limit Spark keeps the top rows of each task instead.
     """
-    number = U.key_number(F.col("document_key"))
-    columns = {
-        "number": [number.try_cast("bigint"), number],
-        "dateIssued": [F.col("date_issued")],
-        "modified": [F.col("modified")],
-    }
-    if sort_by not in columns:
-        raise ValueError(f"sort_by must be one of {SORT_KEYS}")
-    direction = "desc_nulls_last" if descending else "asc_nulls_last"
-    ordered = listing.orderBy(*[getattr(c, direction)() for c in columns[sort_by]], F.col("item_no"))
+    keyed, order = _sort_order(listing, sort_by, descending)
+    ordered = keyed.orderBy(*order).drop("_sort")
     return ordered.limit(limit) if limit is not None else ordered
+
+
+def listing_rank(listing: DataFrame, sort_by: str = "number", descending: bool = False, out: str = "place") -> DataFrame:
+    """The whole listing with each row's place in the order of `listing_sort`.
+
+    `item_no` must be unique. Stores the sorted listing once.
+    """
+    keyed, order = _sort_order(listing, sort_by, descending)
+    return total_ordinal(keyed, order, out).drop("_sort")

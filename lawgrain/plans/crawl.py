@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lawgrain.operators import manifest as M
 from lawgrain.operators import outcome as O
@@ -12,7 +12,7 @@ from lawgrain.operators import scope as S
 from lawgrain.operators import worklist as W
 from lawgrain.operators.joins import attach
 from lawgrain.params import COMPLETED_STATUSES, CrawlParams
-from lawgrain.session import path_exists, staged, staging_area
+from lawgrain.session import staged, staging_area
 from lawgrain.sources import catalogue as G
 from lawgrain.sources import landing as L
 
@@ -174,11 +174,18 @@ def crawl_manifest(tables: LandingTables, params: CrawlParams, run_timestamp: st
     return S.union_listings(unparsed, single, failing, found)
 
 
+def _verdict(summary: DataFrame) -> DataFrame:
+    return summary.withColumn("exit_code", F.when(F.col("error") == 0, 0).otherwise(1))
+
+
 def run_report(manifest: DataFrame) -> DataFrame:
     """Summary and exit code over the whole manifest, in one pass."""
-    return M.manifest_summary(manifest).withColumn(
-        "exit_code", F.when(F.col("error") == 0, 0).otherwise(1)
-    )
+    return _verdict(M.manifest_summary(manifest))
+
+
+def stored_report(spark: SparkSession, manifest_root: str) -> DataFrame:
+    """`run_report` of a stored manifest, from one row of counts a run."""
+    return _verdict(G.read_summary(spark, manifest_root))
 
 
 @dataclass(frozen=True)
@@ -197,8 +204,9 @@ def run_crawl(
 
     `tables.completed` counts beside the completed URIs of earlier runs, unless the
     run resets: then both are forgotten and the manifest stays. Each table gets the
-    run as a partition of its own, so a repeated run replaces itself; what it had
-    completed itself does not count. Run ids sort by time. Tables staged on the way
+    run as a part of its own, published when it is written, so a repeated run replaces
+    itself and one that is lost midway replaces nothing; what it had completed itself
+    does not count. Run ids sort by time. Tables staged on the way
     are removed. Returns the summary with the exit code.
     """
     spark = tables.listing.sparkSession
@@ -207,12 +215,12 @@ def run_crawl(
     known = tables.completed.select("akn_uri")
     if params.reset:
         known = known.where(F.lit(False))
-    elif path_exists(spark, roots.completed):
+    else:
         known = known.unionByName(G.read_completed(spark, roots.completed, but_run=run_id))
     landed = LandingTables(tables.listing, known, tables.inventory, tables.attempts)
     with staging_area(spark):
-        G.write_manifest(crawl_manifest(landed, params, run_timestamp), roots.manifest, run_id)
-        entries = spark.read.parquet(f"{roots.manifest}/run_id={run_id}")
+        written = G.write_manifest(crawl_manifest(landed, params, run_timestamp), roots.manifest, run_id)
+        entries = spark.read.parquet(written)
         G.write_completed(entries, roots.completed, run_id)
         scope = scoped_listing(tables.listing, params).select("category", "document_type", "run_order", "akn_uri")
         done = known.select("akn_uri").distinct().withColumn("_done", F.lit(True))
@@ -223,4 +231,4 @@ def run_crawl(
             "category", "document_type", "position", F.to_timestamp_ntz(F.lit(run_timestamp)).alias("updated_at")
         )
         G.write_progress(progress, roots.progress, run_id)
-    return run_report(G.read_manifest_table(spark, roots.manifest))
+    return stored_report(spark, roots.manifest)

@@ -43,6 +43,9 @@ MANIFEST_ENTRY = _struct(
     ("error", _STR),
 )
 
+# Counts of a run's entries.
+SUMMARY = _struct(("total", _LONG), ("success", _LONG), ("skipped", _LONG), ("error", _LONG))
+
 # Nested manifest file, as written by single-machine harvesters.
 MANIFEST_FILE = _struct(
     ("updated_at", T.TimestampNTZType()),
@@ -73,6 +76,9 @@ PROGRESS = _struct(
     ("updated_at", T.TimestampNTZType()),
 )
 
+# A stored document; category, type and year are its partition.
+CORPUS = _struct(("akn_uri", _STR), ("info", DOCUMENT_INFO), ("xml", _STR))
+
 # One row per HTTP attempt; `run_id` names the run that made it and sorts by time. `link` names the media file, else NULL; a failed
 # connection has an `exception` and no status.
 ATTEMPT = _struct(

@@ -93,6 +93,31 @@ def child_folders(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in store.listStatus(found) if s.isDirectory()] if store.exists(found) else []
 
 
+def child_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files right below a folder; none if it is not there."""
+    found, store = _path(spark, path)
+    return [s.getPath().getName() for s in store.listStatus(found) if s.isFile()] if store.exists(found) else []
+
+
+def create_file(spark: SparkSession, path: str, text: str = "") -> None:
+    """Create a small file and its folders; fails if it is there."""
+    found, store = _path(spark, path)
+    stream = store.create(found, False)
+    if text:
+        stream.write(bytearray(text.encode()))
+    stream.close()
+
+
+def file_text(spark: SparkSession, path: str) -> str:
+    """A small file's text."""
+    found, store = _path(spark, path)
+    stream = store.open(found)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 # Paths staged inside each `staging_area` that is open, innermost last.
 _AREAS: list[list[str]] = []
 

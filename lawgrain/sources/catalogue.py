@@ -4,21 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from pyspark.sql.types import StringType, StructField, StructType
-
-from lawgrain.operators.manifest import completed_set, unknown_statuses
-from lawgrain.schemas import COMPLETED, MANIFEST_ENTRY, MANIFEST_FILE, PROGRESS, STATE_FILE
-
-
-def _with_text_partitions(spark: SparkSession, root: str, names: tuple[str, ...]) -> DataFrame:
-    """A partitioned table whose partition values are the text they were written as.
-
-    Left to itself Spark reads "007" as a number and "2026-02-01" as a date.
-    """
-    reader = spark.read.option("basePath", root)
-    found = reader.parquet(root).schema.fields
-    fields = [StructField(f.name, StringType()) if f.name in names else f for f in found]
-    return reader.schema(StructType(fields)).parquet(root)
+from lawgrain.operators.manifest import completed_set, manifest_summary
+from lawgrain.schemas import (
+    COMPLETED,
+    CORPUS,
+    MANIFEST_ENTRY,
+    MANIFEST_FILE,
+    MANIFEST_STATUSES,
+    PROGRESS,
+    STATE_FILE,
+    SUMMARY,
+)
+from lawgrain.sources import commits
 
 
 def read_manifest(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
@@ -31,26 +28,37 @@ def read_manifest(spark: SparkSession, path: str, multiline: bool = True) -> Dat
     return files.select(F.inline("entries"))
 
 
-def write_manifest(entries: DataFrame, root: str, run_id: str) -> None:
-    """Add the entries of one run as a partition of the manifest table.
+def write_manifest(entries: DataFrame, root: str, run_id: str) -> str:
+    """Publish the entries of one run in the manifest table; returns their folder.
 
-    Appends to the history; a run that is repeated replaces its own partition
-    only. Headers are computed when read, never stored. A status outside the
-    domain fails the write.
+    Appends to the history; a run that is repeated replaces its own part, in one step
+    after all is written. The run's counts are stored beside it. A status outside the
+    domain fails the write, from within its one pass.
     """
-    if not unknown_statuses(entries).isEmpty():
-        raise ValueError("manifest entries with an unknown status")
-    entries.write.mode("overwrite").parquet(f"{root}/run_id={run_id}")
+    status = F.col("status")
+    sound = F.coalesce(status.isin(*MANIFEST_STATUSES), F.lit(False))
+    fail = F.raise_error(F.concat(F.lit("manifest entry with an unknown status: "), F.coalesce(status, F.lit("NULL"))))
+    checked = entries.withColumn("status", F.when(sound, status).otherwise(fail.cast("string")))
+    return commits.publish(checked, root, run_id, counts=manifest_summary)
 
 
 def read_manifest_table(spark: SparkSession, root: str) -> DataFrame:
     """Manifest entries of all runs with their `run_id`, a STRING."""
-    return _with_text_partitions(spark, root, ("run_id",))
+    return commits.read(spark, root, MANIFEST_ENTRY)
 
 
-def read_state(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Completed set and progress from a nested JSON state file."""
-    state = spark.read.schema(STATE_FILE).option("multiLine", True).json(path)
+def read_summary(spark: SparkSession, root: str) -> DataFrame:
+    """`manifest_summary` of the whole history from one stored row a run."""
+    runs = commits.read(spark, root, SUMMARY, counts=True)
+    return runs.agg(*[F.coalesce(F.sum(f.name), F.lit(0)).alias(f.name) for f in SUMMARY.fields])
+
+
+def read_state(spark: SparkSession, path: str, multiline: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Completed set and progress from nested JSON state files; an unreadable one is empty.
+
+    `multiline` is one state per file; otherwise one per line, which Spark can split.
+    """
+    state = spark.read.schema(STATE_FILE).option("multiLine", multiline).json(path)
     completed = state.select(F.explode("completed_uris").alias("akn_uri")).distinct()
     progress = state.where("current_category IS NOT NULL").select(
         F.col("current_category").alias("category"),
@@ -62,8 +70,8 @@ def read_state(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 
 
 def write_completed(manifest_entries: DataFrame, root: str, run_id: str) -> None:
-    """Add what one run completed; repeating the run replaces its own part."""
-    completed_set(manifest_entries).write.mode("overwrite").parquet(f"{root}/run_id={run_id}")
+    """Publish what one run completed; repeating the run replaces its own part."""
+    commits.publish(completed_set(manifest_entries), root, run_id)
 
 
 def read_completed(spark: SparkSession, root: str, but_run: str | None = None) -> DataFrame:
@@ -72,36 +80,30 @@ def read_completed(spark: SparkSession, root: str, but_run: str | None = None) -
     `but_run` leaves one run out: a run that is repeated, whose part is about to be
     replaced.
     """
-    fields = StructType([*COMPLETED.fields, StructField("run_id", StringType())])
-    table = spark.read.option("basePath", root).schema(fields).parquet(f"{root}/run_id=*")
-    if but_run is not None:
-        table = table.where(F.col("run_id") != but_run)
-    return table.select("akn_uri")
+    return commits.read(spark, root, COMPLETED, but=but_run).select("akn_uri")
 
 
 def write_progress(progress: DataFrame, root: str, run_id: str) -> None:
-    """Positions reached by one run."""
-    progress.write.mode("overwrite").parquet(f"{root}/run_id={run_id}")
+    """Publish the positions reached by one run."""
+    commits.publish(progress, root, run_id)
 
 
 def read_progress(spark: SparkSession, root: str) -> DataFrame:
-    """Positions of all runs."""
-    return spark.read.schema(PROGRESS).parquet(f"{root}/run_id=*")
+    """Positions of all runs with their `run_id`."""
+    return commits.read(spark, root, PROGRESS)
 
 
 def reset_state(spark: SparkSession, completed_root: str, progress_root: str) -> None:
-    """Forget completed URIs and progress; the manifest stays."""
-    for root, schema in ((completed_root, COMPLETED), (progress_root, PROGRESS)):
-        empty = spark.createDataFrame([], schema)
-        empty.write.mode("overwrite").parquet(root)
-        empty.write.mode("overwrite").parquet(f"{root}/run_id=reset")
+    """Forget completed URIs and progress, each in one step; the manifest stays."""
+    for root in (completed_root, progress_root):
+        commits.forget(spark, root)
 
 
 _PLACES = ("category", "document_type", "year")
 
 
 def write_corpus(documents: DataFrame, root: str, run_id: str) -> None:
-    """Add the documents of one run, partitioned by category, type and year.
+    """Publish the documents of one run, partitioned by category, type and year.
 
     `documents` has `info` and `xml`. Earlier runs stay as they are; a run that is
     repeated replaces its own part. One file per document does not scale, so
@@ -113,8 +115,7 @@ def write_corpus(documents: DataFrame, root: str, run_id: str) -> None:
     placed = documents.where(F.col("info").isNotNull()).select(
         "*", *[F.col("info").getField(key).alias(key) for key in keys]
     )
-    target = f"{root}/run_id={run_id}"
-    placed.hint("rebalance", *keys).write.mode("overwrite").partitionBy(*keys).parquet(target)
+    commits.publish(placed.hint("rebalance", *keys), root, run_id, keys)
 
 
 def read_corpus(spark: SparkSession, root: str) -> DataFrame:
@@ -123,7 +124,7 @@ def read_corpus(spark: SparkSession, root: str) -> DataFrame:
     Partition values are STRINGs. A document that several runs have stored is there
     once for each; `latest_documents` keeps its last copy.
     """
-    return _with_text_partitions(spark, root, ("run_id", *_PLACES))
+    return commits.read(spark, root, CORPUS, _PLACES)
 
 
 def latest_documents(corpus: DataFrame) -> DataFrame:

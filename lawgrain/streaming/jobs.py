@@ -15,6 +15,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from lawgrain.operators.manifest import completed_set, stored_folders
 from lawgrain.schemas import COMPLETED
 from lawgrain.session import child_folders, path_exists, remove_path, staging_area
+from lawgrain.sources.catalogue import write_manifest
 from lawgrain.sources.landing import stream_list_pages
 
 
@@ -94,12 +95,12 @@ def read_current(spark: SparkSession, root: str) -> DataFrame:
 def stream_manifest(entries: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
     """Add the entries of each micro-batch to the manifest table.
 
-    The batch number names the partition: a replay overwrites what the failed
-    try left behind.
+    The batch number names the part: a replay replaces what the failed try may have
+    published.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{root}/run_id=batch-{batch_id}")
+        write_manifest(batch, root, f"batch-{batch_id}")
 
     return (
         entries.writeStream.foreachBatch(store)

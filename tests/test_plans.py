@@ -10,6 +10,7 @@ from lawgrain.operators import manifest as M
 from lawgrain.operators import outcome as O
 from lawgrain.operators import scope as S
 from lawgrain.operators import worklist as W
+from lawgrain.operators.ordering import ranged
 from lawgrain.params import CrawlParams
 from lawgrain.sources import catalogue as G
 
@@ -106,6 +107,50 @@ def test_page_numbers_never_sort_a_whole_listing(spark, hot):
         assert "_range" in spec
 
 
+@pytest.mark.parametrize(
+    "spread",
+    [
+        "id",
+        # nine tenths in two clusters far apart
+        "CASE WHEN id % 10 = 0 THEN id * 1000003 WHEN id % 2 = 0 THEN id ELSE 1000000000000 + id END",
+        "(id * 7919 % 1000003) * 9000000000 + id",
+        # one row far out
+        "CASE WHEN id = 7 THEN 9000000000000000 ELSE id END",
+    ],
+)
+def test_ranges_of_a_listing_are_even_however_its_numbers_lie(spark, spread):
+    rows = spark.range(40_000).selectExpr("'act' AS category", f"{spread} AS item_no").repartition(7)
+    rows = rows.unionByName(spark.range(30).selectExpr("'doc' AS category", "id AS item_no"))
+    sizes = {(r.category, r["_range"]): r["count"] for r in ranged(rows, ["category"], "item_no", 1000).groupBy("category", "_range").count().collect()}
+    assert len(sizes) == 41 and max(sizes.values()) <= 2000 and sizes["doc", 0] == 30
+
+
+@pytest.mark.parametrize("by", ["number", "dateIssued"])
+def test_ranks_of_a_whole_listing(spark, by):
+    """Ties throughout; places do not depend on how the rows are dealt."""
+    rows = spark.range(3000).selectExpr(
+        "id AS item_no",
+        "CASE WHEN id % 50 = 0 THEN '' ELSE '/akn/fi/act/statute/2024/' || (id % 7) || '/fin@' END AS akn_uri",
+        "DATE'2024-01-01' AS date_issued",
+    )
+    places = []
+    for parts in (1, 9):
+        listing = S.with_document_key(rows.repartition(parts), BASE)
+        ranked = S.listing_rank(listing, by, descending=True)
+        assert "_sort" not in ranked.columns and ranked.columns[-1] == "place"
+        places.append([r.item_no for r in ranked.orderBy("place").collect()])
+        assert sorted(r.place for r in ranked.collect()) == list(range(1, 3001))
+    assert places[0] == places[1]
+    assert places[0] == [r.item_no for r in S.listing_sort(S.with_document_key(rows, BASE), by, descending=True).collect()]
+
+
+def test_sort_keys_are_computed_once(spark):
+    listing = S.with_document_key(spark.range(10).selectExpr("id AS item_no", "'' AS akn_uri"), BASE)
+    text = plan(S.listing_sort(listing))
+    (sort,) = re.findall(r"Sort \[([^\n]*)\], true", text)
+    assert "CASE" not in sort and "regexp" not in sort and "try_cast" not in sort.lower()
+
+
 def test_scope_prunes_folders_and_parses_once(spark, tmp_path):
     root = str(tmp_path / "listing")
     lines = [(1, "act", "statute", "/akn/fi/act/statute/2024/1/fin@"), (2, "doc", "treaty", "/akn/fi/doc/treaty/2024/2/fin@")]
