@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from xml.etree import ElementTree
+from xml.parsers import expat
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, functions as F
 from pyspark.sql import types as T
 
@@ -13,28 +13,72 @@ AKN_NAMESPACE = "http://docs.oasis-open.org/legaldocml/ns/akn/3.0"
 MEDIA_PREFIX = "media/"
 
 
-def _document_links(document: str | bytes | None) -> list[str]:
-    """Distinct links of one document in order; none if it is not well-formed."""
-    if document is None:
-        return []
+# Bytes handed to the parser at a time.
+PARSE_BYTES = 1 << 20
+_IMAGE, _ATTACHMENT, _REFERENCE = (f"{AKN_NAMESPACE} {name}" for name in ("img", "attachment", "ref"))
+
+
+def document_links(document: memoryview, encoding: str | None = "utf-8") -> list[str]:
+    """Distinct links of one document in order; none if it is not well-formed.
+
+    The parser reads the document piece by piece and keeps no tree: memory is that of the
+    links. `encoding` None takes the one that the document declares.
+    """
+    parser = expat.ParserCreate(encoding, namespace_separator=" ")
+    found: set[str] = set()
+    attachments = 0  # open ones; everything within has links
+
+    def start(name: str, attributes: dict[str, str]) -> None:
+        nonlocal attachments
+        if attachments or name == _ATTACHMENT:
+            attachments += name == _ATTACHMENT
+            link = attributes.get("href")
+        elif name == _REFERENCE:
+            link = attributes.get("href")
+        else:
+            link = None
+        if link is not None:
+            found.add(link)
+        if name == _IMAGE and (link := attributes.get("src")) is not None:
+            found.add(link)
+
+    def end(name: str) -> None:
+        nonlocal attachments
+        attachments -= name == _ATTACHMENT
+
+    def skipped(name: str, is_parameter: bool) -> None:
+        if not is_parameter:
+            raise ValueError(f"undefined entity {name}")
+
+    parser.StartElementHandler, parser.EndElementHandler = start, end
+    parser.SkippedEntityHandler = skipped
     try:
-        root = ElementTree.fromstring(document)
-    except (ElementTree.ParseError, ValueError, LookupError):
+        for at in range(0, len(document), PARSE_BYTES):
+            parser.Parse(document[at : at + PARSE_BYTES], False)
+        parser.Parse(b"", True)
+    except (expat.ExpatError, ValueError, LookupError):
         return []
-    found: set[str | None] = set()
-    for image in root.iter(f"{{{AKN_NAMESPACE}}}img"):
-        found.add(image.get("src"))
-    for attachment in root.iter(f"{{{AKN_NAMESPACE}}}attachment"):
-        found.update(node.get("href") for node in attachment.iter())
-    for reference in root.iter(f"{{{AKN_NAMESPACE}}}ref"):
-        found.add(reference.get("href"))
-    found.discard(None)
     return sorted(found)
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _link_lists(documents: pd.Series) -> pd.Series:
-    return documents.map(_document_links)
+def _link_array(documents: pa.Array) -> pa.Array:
+    """Links of an Arrow column, read from its buffer without copies."""
+    kind = documents.type
+    wide = pa.types.is_large_string(kind) or pa.types.is_large_binary(kind)
+    encoding = None if pa.types.is_binary(kind) or pa.types.is_large_binary(kind) else "utf-8"
+    _, offsets, data = documents.buffers()
+    bounds = memoryview(offsets).cast("q" if wide else "i") if offsets is not None else []
+    view = memoryview(data) if data is not None else memoryview(b"")
+    lists = [
+        document_links(view[bounds[at] : bounds[at + 1]], encoding) if valid else []
+        for at, valid in enumerate(documents.is_valid().to_pylist(), documents.offset)
+    ]
+    return pa.array(lists, pa.list_(pa.string()))
+
+
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def _link_lists(documents: pa.Array) -> pa.Array:
+    return _link_array(documents)
 
 
 def links(xml: Column) -> Column:

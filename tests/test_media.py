@@ -1,5 +1,8 @@
 """Media links and metadata of documents."""
 
+import tracemalloc
+
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -103,3 +106,76 @@ def test_frbr_metadata(spark, kind):
     assert (first["subtype"], first["number"], first["language"], first["document_year"]) == ("statute", "3", "fin", 2026)
     for doc_id in (2, 3, 4):
         assert set(v for k, v in got[doc_id].items() if k != "doc_id") == {None}
+
+
+def tree_links(document):
+    """The same links from a whole tree."""
+    from xml.etree import ElementTree
+
+    akn = "{http://docs.oasis-open.org/legaldocml/ns/akn/3.0}"
+    try:
+        root = ElementTree.fromstring(document)
+    except (ElementTree.ParseError, ValueError, LookupError):
+        return []
+    found = {e.get("src") for e in root.iter(f"{akn}img")} | {e.get("href") for e in root.iter(f"{akn}ref")}
+    for attachment in root.iter(f"{akn}attachment"):
+        found |= {e.get("href") for e in attachment.iter()}
+    return sorted(found - {None})
+
+
+AKN = 'xmlns="http://docs.oasis-open.org/legaldocml/ns/akn/3.0"'
+
+
+@pytest.mark.parametrize(
+    "document",
+    [
+        f'<a {AKN} xmlns:f="urn:f"><img src="media/1"/><f:img src="media/2"/><img xmlns="" src="media/3"/><img f:src="media/4"/></a>',
+        f'<a {AKN}><attachment href="x"><p href="y"><attachment href="z"/></p><img href="w" src="media/v"/></attachment><p href="no"/></a>',
+        f'<k:a xmlns:k="{AKN[7:-1]}"><k:ref href="media/&#x61;&amp;b"/><ref href="no"/></k:a>',
+        f'<a {AKN}><ref href="media/é"/></a>',
+        f'<?xml version="1.0" encoding="ISO-8859-1"?><a {AKN}><ref href="media/é"/></a>',
+        f'<!DOCTYPE a [<!ENTITY m "media/m">]><a {AKN}><ref href="&m;.gif"/>&m;</a>',
+        f'<!DOCTYPE a SYSTEM "x.dtd"><a {AKN}><ref href="media/1"/>&unknown;</a>',
+        f'<a {AKN}><ref href="media/1"/>&unknown;</a>',
+        f'<a {AKN}><ref href="media/1"/>',
+        f'<a {AKN}><ref href="media/1"/></a><b/>',
+        f'<a {AKN}><ref href="media/1"/></a>\0',
+        "",
+        " ",
+        "no xml",
+    ],
+)
+def test_links_are_those_of_a_tree(document, monkeypatch):
+    raw = document.encode()
+    want = tree_links(document)
+    assert X.document_links(memoryview(raw)) == want
+    monkeypatch.setattr(X, "PARSE_BYTES", 3)
+    assert X.document_links(memoryview(raw)) == want
+    assert X.document_links(memoryview(raw), None) == tree_links(raw)
+
+
+def test_links_of_a_sliced_column():
+    rows = [None, f'<a {AKN}><img src="1"/></a>', "", f'<a {AKN}><img src="2"/></a>', None]
+    for kind in (pa.string(), pa.large_string()):
+        column = pa.array(rows, kind)
+        assert X._link_array(column).to_pylist() == [[], ["1"], [], ["2"], []]
+        assert X._link_array(column.slice(2, 2)).to_pylist() == [[], ["2"]]
+    binary = pa.array([f'<?xml version="1.0" encoding="ISO-8859-1"?><a {AKN}><img src="é"/></a>'.encode("latin-1")])
+    assert X._link_array(binary).to_pylist() == [["é"]]
+
+
+def test_a_document_of_200_mb_takes_little_memory():
+    """No tree and no copy: what Python allocates stays far below the document."""
+    part = b"<p>text <i>of a</i> paragraph</p><img src='media/%d.gif'/>" * 1000
+    body = b"".join(part.replace(b"%d", b"%d" % n) for n in range(3600))
+    document = f"<a {AKN}>".encode() + body + b"</a>"
+    del body
+    assert len(document) > 200_000_000
+    column = pa.array([document], pa.binary())
+    view = memoryview(column.buffers()[2])
+    tracemalloc.start()
+    found = X.document_links(view)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == sorted(f"media/{n}.gif" for n in range(3600))
+    assert peak < 100_000_000
