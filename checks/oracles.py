@@ -421,6 +421,13 @@ ORACLES: dict[str, str] = {
     "stream_listing": _LIST_PAGES,
     "stream_dedup": ctes("listing", "completed")
     + "SELECT DISTINCT akn_uri FROM listing WHERE akn_uri NOT IN (SELECT akn_uri FROM completed)",
+    "stream_until_done": ctes("listing", "completed")
+    + """, tried AS (SELECT item_no, akn_uri, CASE WHEN item_no % 3 = 0 THEN 'error' ELSE 'success' END AS status,
+           CASE WHEN item_no >= 1000000000 THEN 2 ELSE item_no % 2 END AS batch FROM listing
+           WHERE akn_uri NOT IN (SELECT akn_uri FROM completed WHERE akn_uri LIKE '%7%'))
+         SELECT item_no, akn_uri, status FROM tried
+         QUALIFY coalesce(max(CASE WHEN status = 'success' THEN 1 ELSE 0 END) OVER (PARTITION BY akn_uri ORDER BY batch, item_no
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) = 0""",
     "stream_counts": _MANIFEST + "SELECT status, count(*) AS entries FROM manifest GROUP BY status",
     "stream_manifest": _MANIFEST + "SELECT item_no, akn_uri, status, timestamp FROM manifest",
     "stream_progress": ctes("listing") + "SELECT category, document_type, count(*) AS items_seen FROM listing GROUP BY ALL",

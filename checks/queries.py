@@ -699,10 +699,11 @@ def _finish(stream) -> None:
 
 @query
 def stream_listing(spark, sf):
-    table, checkpoint = scratch_dir(spark, "stream"), scratch_dir(spark, "checkpoint")
+    table, checkpoint, archive = (scratch_dir(spark, n) for n in ("stream", "checkpoint", "archive"))
     pages = _write_list_pages(spark, sf)
-    for _ in range(2):  # the second run finds nothing new
-        _finish(J.append_to_table(J.stream_listing(spark, pages, max_files=4), table, checkpoint))
+    for _ in range(2):  # the second run finds nothing new; worked-off pages are gone by then
+        listing = J.stream_listing(spark, pages, max_files=4, archive=archive)
+        _finish(J.append_to_table(listing, table, checkpoint))
     read = spark.read.parquet(table)
     return read.select("category", "document_type", "page", F.col("pos").cast("bigint"), "akn_uri", "status")
 
@@ -716,6 +717,20 @@ def stream_dedup(spark, sf):
     return spark.read.parquet(table)
 
 
+@query
+def stream_until_done(spark, sf):
+    """Failing URIs come back in later batches and after restarts, until they are done."""
+    source, table, checkpoint = (scratch_dir(spark, n) for n in ("outcomes", "stream", "checkpoint"))
+    outcomes = _with_status(_listing(spark, sf)).select("item_no", "akn_uri", "status")
+    completed = derive(spark, sf, "completed").where("akn_uri LIKE '%7%'")
+    late = F.col("item_no") >= 1_000_000_000
+    for part in (~late & (F.col("item_no") % 2 == 0), ~late & (F.col("item_no") % 2 == 1), late):
+        outcomes.where(part).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(outcomes.schema).parquet(source)
+        _finish(J.append_to_table(J.stream_until_done(stream, completed), table, checkpoint))
+    return spark.read.parquet(table)
+
+
 def _manifest_stream(spark, sf) -> DataFrame:
     source = scratch_dir(spark, "entries")
     entries = derive(spark, sf, "manifest")
@@ -757,12 +772,11 @@ def stream_crawl(spark, sf):
 
     source, checkpoint = scratch_dir(spark, "listing"), scratch_dir(spark, "checkpoint")
     schema = tables.listing.schema
-    # Four parts of the listing in two runs of the stream; repeats come after first copies.
+    # Four parts of the listing, each a run of the stream; repeats come after first copies.
     late, acts = F.col("item_no") >= 1_000_000_000, F.col("category") == "act"
-    for parts in ((acts & ~late, acts & late), (~acts & ~late, ~acts & late)):
-        for part in parts:
-            tables.listing.where(part).coalesce(1).write.mode("append").parquet(source)
-        listing = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
-        _finish(J.stream_crawl(listing, decide, manifest, completed, checkpoint))
+    for part in (acts & ~late, acts & late, ~acts & ~late, ~acts & late):
+        tables.listing.where(part).repartitionByRange("item_no").write.mode("append").parquet(source)
+        listing = spark.readStream.schema(schema).parquet(source)
+        _finish(J.stream_crawl(listing, decide, manifest, completed, checkpoint, snapshot_every=2))
     stored = spark.read.option("basePath", manifest).parquet(manifest)
     return stored.select("item_no", "akn_uri", "status", "timestamp", F.concat_ws("|", "files").alias("files"), "error")

@@ -10,20 +10,30 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from lawgrain.operators.manifest import completed_set, stored_folders
 from lawgrain.schemas import COMPLETED
 from lawgrain.session import child_folders, path_exists, remove_path, staging_area
 from lawgrain.sources.catalogue import write_manifest
 from lawgrain.sources.landing import stream_list_pages
+from lawgrain.streaming.state import EXPIRY_MS, add_to_state, drop_merged, state_before, until_done, without_empty_batches
 
 
 def stream_listing(
-    spark: SparkSession, landing: str, max_files: int | None = None, max_bytes: str | None = None
+    spark: SparkSession,
+    landing: str,
+    max_files: int | None = None,
+    max_bytes: str | None = None,
+    archive: str | None = None,
+    max_age: str | None = None,
 ) -> DataFrame:
-    """Listing rows of list pages as they arrive, so many files or bytes at a time."""
-    return stream_list_pages(spark, landing, max_files, max_bytes)
+    """Listing rows of list pages as they arrive, so many files or bytes at a time.
+
+    Pages that were worked off move to `archive`, so the landing folder holds, and each
+    micro-batch lists, only what is new; `max_age` bounds the files remembered as seen.
+    """
+    return stream_list_pages(spark, landing, max_files, max_bytes, archive, max_age)
 
 
 def stream_dedup(listing: DataFrame, completed: DataFrame) -> DataFrame:
@@ -31,11 +41,17 @@ def stream_dedup(listing: DataFrame, completed: DataFrame) -> DataFrame:
 
     The state grows with the distinct URIs, as a completed set does; keep it
     in RocksDB. A URI that fails is left out of `completed` and comes back in
-    the next run with a new checkpoint.
+    the next run with a new checkpoint; `stream_until_done` tries it again in the stream
+    and forgets URIs that are no longer listed.
     """
     return listing.join(completed.select("akn_uri"), "akn_uri", "left_anti").dropDuplicates(["akn_uri"])
 
 
+def stream_until_done(outcomes: DataFrame, completed: DataFrame, expiry_ms: int = EXPIRY_MS) -> DataFrame:
+    """Rows of each URI up to its first success or skip, completed ones never; see `until_done`."""
+    return until_done(outcomes.join(completed.select("akn_uri"), "akn_uri", "left_anti"), expiry_ms)
+
+
 def stream_counts(manifest: DataFrame) -> DataFrame:
     """Entries per status so far."""
     return manifest.groupBy("status").agg(F.count("*").alias("entries"))
@@ -48,14 +64,15 @@ def stream_progress(listing: DataFrame) -> DataFrame:
 
 def append_to_table(rows: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
     """Write new rows to a parquet table, each exactly once."""
-    return (
-        rows.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", root)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    with without_empty_batches(rows.sparkSession):
+        return (
+            rows.writeStream.format("parquet")
+            .outputMode("append")
+            .option("path", root)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
 
 
 def keep_current(aggregate: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
@@ -110,16 +127,8 @@ def stream_manifest(entries: DataFrame, root: str, checkpoint: str) -> Streaming
     )
 
 
-def _read_batches_before(spark: SparkSession, root: str, schema: StructType, batch_id: int) -> DataFrame:
-    if not path_exists(spark, root):
-        return spark.createDataFrame([], schema)
-    fields = StructType([*schema.fields, StructField("batch_id", LongType())])
-    table = spark.read.option("basePath", root).schema(fields).parquet(root)
-    return table.where(F.col("batch_id") < batch_id).drop("batch_id")
-
-
 # What a batch adds to the state of `stream_crawl`.
-_STATE = StructType([*COMPLETED.fields, StructField("folder_path", StringType())])
+STATE = StructType([*COMPLETED.fields, StructField("folder_path", StringType())])
 
 
 def stream_crawl(
@@ -129,6 +138,7 @@ def stream_crawl(
     completed_root: str,
     checkpoint: str,
     output_dir: str = "corpus",
+    snapshot_every: int = 20,
 ) -> StreamingQuery:
     """Work off a listing stream into manifest and completed tables.
 
@@ -137,12 +147,15 @@ def stream_crawl(
     second URI of such a folder is skipped as it is within one batch. State is
     read back from the table, so that, unlike with a de-duplicating stream, a URI
     that failed is tried again when it is listed again, and none is kept in the
-    stream. What a batch stages is removed with it.
+    stream. The table has a delta a batch and, every `snapshot_every` batches, a
+    snapshot in place of all before, so a batch reads at most `snapshot_every` + 1
+    folders. What a batch stages is removed with it.
     """
 
     def work(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        before = _read_batches_before(spark, completed_root, _STATE, batch_id)
+        drop_merged(spark, completed_root, batch_id)
+        before = state_before(spark, completed_root, STATE, batch_id)
         completed = before.where("akn_uri IS NOT NULL").select("akn_uri")
         stored = before.where("folder_path IS NOT NULL").select("folder_path")
         part = f"{manifest_root}/batch_id={batch_id}"
@@ -152,7 +165,7 @@ def stream_crawl(
         entries = spark.read.parquet(part)
         done = completed_set(entries).withColumn("folder_path", F.lit(None).cast("string"))
         folders = stored_folders(entries, output_dir).withColumn("akn_uri", F.lit(None).cast("string"))
-        done.unionByName(folders).write.mode("overwrite").parquet(f"{completed_root}/batch_id={batch_id}")
+        add_to_state(done.unionByName(folders), completed_root, batch_id, snapshot_every)
 
     return (
         listing.writeStream.foreachBatch(work)

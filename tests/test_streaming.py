@@ -145,3 +145,93 @@ def test_old_versions_go(spark, tmp_path):
         finish(J.keep_current(J.stream_counts(entries), table, str(tmp_path / "c")))
     assert sorted(os.listdir(table)) == ["batch_id=2", "batch_id=3"]
     assert J.read_current(spark, table).first().entries == 4
+
+
+def run_until_done(spark, base, lines, expiry_ms):
+    """Append outcomes, run the stream, and give its output and the rows of its state."""
+    schema = "item_no long, akn_uri string, status string"
+    source, table = f"{base}/outcomes", f"{base}/kept"
+    spark.createDataFrame(lines, schema).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(schema).parquet(source)
+    completed = spark.createDataFrame([("gone",)], "akn_uri string")
+    query = J.append_to_table(J.stream_until_done(stream, completed, expiry_ms), table, f"{base}/checkpoint")
+    query.awaitTermination()
+    (state,) = query.recentProgress[-1].stateOperators
+    query.stop()
+    kept = sorted((r.item_no, r.akn_uri, r.status) for r in spark.read.parquet(table).collect())
+    return kept, state.numRowsTotal
+
+
+def test_a_failing_uri_is_tried_in_three_batches(spark, tmp_path):
+    batches = [
+        [(2, "u", "error"), (1, "u", "error"), (3, "v", "success"), (4, "v", "success"), (5, "gone", "error")],
+        [(6, "u", "error"), (7, "v", "error"), (8, "w", "error"), (9, "w", "skipped"), (10, "w", "error")],
+        [(11, "u", "success"), (12, "u", "error"), (13, "w", "success")],
+    ]
+    for lines in batches:
+        kept, rows = run_until_done(spark, tmp_path, lines, 10**9)
+    assert kept == [
+        (1, "u", "error"), (2, "u", "error"), (3, "v", "success"), (6, "u", "error"),
+        (8, "w", "error"), (9, "w", "skipped"), (11, "u", "success"),
+    ]
+    assert rows == 3
+
+
+def test_state_of_uris_no_longer_listed_expires(spark, tmp_path):
+    for n in range(4):
+        lines = [(100 * n + i, f"u{n}-{i}", "success") for i in range(50)] + [(100 * n + 99, "again", "success")]
+        kept, rows = run_until_done(spark, tmp_path, lines, 1)
+        assert rows <= 2 * 51  # of this batch, and of the one before until it is cleaned
+    assert [k for k in kept if k[1] == "again"] == [(n, "again", "success") for n in (99, 199, 299, 399)]
+
+
+def test_twelve_batches_read_few_folders_of_state(spark, tmp_path):
+    from lawgrain.streaming import state as T
+
+    schema = T.StructType.fromDDL("akn_uri string")
+    root = str(tmp_path / "state")
+    for batch in range(12):
+        T.drop_merged(spark, root, batch)
+        assert len(T.state_folders(spark, root, batch)) <= 4 + 1
+        before = {r.akn_uri for r in T.state_before(spark, root, schema, batch).collect()}
+        assert before == {f"u{n}" for n in range(batch)} | ({"same"} if batch else set())
+        rows = spark.createDataFrame([(f"u{batch}",), ("same",)], schema)
+        for _ in range(2):  # each batch is replayed
+            T.add_to_state(rows, root, batch, 4)
+    assert T.state_rows(spark, root, schema).distinct().count() == 13
+    folders = {p.name for p in (tmp_path / "state").iterdir()}
+    assert len(folders) <= 2 * 5 and "delta=0" not in folders
+
+
+def test_a_lost_snapshot_is_not_read(spark, tmp_path):
+    from lawgrain.streaming import state as T
+
+    schema = T.StructType.fromDDL("akn_uri string")
+    root = str(tmp_path / "state")
+    for batch in range(3):
+        T.add_to_state(spark.createDataFrame([(f"u{batch}",)], schema), root, batch, 2)
+    (tmp_path / "state" / "snapshot=2" / "_SUCCESS").unlink()  # lost while it was written
+    T.drop_merged(spark, root, 3)
+    assert sorted(r.akn_uri for r in T.state_before(spark, root, schema, 3).collect()) == ["u0", "u1", "u2"]
+
+
+def test_worked_off_pages_move_to_the_archive(spark, tmp_path):
+    landing, archive, table = tmp_path / "pages", tmp_path / "archive", str(tmp_path / "listed")
+
+    def run():
+        listing = J.stream_listing(spark, str(landing), archive=str(archive), max_age="7d")
+        finish(J.append_to_table(listing, table, str(tmp_path / "c")))
+        return sorted(r.akn_uri for r in spark.read.parquet(table).collect())
+
+    def files(folder):
+        return sorted(p.parent.name for p in folder.rglob("body.json")) if folder.exists() else []
+
+    write_pages(landing, "act", "statute", [page("u1"), page("u2")])
+    assert run() == ["u1", "u2"]
+    write_pages(landing, "doc", "treaty", [page("u3")])
+    assert run() == ["u1", "u2", "u3"]  # restarted; commits the first batch's pages as done
+    write_pages(landing, "judgment", "kko", [page("u4")])
+    assert run() == ["u1", "u2", "u3", "u4"]
+    assert run() == ["u1", "u2", "u3", "u4"]
+    assert len(files(archive)) >= 2 and len(files(landing)) + len(files(archive)) == 4
+    assert files(landing) != files(archive)
