@@ -6,31 +6,39 @@ before it (the last one, the last two together, and skips to the second and thir
 the last is the word's smoothed share in its leaf, so all known words and one unknown
 word per leaf sum to one. Classes depend on a word's spelling alone.
 
-Training: every partition makes gradient updates over all its training documents,
-starting from the same weights; the partitions' weights are averaged by tokens in
-slices, first within groups of partitions, then across them. More rounds start from the
-averages. The model has a fixed size, so what is sent to the executors does not grow.
-
-Counts: a slice of texts sends each hash range its distinct words (64-bit hashes) with
-their counts in training texts, and which of its texts hold them. A range adds up the
-counts of all slices and answers with sums per text. A frequent word is one entry per
-slice. Ranges grow in number with the input's partitions.
+A feature's value for a class is the log of how much more often the class follows it than
+it occurs at all, from counts over all training texts, smoothed towards no difference. The
+features' weights, one for each kind of feature and how often the feature was seen, maximise
+the likelihood. Each round is one synchronous update: every partition sums gradient and
+curvature over all its training tokens, each token left out of its own counts, and the sum
+of all partitions makes one Newton step. Counts, gradients and curvature are plain sums, so
+the model is the same however the input is dealt. The tables grow with the input's bytes up
+to `max_rows` rows, which bounds what is broadcast.
+
+Word counts: a slice of texts is stored with its distinct words (64-bit hashes) and their
+counts in training texts; these are summed over all slices, and each slice gets the sums of
+its words back. Which text holds which word never leaves the slice, and a frequent word is
+one row a slice.
 
 Defined results: a NULL or empty text is its end token alone; a NULL id is a training
-document; a repeated row counts, and is returned, as often as it occurs; an empty table
-gives an empty table. Different words with one 64-bit hash would count as one.
+document; ids keep their type; a repeated row counts, and is returned, as often as it occurs;
+other columns are ignored; an empty table gives an empty table. Different words with one
+64-bit hash would count as one. A text is held whole by a task, with some thirty times its
+bytes.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from lawgrain.llm.texts import Texts, mix, slices
 from lawgrain.session import staged
@@ -38,19 +46,23 @@ from lawgrain.session import staged
 CLASSES, SUBCLASSES = 32, 8  # the last class holds the end token alone
 LEAVES = CLASSES * SUBCLASSES
 END = np.uint64(0x5851F42D4C957F2D)
+# Kinds of features of each softmax; how often a feature must be seen for a weight of its own.
+GROUP_KINDS, SUB_KINDS = 4, 2
+SEEN = np.array([1, 8, 64])
 
 
 @dataclass(frozen=True)
 class LmParams:
-    class_rows: int = 1 << 14
-    subclass_rows: int = 1 << 15
-    rate: float = 0.3
-    minibatch: int = 1 << 15
-    rounds: int = 1
+    min_rows: int = 1 << 14
+    max_rows: int = 1 << 17
+    bytes_per_row: int = 256  # rows of each table by the texts' bytes
+    smoothing: float = 4.0
+    minibatch: int = 1 << 14
+    rounds: int = 2
     weight_slices: int = 32
     fan_in: int = 16
     slice_bytes: int = 4 << 20
-    min_ranges: int = 32
+    rows: int = 0  # set from the input
 
 
 def in_training(doc_id: Column) -> Column:
@@ -108,287 +120,268 @@ class Tokens:
             return out[skip:]
 
         one, two, three = back(1), back(2), back(3)
-        mask = np.uint64(params.class_rows - 1)
+        mask = np.uint64(params.rows - 1)
         rows = [one, mix(one ^ (two << np.uint64(1))), mix(two + np.uint64(2)), mix(three + np.uint64(3))]
         first = np.stack([(r & mask).astype(np.int32) for r in rows])
         group = (self.leaf[at] // SUBCLASSES).astype(np.uint64)
-        sub = mix(one + (group + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)) & np.uint64(params.subclass_rows - 1)
-        # rows 0 .. CLASSES - 1 of the second table serve as biases of each class
-        return first, np.stack((group.astype(np.int32), sub.astype(np.int32)))
+        near = mix(one + (group + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
+        far = mix(near ^ (two << np.uint64(1)))
+        return first, np.stack([(r & mask).astype(np.int32) for r in (near, far)])
 
 
 class Softmax:
-    """One softmax over sums of weight rows; row updates scaled by their past (AdaGrad)."""
-
-    def __init__(self, rows: int, width: int):
-        self.weight = np.zeros((rows, width), np.float32)
-        self.bias = np.zeros(width, np.float32)
-        self.past = np.full(rows, 1e-2, np.float32)
-        self.bias_past = np.float32(1e-2)
-
-    def probabilities(self, rows: np.ndarray) -> np.ndarray:
-        z = self.weight[rows[0]]
-        for r in rows[1:]:
-            z += self.weight[r]
-        z += self.bias
+    """One softmax over sums of weighted feature values, from the features' counts."""
+
+    def __init__(self, counts: np.ndarray, kinds: int, smoothing: float):
+        self.counts, self.smoothing = counts, np.float32(smoothing)
+        whole = counts.sum(axis=0, dtype=np.float64)
+        self.share = ((whole + 1) / (whole.sum() + len(whole))).astype(np.float32)
+        seen = counts.sum(axis=1)
+        value = counts.astype(np.float32)
+        value += self.smoothing * self.share
+        value /= (seen.astype(np.float32) + self.smoothing)[:, None] * self.share
+        self.value = np.log(value, out=value)
+        self.often = np.searchsorted(SEEN, seen, "right").astype(np.int8)  # 0: never
+        self.weight = np.full((kinds, len(SEEN) + 1), 1.0 / kinds, np.float64)
+
+    def _values(self, rows: np.ndarray) -> np.ndarray:
+        return self.value[rows]  # (kind, token, class)
+
+    def _log_odds(self, rows: np.ndarray, values: np.ndarray, prior: np.ndarray) -> np.ndarray:
+        weights = self.weight.astype(np.float32)
+        z = prior.copy()
+        for kind, (r, v) in enumerate(zip(rows, values)):
+            z += weights[kind][self.often[r]][:, None] * v
         z -= z.max(axis=1, keepdims=True)
-        np.exp(z, out=z)
-        z /= z.sum(axis=1, keepdims=True)
         return z
 
-    def log10(self, rows: np.ndarray, gold: np.ndarray) -> np.ndarray:
-        p = self.probabilities(rows)[np.arange(len(gold)), gold]
-        return np.log10(np.maximum(p, 1e-30).astype(np.float64))
-
-    def update(self, rows: np.ndarray, gold: np.ndarray, rate: float) -> None:
-        error = self.probabilities(rows)
-        error[np.arange(len(gold)), gold] -= 1
-        for r in rows:
-            order = np.argsort(r, kind="stable")
-            first = np.flatnonzero(np.diff(r[order], prepend=-1))
-            gradient = np.add.reduceat(error[order], first, axis=0)
-            touched = r[order[first]]
-            size = np.diff(np.append(first, len(r))).astype(np.float32)
-            self.past[touched] += (gradient * gradient).mean(axis=1) / np.sqrt(size)
-            step = rate / np.sqrt(self.past[touched] * np.sqrt(size)) / len(rows)
-            self.weight[touched] -= np.clip(step, 0, 1.0)[:, None] * gradient
-        gradient = error.mean(axis=0)
-        self.bias -= np.float32(rate) * gradient
+    def log10(self, rows: np.ndarray, gold: np.ndarray, prior: np.ndarray) -> np.ndarray:
+        z = self._log_odds(rows, self._values(rows), prior)
+        at = z[np.arange(len(gold)), gold].astype(np.float64)
+        return (at - np.log(np.exp(z).sum(axis=1, dtype=np.float64))) / np.log(10)
+
+    def slope(self, rows: np.ndarray, gold: np.ndarray, prior: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Gradient and curvature of the log-likelihood in the weights, tokens left out of their counts."""
+        values, n = self._values(rows), np.arange(len(gold))
+        for kind, r in enumerate(rows):
+            have = self.counts[r, gold].astype(np.float32) + self.smoothing * self.share[gold]
+            values[kind, n, gold] += np.log(np.maximum(have - 1, 1e-6) / have)
+        z = self._log_odds(rows, values, prior)
+        p = np.exp(z, out=z)
+        p /= p.sum(axis=1, keepdims=True)
+        mean = np.einsum("nc,knc->kn", p, values)
+        places = np.arange(len(rows))[:, None] * self.weight.shape[1] + self.often[rows]
+        size = self.weight.size
+        gain = np.bincount(places.ravel(), (values[:, n, gold] - mean).ravel(), size)
+        bend = np.zeros(size * size)
+        for a in range(len(rows)):
+            for b in range(a, len(rows)):
+                both = np.einsum("nc,nc,nc->n", p, values[a], values[b]) - mean[a] * mean[b]
+                part = np.bincount(places[a] * size + places[b], both, size * size)
+                bend += part
+                if a != b:
+                    bend += part.reshape(size, size).T.ravel()
+        return gain, bend.reshape(size, size)
+
+    def step(self, gain: np.ndarray, bend: np.ndarray) -> None:
+        """One Newton step, held back where little was seen."""
+        if not bend.any():
+            return
+        ridge = np.eye(len(gain)) * (1e-3 * np.trace(bend) / len(gain) + 1e-6)
+        move = np.linalg.solve(bend + ridge, gain)
+        self.weight = np.clip(self.weight + np.clip(move, -1, 1).reshape(self.weight.shape), -0.5, 2.0)
 
 
 class Model:
-    def __init__(self, params: LmParams):
-        self.params = params
-        self.group = Softmax(params.class_rows, CLASSES)
-        self.sub = Softmax(params.subclass_rows, SUBCLASSES)
-
-    def pack(self) -> np.ndarray:
-        parts = (self.group.weight, self.group.bias, self.sub.weight, self.sub.bias)
-        return np.concatenate([p.ravel() for p in parts])
+    """Both softmaxes; `counts` has the features' classes, then their subclasses, then the leaves."""
 
-    def unpack(self, flat: np.ndarray) -> "Model":
-        at = 0
-        for table in (self.group, self.sub):
-            for name in ("weight", "bias"):
-                part = getattr(table, name)
-                setattr(table, name, flat[at : at + part.size].reshape(part.shape).copy())
-                at += part.size
-        return self
-
-    def batches(self, tokens: Tokens) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    def __init__(self, params: LmParams, counts: np.ndarray, weights: list[np.ndarray] | None = None):
+        self.params = params
+        a, b = params.rows * CLASSES, params.rows * SUBCLASSES
+        self.group = Softmax(counts[:a].reshape(-1, CLASSES), GROUP_KINDS, params.smoothing)
+        self.sub = Softmax(counts[a : a + b].reshape(-1, SUBCLASSES), SUB_KINDS, params.smoothing)
+        if weights is not None:
+            self.group.weight, self.sub.weight = weights
+        leaves = counts[a + b :].reshape(CLASSES, SUBCLASSES).astype(np.float64) + 0.5
+        self.group_prior = np.log(leaves.sum(axis=1) / leaves.sum()).astype(np.float32)
+        self.sub_prior = np.log(leaves / leaves.sum(axis=1, keepdims=True)).astype(np.float32)
+
+    def parts(self, tokens: Tokens) -> Iterator[tuple]:
+        """(slice, feature rows, classes, prior) of both softmaxes, some tokens at a time."""
         for at in range(0, len(tokens.word), self.params.minibatch):
             part = slice(at, min(at + self.params.minibatch, len(tokens.word)))
-            yield part, *tokens.features(part, self.params)
-
-    def learn(self, tokens: Tokens) -> None:
-        for part, group, sub in self.batches(tokens):
-            leaf = tokens.leaf[part]
-            self.group.update(group, leaf // SUBCLASSES, self.params.rate)
-            self.sub.update(sub, leaf % SUBCLASSES, self.params.rate)
+            first, second = tokens.features(part, self.params)
+            group, sub = np.divmod(tokens.leaf[part], SUBCLASSES)
+            yield part, (first, group, np.broadcast_to(self.group_prior, (len(group), CLASSES))), (second, sub, self.sub_prior[group])
+
+    def slopes(self, tokens: Tokens) -> np.ndarray:
+        """Gradients and curvatures of both softmaxes over some tokens, in one array."""
+        sums: list = [0, 0, 0, 0]
+        for _, group, sub in self.parts(tokens):
+            sums = [x + y for x, y in zip(sums, (*self.group.slope(*group), *self.sub.slope(*sub)))]
+        return np.concatenate([np.ravel(x) for x in sums])
+
+    def step(self, flat: np.ndarray) -> None:
+        at = 0
+        for table in (self.group, self.sub):
+            n = table.weight.size
+            table.step(flat[at : at + n], flat[at + n : at + n + n * n].reshape(n, n))
+            at += n + n * n
 
     def log10_class(self, tokens: Tokens) -> np.ndarray:
         """log10 of P(class) P(subclass) of each token."""
         out = np.zeros(len(tokens.word))
-        for part, group, sub in self.batches(tokens):
-            leaf = tokens.leaf[part]
-            out[part] = self.group.log10(group, leaf // SUBCLASSES) + self.sub.log10(sub, leaf % SUBCLASSES)
+        for part, group, sub in self.parts(tokens):
+            out[part] = self.group.log10(*group) + self.sub.log10(*sub)
         return out
 
 
-def _weighted_means(rows: DataFrame) -> DataFrame:
-    """Sum of tokens and mean weights per key, streaming: one array per key in memory."""
+def feature_counts(tokens: Tokens, params: LmParams, counts: np.ndarray) -> None:
+    """Add the classes that follow each feature, and the leaves, to `counts`."""
+    a, b = params.rows * CLASSES, params.rows * SUBCLASSES
+    group_counts, sub_counts, leaves = counts[:a], counts[a : a + b], counts[a + b :]
+    for at in range(0, len(tokens.word), 1 << 18):
+        part = slice(at, at + (1 << 18))
+        first, second = tokens.features(slice(at, min(at + (1 << 18), len(tokens.word))), params)
+        group, sub = np.divmod(tokens.leaf[part].astype(np.int64), SUBCLASSES)
+        for rows, width, own, table in ((first, CLASSES, group, group_counts), (second, SUBCLASSES, sub, sub_counts)):
+            for r in rows:
+                found, times = np.unique(r * np.int64(width) + own, return_counts=True)
+                table[found] += times.astype(table.dtype)
+        leaves += np.bincount(tokens.leaf[part], minlength=LEAVES).astype(leaves.dtype)
+
+
+def _sums(rows: DataFrame) -> DataFrame:
+    """Sums of the arrays of each key, streaming: one array a key in memory."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[tuple[int, int], tuple[int, np.ndarray]] = {}
+        total: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
-            for part, group, tokens, weights in zip(*(c.to_pylist() for c in batch.columns)):
-                n, have = total.get((part, group), (0, 0.0))
-                total[part, group] = n + tokens, have + tokens * np.frombuffer(weights, np.float32).astype(np.float64)
-        for (part, group), (n, weights) in sorted(total.items()):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([part]), pa.array([group]), pa.array([n]), pa.array([(weights / n).astype(np.float32).tobytes()], pa.binary())],
-                names=["part", "grp", "tokens", "weights"],
-            )
+            for part, group, values in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                found = np.frombuffer(values.as_buffer(), np.int64)
+                if (part, group) in total:
+                    total[part, group] += found
+                else:
+                    total[part, group] = found.copy()
+        for (part, group), values in sorted(total.items()):
+            yield _array_row(part, group, values)
 
-    return rows.mapInArrow(run, "part long, grp long, tokens long, weights binary")
+    return rows.mapInArrow(run, "part long, grp long, data binary")
 
 
-def train(rows: DataFrame, params: LmParams) -> Model:
-    """`rows` has training and text; one round is a pass over all training texts."""
-    model = Model(params)
-    context = rows.sparkSession.sparkContext
-    size = len(model.pack())
+def _array_row(part: int, group: int, values: np.ndarray) -> pa.RecordBatch:
+    columns = [pa.array([part]), pa.array([group]), pa.array([values.tobytes()], pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, names=["part", "grp", "data"])
+
+
+def count_features(rows: DataFrame, params: LmParams) -> np.ndarray:
+    """Feature counts over all training texts: summed in groups of partitions, then whole."""
+    size = params.rows * (CLASSES + SUBCLASSES) + LEAVES
     cuts = [size * k // params.weight_slices for k in range(params.weight_slices + 1)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(size, np.int64)
+        for batch in batches:
+            for _, texts in slices(batch, "text", params.slice_bytes):
+                feature_counts(Tokens.of(texts), params, counts)
+        if counts.any():
+            group = TaskContext.get().partitionId() % params.fan_in
+            for k in range(params.weight_slices):
+                yield _array_row(k, group, counts[cuts[k] : cuts[k + 1]])
+
+    counted = rows.where("training").select("text").mapInArrow(run, "part long, grp long, data binary")
+    near = _sums(counted.repartition("part", "grp")).withColumn("grp", F.lit(0).cast("long"))
+    counts = np.zeros(size, np.int64)
+    for row in _sums(near.repartition("part")).toLocalIterator():
+        counts[cuts[row["part"]] : cuts[row["part"] + 1]] = np.frombuffer(row["data"], np.int64)
+    # beyond 32 bits a feature's shares no longer change
+    return np.minimum(counts, np.iinfo(np.int32).max).astype(np.int32)
+
+
+def train(rows: DataFrame, params: LmParams) -> tuple:
+    """`rows` has training and text. Returns the broadcast counts and the weights."""
+    context = rows.sparkSession.sparkContext
+    shared = context.broadcast(count_features(rows, params))
+    model = Model(params, shared.value)
     for _ in range(params.rounds):
-        shared = context.broadcast(model.pack())
+        weights = [model.group.weight, model.sub.weight]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            own = Model(params).unpack(shared.value)
-            seen = 0
+            own = Model(params, shared.value, weights)
+            total = None
             for batch in batches:
-                for _, texts in slices(batch, "text", 4 << 20):
-                    tokens = Tokens.of(texts)
-                    own.learn(tokens)
-                    seen += len(tokens.word)
-            if seen:
-                flat = own.pack()
-                group = TaskContext.get().partitionId() % params.fan_in
-                for k in range(params.weight_slices):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([k]), pa.array([group]), pa.array([seen]), pa.array([flat[cuts[k] : cuts[k + 1]].tobytes()], pa.binary())],
-                        names=["part", "grp", "tokens", "weights"],
-                    )
-
-        trained = rows.where("training").select("text").mapInArrow(run, "part long, grp long, tokens long, weights binary")
-        means = _weighted_means(trained.repartition("part", "grp")).withColumn("grp", F.lit(0).cast("long"))
-        found = _weighted_means(means.repartition("part")).collect()
+                for _, texts in slices(batch, "text", params.slice_bytes):
+                    found = own.slopes(Tokens.of(texts))
+                    total = found if total is None else total + found
+            if total is not None:
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], names=["at", "value"])
+
+        slopes = rows.where("training").select("text").mapInArrow(run, "at long, value double")
+        found = slopes.groupBy("at").agg(F.sum("value").alias("value")).collect()  # some hundred rows
         if not found:
             break
-        found.sort(key=lambda r: r["part"])
-        model.unpack(np.concatenate([np.frombuffer(r["weights"], np.float32) for r in found]))
-    return model
-
-
-_EMITTED = "r int, uid long, kind int, a binary, b binary, c binary, d binary, e binary"
-_NAMES = ["r", "uid", "kind", "a", "b", "c", "d", "e"]
-HEADER, WORDS, SUMS, LEAF = 0, 1, 2, 3
-
-
-_WIDTHS = (np.uint8, np.uint16, np.uint32, np.uint64)
-
-
-def _short(*arrays: np.ndarray) -> np.ndarray:
-    """Counts of equal number in as few bytes as they need, after a byte each for the width."""
-    codes = [min(k for k, t in enumerate(_WIDTHS) if int(a.max(initial=0)) <= np.iinfo(t).max) for a in arrays]
-    parts = [a.astype(_WIDTHS[k]).view(np.uint8) for a, k in zip(arrays, codes)]
-    return np.concatenate([np.array(codes, np.uint8), *parts])
-
-
-def _long(blob: bytes, arrays: int = 1) -> list[np.ndarray]:
-    """Reverse of `_short`, as 64-bit integers."""
-    kinds = [np.dtype(_WIDTHS[k]) for k in blob[:arrays]]
-    n = (len(blob) - arrays) // sum(k.itemsize for k in kinds)
-    out, at = [], arrays
-    for kind in kinds:
-        out.append(np.frombuffer(blob, kind, n, at).astype(np.int64))
-        at += n * kind.itemsize
-    return out
+        flat = np.zeros(len(found))
+        for row in found:
+            flat[row["at"]] = row["value"]
+        model.step(flat)
+    return shared, [model.group.weight, model.sub.weight]
 
 
-def _row(r: int, uid: int, kind: int, *arrays: np.ndarray) -> tuple:
-    return (r, uid, kind, *(x.tobytes() for x in arrays), *(b"",) * (5 - len(arrays)))
+_RESULT = "held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+_LISTS = {
+    "words": "bigint", "known": "bigint", "leaf": "int", "training": "boolean", "context": "double",
+    "n_tokens": "bigint", "first_pair": "bigint", "pair": "int", "times": "int",
+}
 
 
-def _table(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows)) or [()] * 8
-    kinds = [pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 5]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=_NAMES)
-
-
-def _emit(params: LmParams, shared, ranges: int):
-    """Per slice of texts: its header, and its words for each range."""
+def _slices(rows: DataFrame, params: LmParams, shared, weights: list[np.ndarray]) -> DataFrame:
+    """One row a slice of texts: its words with their counts, and which text has which."""
+    kind = rows.schema["doc_id"].dataType
+    fields = T._parse_datatype_string("slice bigint, " + ", ".join(f"{n} array<{t}>" for n, t in _LISTS.items())).fields
+    schema = T.StructType([*fields, T.StructField("ids", T.ArrayType(kind))])
+    arrow = [to_arrow_type(f.dataType) for f in schema.fields]
+    id_type = to_arrow_type(kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model(params).unpack(shared.value)
-        uid = TaskContext.get().partitionId() << 32
+        model = Model(params, shared.value, weights)
+        number = TaskContext.get().partitionId() << 32
         for batch in batches:
             for part, texts in slices(batch, "text", params.slice_bytes):
                 tokens = Tokens.of(texts)
                 n = len(texts)
                 training = np.asarray(part.column(1).to_pylist(), bool)
                 context = np.bincount(tokens.text, model.log10_class(tokens), n)
-                per_leaf = tokens.text.astype(np.int64) * LEAVES + tokens.leaf
-                leaves, leaf_counts = np.unique(per_leaf, return_counts=True)
-                ids = part.column(0)
-                header = _row(
-                    uid % ranges,
-                    uid,
-                    HEADER,
-                    np.array([x if x is not None else 0 for x in ids.to_pylist()], np.int64),
-                    np.array([x is None for x in ids.to_pylist()], bool),
-                    training,
-                    context,
-                    _short(leaves, leaf_counts),
-                )
-                order = np.argsort(tokens.word, kind="stable")  # tokens stand by text already
-                word, text = tokens.word[order], tokens.text[order].astype(np.uint32)
-                pair = np.flatnonzero(np.append(True, (np.diff(word) != 0) | (np.diff(text) != 0)))
-                count = np.diff(np.append(pair, len(word))).astype(np.uint32)
-                pair_word, pair_text = word[pair], text[pair]
-                first = np.flatnonzero(np.append(True, np.diff(pair_word) != 0))
-                distinct = pair_word[first]
-                known = np.add.reduceat(np.where(training[pair_text], count, 0), first).astype(np.uint32)
-                leaf = tokens.leaf[order[pair[first]]]
-                del order, word, text, tokens, per_leaf
-                bounds = np.searchsorted(
-                    distinct, [np.uint64((k << 64) // ranges) for k in range(1, ranges)]
-                ).tolist()
-                ends = np.append(first, len(pair))
-                rows = [header]
-                for r, (a, b) in enumerate(zip([0, *bounds], [*bounds, len(distinct)])):
-                    if a < b:
-                        p, q = ends[a], ends[b]
-                        rows.append(
-                            _row(
-                                r,
-                                uid,
-                                WORDS,
-                                distinct[a:b],
-                                _short(known[a:b]),
-                                leaf[a:b],
-                                _short(np.diff(ends[a : b + 1])),
-                                _short(pair_text[p:q], count[p:q]),
-                            )
-                        )
-                for row in rows:  # small Arrow batches
-                    yield _table([row])
-                uid += 1
-
-    return run
-
-
-def _add_up(table: pa.Table) -> pa.Table:
-    """One range: counts of its words over all slices, then sums for each slice's texts."""
-    out, words = [], []
-    for row in table.to_pylist():
-        if row["kind"] == HEADER:
-            out.append(tuple(row[n] for n in _NAMES))
-        else:
-            words.append(
-                (
-                    row["uid"],
-                    np.frombuffer(row["a"], np.uint64),
-                    _long(row["b"])[0],
-                    np.frombuffer(row["c"], np.int16),
-                    row["d"],
-                    row["e"],
-                )
-            )
-    if words:
-        distinct, first, inverse = np.unique(
-            np.concatenate([w[1] for w in words]), return_index=True, return_inverse=True
-        )
-        counts = np.bincount(inverse, np.concatenate([w[2] for w in words]), len(distinct))
-        leaf = np.concatenate([w[3] for w in words])[first]
-        known = counts > 0
-        for k in np.flatnonzero(np.bincount(leaf[known], minlength=LEAVES)).tolist():
-            own = counts[known & (leaf == k)]
-            out.append(_row(k, int(own.sum()), LEAF, np.array([len(own)], np.int64)))
-        at = 0
-        for uid, own, _, _, per, pairs in words:
-            text, times = _long(pairs, 2)
-            c = np.repeat(counts[inverse[at : at + len(own)]], _long(per)[0])
-            at += len(own)
-            texts, place = np.unique(text, return_inverse=True)
-            logs = np.bincount(place, times * np.log10(c + 1), len(texts))
-            found = np.bincount(place, times * (c > 0), len(texts)).astype(np.int64)
-            out.append(_row(0, uid, SUMS, _short(texts), logs, _short(found)))
-    return pa.Table.from_batches([_table(out)])
-
-
-_RESULT = (
-    "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-)
+                order = np.argsort(tokens.word, kind="stable")
+                word = tokens.word[order]
+                first = np.flatnonzero(np.append(True, word[1:] != word[:-1])) if len(word) else order
+                distinct, leaf = word[first], tokens.leaf[order[first]]
+                place = np.empty(len(word), np.int64)
+                place[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(word))))
+                known = np.bincount(place, training[tokens.text], len(first)).astype(np.int64)
+                pairs, times = np.unique(tokens.text * np.int64(len(first)) + place, return_counts=True)
+                text, pair = np.divmod(pairs, len(first))
+                values = {
+                    "words": distinct.view(np.int64),
+                    "known": known,
+                    "leaf": leaf.astype(np.int32),
+                    "training": training,
+                    "context": context,
+                    "n_tokens": np.bincount(tokens.text, minlength=n),
+                    "first_pair": np.searchsorted(text, np.arange(n + 1)),
+                    "pair": pair.astype(np.int32),
+                    "times": times.astype(np.int32),
+                }
+                ids = part.column(0).cast(id_type)
+                columns = [pa.array([number], pa.int64())]
+                columns += [
+                    pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), pa.array(v).cast(t.value_type))
+                    for v, t in zip(values.values(), arrow[1:-1])
+                ]
+                columns.append(pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), ids))
+                number += 1
+                yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema.fields])
+
+    return rows.mapInArrow(run, schema)
 
 
 def score_documents(
@@ -396,65 +389,59 @@ def score_documents(
 ) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
     params = params or LmParams()
-    spark = docs.sparkSession
     rows = docs.select(
-        docs[id_col].cast("long").alias("doc_id"),
+        docs[id_col].alias("doc_id"),
         in_training(docs[id_col]).alias("training"),
         docs[text_col].cast("string").alias("text"),
     )
-    model = train(rows, params)
-    shared = spark.sparkContext.broadcast(model.pack())
-    ranges = max(params.min_ranges, rows.rdd.getNumPartitions())
-    sent = rows.mapInArrow(_emit(params, shared, ranges), _EMITTED)
-    summed = staged(sent.groupBy("r").applyInArrow(_add_up, _EMITTED), "lm")
-    totals = _leaf_totals(summed)
-    train_tokens = int(sum(n for n, _ in totals.values()))
-    vocabulary = int(sum(v for _, v in totals.values()))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    wanted = 1 << max(0, int(size) // params.bytes_per_row - 1).bit_length()
+    params = replace(params, rows=min(params.max_rows, max(params.min_rows, wanted)))
+    shared, weights = train(rows, params)
+    stored = staged(_slices(rows, params, shared, weights), "lm")
+    each = stored.select("slice", F.posexplode(F.arrays_zip("words", "known", "leaf")).alias("at", "w"))
+    each = each.select("slice", "at", "w.words", "w.known", "w.leaf")
+    # one row for each word of the corpus
+    totals = staged(each.groupBy("words").agg(F.sum("known").alias("total"), F.min("leaf").alias("leaf")), "lm-words")
+    per_leaf = totals.groupBy("leaf").agg(F.sum("total").alias("n"), F.count_if(F.col("total") > 0).alias("v"))
     leaf_size = np.ones(LEAVES)
-    for k, (n, v) in totals.items():
-        leaf_size[k] = n + v + 1
-    leaf_log = np.log10(leaf_size)
-    base_log = np.log10(train_tokens + vocabulary + 1)
-
-    def finish(table: pa.Table) -> pa.Table:
-        pieces = table.to_pylist()
-        head = next(p for p in pieces if p["kind"] == HEADER)
-        ids, missing = np.frombuffer(head["a"], np.int64), np.frombuffer(head["b"], bool)
-        training, context = np.frombuffer(head["c"], bool), np.frombuffer(head["d"])
-        leaves, times = _long(head["e"], 2)
-        n = len(ids)
-        tokens = np.bincount(leaves // LEAVES, times, n).astype(np.int64)
-        spread = np.bincount(leaves // LEAVES, times * leaf_log[leaves % LEAVES], n)
-        logs, known = np.zeros(n), np.zeros(n, np.int64)
-        for p in pieces:
-            if p["kind"] == SUMS:
-                at = _long(p["a"])[0]
-                logs[at] += np.frombuffer(p["b"])
-                known[at] += _long(p["c"])[0]
-        columns = [
-            pa.array(ids, mask=missing),
-            pa.array(~training),
-            pa.array(tokens),
-            pa.array(known),
-            pa.array(np.full(n, train_tokens)),
-            pa.array(logs - tokens * base_log),
-            pa.array(logs + context - spread),
-        ]
-        return pa.table(columns, names=[c.split()[0] for c in _RESULT.split(", ")])
-
-    return summed.where(F.col("kind").isin(HEADER, SUMS)).groupBy("uid").applyInArrow(finish, _RESULT)
-
-
-def _leaf_totals(summed: DataFrame) -> dict[int, tuple[int, int]]:
-    """Training tokens and distinct words of each leaf class; LEAVES rows at most."""
-    per = summed.where(F.col("kind") == LEAF).select("r", "uid", "a")
+    train_tokens = vocabulary = 0
+    for row in per_leaf.collect():  # LEAVES rows at most
+        leaf_size[row["leaf"]] = row["n"] + row["v"] + 1
+        train_tokens, vocabulary = train_tokens + row["n"], vocabulary + row["v"]
+    leaf_log, base_log = np.log10(leaf_size), np.log10(train_tokens + vocabulary + 1)
+    answers = (
+        each.select("slice", "at", "words")
+        .join(totals.select("words", "total"), "words")
+        .groupBy("slice")
+        .agg(F.sort_array(F.collect_list(F.struct("at", "total"))).alias("answer"))
+        .select("slice", F.col("answer.total").alias("totals"))
+    )
+    fields = [T.StructField("doc_id", rows.schema["doc_id"].dataType), *T._parse_datatype_string(_RESULT).fields]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            v = [int(np.frombuffer(x, np.int64)[0]) for x in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(v, pa.int64())], names=["leaf", "n", "v"]
-            )
-
-    rows = per.mapInArrow(run, "leaf int, n long, v long").groupBy("leaf").agg(F.sum("n").alias("n"), F.sum("v").alias("v"))
-    return {r["leaf"]: (r["n"], r["v"]) for r in rows.collect()}
+            for i in range(len(batch)):
+                def flat(name: str) -> np.ndarray:
+                    return batch.column(name)[i].values.to_numpy(zero_copy_only=False)
+
+                totals, leaf, pair, times = flat("totals"), flat("leaf"), flat("pair"), flat("times").astype(np.int64)
+                first, tokens = flat("first_pair"), flat("n_tokens")
+                n = len(tokens)
+                text = np.repeat(np.arange(n), np.diff(first))
+                logs = np.bincount(text, times * np.log10(totals + 1)[pair], n)
+                known = np.bincount(text, times * (totals > 0)[pair], n).astype(np.int64)
+                spread = np.bincount(text, times * leaf_log[leaf][pair], n)
+                numbers = [
+                    pa.array(~flat("training").astype(bool)),
+                    pa.array(tokens),
+                    pa.array(known),
+                    pa.array(np.full(n, train_tokens)),
+                    pa.array(logs - tokens * base_log),
+                    pa.array(logs + flat("context") - spread),
+                ]
+                yield pa.RecordBatch.from_arrays([batch.column("ids")[i].values, *numbers], names=[f.name for f in fields])
+
+    wanted_columns = ("leaf", "training", "context", "n_tokens", "first_pair", "pair", "times", "ids", "totals")
+    joined = stored.drop("words", "known").join(answers, "slice").select(*wanted_columns)
+    return joined.mapInArrow(finish, T.StructType(fields))

@@ -265,18 +265,80 @@ def test_scoring_counts_and_gain(corpus, result):
     assert sum(apart) > 0
 
 
+def small_model():
+    params = scoring.LmParams(rows=1 << 10)
+    tokens = scoring.Tokens.of(Texts.of(["a b a b the of the end", "the of a b"] * 50 + ["other words here now"] * 9))
+    counts = np.zeros(params.rows * (scoring.CLASSES + scoring.SUBCLASSES) + scoring.LEAVES, np.int64)
+    scoring.feature_counts(tokens, params, counts)
+    return scoring.Model(params, counts.astype(np.int32)), tokens
+
+
 def test_class_probabilities_sum_to_one():
-    params = scoring.LmParams()
-    model = scoring.Model(params)
-    tokens = scoring.Tokens.of(Texts.of(["a b a b the of the end", "the of a b"] * 50))
-    model.learn(tokens)
-    for _, group, sub in model.batches(tokens):
-        assert model.group.probabilities(group).sum(axis=1) == pytest.approx(1, abs=1e-5)
-        assert model.sub.probabilities(sub).sum(axis=1) == pytest.approx(1, abs=1e-5)
+    model, tokens = small_model()
+    for _, *both in model.parts(tokens):
+        for table, (rows, gold, prior) in zip((model.group, model.sub), both):
+            logs = [table.log10(rows, np.full(len(gold), k), prior) for k in range(prior.shape[1])]
+            assert (10.0 ** np.array(logs)).sum(axis=0) == pytest.approx(1, abs=1e-4)
     assert (tokens.leaf < scoring.LEAVES).all()
     assert (tokens.leaf[tokens.word == scoring.END] == scoring.LEAVES - scoring.SUBCLASSES).all()
 
 
+def test_gradient_and_curvature_by_differences():
+    model, tokens = small_model()
+    ((_, group, _),) = model.parts(tokens)
+    table = model.group
+    rows, gold, prior = group
+    gain, bend = table.slope(*group)
+
+    def likelihood():
+        """Of all tokens, each left out of its own counts, in double precision."""
+        total = 0.0
+        for t in range(len(gold)):
+            z = prior[t].astype(float)
+            for kind, r in enumerate(rows[:, t]):
+                have = table.counts[r].astype(float)
+                have[gold[t]] -= 1
+                share = table.share.astype(float)
+                value = np.log((have + 4.0 * share) / ((table.counts[r].sum() + 4.0) * share))
+                z = z + table.weight[kind, table.often[r]] * value
+            total += z[gold[t]] - np.log(np.exp(z - z.max()).sum()) - z.max()
+        return total
+
+    step = 1e-4
+    for at in np.flatnonzero(gain)[:6].tolist():
+        found = []
+        for side in (step, -step):
+            table.weight.flat[at] += side
+            found.append(likelihood())
+            table.weight.flat[at] -= side
+        assert gain[at] == pytest.approx((found[0] - found[1]) / (2 * step), rel=2e-3, abs=2e-2)
+        assert bend[at, at] == pytest.approx(-(found[0] + found[1] - 2 * likelihood()) / step**2, rel=5e-2, abs=0.5)
+
+
+@pytest.fixture(scope="module")
+def scored(spark, data):
+    docs = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text")
+    return {n: {r["doc_id"]: r for r in scoring.score_documents(docs.repartition(n)).collect()} for n in (1, 8, 64)}
+
+
+@pytest.mark.parametrize("parts", [1, 8, 64])
+def test_held_out_texts_score_above_their_base(scored, parts):
+    rows = [r for r in scored[parts].values() if r["held_out"]]
+    tokens = sum(r["n_tokens"] for r in rows)
+    gain = sum(r["score"] - r["base_score"] for r in rows) / tokens
+    assert len(rows) > 10 and gain > 0.02  # log10 a token
+    for i, r in scored[parts].items():
+        assert r["score"] == pytest.approx(scored[1][i]["score"], rel=1e-6)
+
+
+def test_scoring_keeps_the_type_of_ids(spark):
+    rows = [("x", "a b c", 1), (None, None, 1), ("x", "a b c", 1), ("held" , "a z", 1)]
+    frame = spark.createDataFrame(rows, "doc_id string, text string, words int")
+    got = scoring.score_documents(frame).collect()
+    assert sorted(str(r["doc_id"]) for r in got) == ["None", "held", "x", "x"]
+    assert {r["doc_id"]: r["n_tokens"] for r in got} == {"x": 4, None: 1, "held": 3}
+
+
 def test_packing_round_trip(spark, data, corpus):
     from public_tokenizers import path
     from tokenizers import Tokenizer
