@@ -9,21 +9,21 @@ word per leaf sum to one. Classes depend on a word's spelling alone.
 A feature's value for a class is the log of how much more often the class follows it than
 it occurs at all, from counts over all training texts, smoothed towards no difference. The
 features' weights, one for each kind of feature and how often the feature was seen, maximise
-the likelihood. Each round is one synchronous update: every partition sums gradient and
-curvature over all its training tokens, each token left out of its own counts, and the sum
-of all partitions makes one Newton step. Counts, gradients and curvature are plain sums, so
+the likelihood. Each round (one by default) is one synchronous update: every partition sums
+gradient and curvature over all its training tokens, each token left out of its own counts,
+and the sum of all partitions makes one Newton step. Counts, gradients and curvature are plain sums, so
 the model is the same however the input is dealt. The tables grow with the input's bytes up
 to `max_rows` rows, which bounds what is broadcast.
 
-Word counts: a slice of texts is stored with its distinct words (64-bit hashes) and their
-counts in training texts; these are summed over all slices, and each slice gets the sums of
-its words back. Which text holds which word never leaves the slice, and a frequent word is
-one row a slice.
+Word counts: a slice of texts sends each hash range its distinct words (64-bit hashes) with
+their counts in training texts; the range sums them over all slices and sends each slice the
+sums of its words back. Which text holds which word stays with the slice, and a frequent word
+is one entry a slice. Ranges are as many as slices, so that one's words are about a slice's.
 
 Defined results: a NULL or empty text is its end token alone; a NULL id is a training
 document; ids keep their type; a repeated row counts, and is returned, as often as it occurs;
 other columns are ignored; an empty table gives an empty table. Different words with one
-64-bit hash would count as one. A text is held whole by a task, with some thirty times its
+64-bit hash (56 bits and the leaf) would count as one. A text is held whole by a task, with some thirty times its
 bytes.
 """
 
@@ -45,7 +45,7 @@ from lawgrain.session import staged
 
 CLASSES, SUBCLASSES = 32, 8  # the last class holds the end token alone
 LEAVES = CLASSES * SUBCLASSES
-END = np.uint64(0x5851F42D4C957F2D)
+END = np.uint64(0x5851F42D4C957F00 | (LEAVES - SUBCLASSES))
 # Kinds of features of each softmax; how often a feature must be seen for a weight of its own.
 GROUP_KINDS, SUB_KINDS = 4, 2
 SEEN = np.array([1, 8, 64])
@@ -57,11 +57,12 @@ class LmParams:
     max_rows: int = 1 << 17
     bytes_per_row: int = 256  # rows of each table by the texts' bytes
     smoothing: float = 4.0
-    minibatch: int = 1 << 14
-    rounds: int = 2
+    minibatch: int = 1 << 12
+    rounds: int = 1
     weight_slices: int = 32
     fan_in: int = 16
-    slice_bytes: int = 4 << 20
+    slice_bytes: int = 8 << 20
+    min_ranges: int = 32
     rows: int = 0  # set from the input
 
 
@@ -73,7 +74,7 @@ def in_training(doc_id: Column) -> Column:
 class Tokens:
     """Tokens of some texts, each text's end token included."""
 
-    word: np.ndarray  # 64-bit hashes
+    word: np.ndarray  # 64-bit hashes, the leaf in their last byte
     text: np.ndarray
     leaf: np.ndarray
 
@@ -105,6 +106,8 @@ class Tokens:
             group = (tail * np.uint32(2654435761) >> np.uint32(16)) % np.uint32(CLASSES - 1)
             sub = (head * np.uint32(2654435761) >> np.uint32(16)) % np.uint32(SUBCLASSES)
             leaf[solid] = group * SUBCLASSES + sub
+        # the last byte of a word's hash is its leaf
+        word = word & ~np.uint64(255) | leaf.astype(np.uint64)
         return Tokens(word, np.repeat(np.arange(n, dtype=np.int32), per + 1), leaf)
 
     def features(self, at: slice, params: LmParams) -> tuple[np.ndarray, np.ndarray]:
@@ -144,43 +147,46 @@ class Softmax:
         self.often = np.searchsorted(SEEN, seen, "right").astype(np.int8)  # 0: never
         self.weight = np.full((kinds, len(SEEN) + 1), 1.0 / kinds, np.float64)
 
-    def _values(self, rows: np.ndarray) -> np.ndarray:
-        return self.value[rows]  # (kind, token, class)
-
-    def _log_odds(self, rows: np.ndarray, values: np.ndarray, prior: np.ndarray) -> np.ndarray:
-        weights = self.weight.astype(np.float32)
+    def _odds(self, rows: np.ndarray, values: np.ndarray, prior: np.ndarray) -> np.ndarray:
+        """Log odds of the classes, the greatest of a token being zero."""
+        kinds = np.arange(len(rows))[:, None]
+        weights = self.weight.astype(np.float32)[kinds, self.often[rows]]
         z = prior.copy()
-        for kind, (r, v) in enumerate(zip(rows, values)):
-            z += weights[kind][self.often[r]][:, None] * v
+        for w, v in zip(weights, values):
+            z += w[:, None] * v
         z -= z.max(axis=1, keepdims=True)
         return z
 
     def log10(self, rows: np.ndarray, gold: np.ndarray, prior: np.ndarray) -> np.ndarray:
-        z = self._log_odds(rows, self._values(rows), prior)
-        at = z[np.arange(len(gold)), gold].astype(np.float64)
-        return (at - np.log(np.exp(z).sum(axis=1, dtype=np.float64))) / np.log(10)
+        z = self._odds(rows, (self.value.take(r, axis=0) for r in rows), prior)
+        at = z.ravel().take(np.arange(len(gold)) * z.shape[1] + gold).astype(np.float64)
+        return (at - np.log(np.exp(z, out=z).sum(axis=1, dtype=np.float64))) / np.log(10)
 
     def slope(self, rows: np.ndarray, gold: np.ndarray, prior: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Gradient and curvature of the log-likelihood in the weights, tokens left out of their counts."""
-        values, n = self._values(rows), np.arange(len(gold))
-        for kind, r in enumerate(rows):
-            have = self.counts[r, gold].astype(np.float32) + self.smoothing * self.share[gold]
-            values[kind, n, gold] += np.log(np.maximum(have - 1, 1e-6) / have)
-        z = self._log_odds(rows, values, prior)
-        p = np.exp(z, out=z)
+        values, classes = [self.value.take(r, axis=0) for r in rows], prior.shape[1]
+        own = np.arange(len(gold)) * classes + gold
+        floor, gold_values = self.smoothing * self.share[gold], []
+        for r, v in zip(rows, values):
+            have = self.counts.ravel().take(r * np.int64(classes) + gold) + floor
+            gold_values.append(v.ravel().take(own) + np.log(np.maximum(have - 1, 1e-6) / have).astype(np.float32))
+            v.ravel()[own] = gold_values[-1]
+        p = self._odds(rows, values, prior)
+        np.exp(p, out=p)
         p /= p.sum(axis=1, keepdims=True)
-        mean = np.einsum("nc,knc->kn", p, values)
-        places = np.arange(len(rows))[:, None] * self.weight.shape[1] + self.often[rows]
-        size = self.weight.size
-        gain = np.bincount(places.ravel(), (values[:, n, gold] - mean).ravel(), size)
-        bend = np.zeros(size * size)
-        for a in range(len(rows)):
+        mean = [np.einsum("nc,nc->n", p, v) for v in values]
+        width, size = self.weight.shape[1], self.weight.size
+        places = [kind * width + self.often[r].astype(np.int64) for kind, r in enumerate(rows)]
+        gain, bend = np.zeros(size), np.zeros(size * size)
+        for a, (v, m) in enumerate(zip(values, mean)):
+            gain += np.bincount(places[a], gold_values[a] - m, size)
+            part = p * v
             for b in range(a, len(rows)):
-                both = np.einsum("nc,nc,nc->n", p, values[a], values[b]) - mean[a] * mean[b]
-                part = np.bincount(places[a] * size + places[b], both, size * size)
-                bend += part
+                both = np.einsum("nc,nc->n", part, values[b]) - m * mean[b]
+                found = np.bincount(places[a] * size + places[b], both, size * size)
+                bend += found
                 if a != b:
-                    bend += part.reshape(size, size).T.ravel()
+                    bend += found.reshape(size, size).T.ravel()
         return gain, bend.reshape(size, size)
 
     def step(self, gain: np.ndarray, bend: np.ndarray) -> None:
@@ -258,11 +264,11 @@ def _sums(rows: DataFrame) -> DataFrame:
         total: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
             for part, group, values in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                found = np.frombuffer(values.as_buffer(), np.int64)
+                found = _long(values.as_py())
                 if (part, group) in total:
                     total[part, group] += found
                 else:
-                    total[part, group] = found.copy()
+                    total[part, group] = found
         for (part, group), values in sorted(total.items()):
             yield _array_row(part, group, values)
 
@@ -270,7 +276,7 @@ def _sums(rows: DataFrame) -> DataFrame:
 
 
 def _array_row(part: int, group: int, values: np.ndarray) -> pa.RecordBatch:
-    columns = [pa.array([part]), pa.array([group]), pa.array([values.tobytes()], pa.binary())]
+    columns = [pa.array([part]), pa.array([group]), pa.array([_short(values)], pa.binary())]
     return pa.RecordBatch.from_arrays(columns, names=["part", "grp", "data"])
 
 
@@ -293,7 +299,7 @@ def count_features(rows: DataFrame, params: LmParams) -> np.ndarray:
     near = _sums(counted.repartition("part", "grp")).withColumn("grp", F.lit(0).cast("long"))
     counts = np.zeros(size, np.int64)
     for row in _sums(near.repartition("part")).toLocalIterator():
-        counts[cuts[row["part"]] : cuts[row["part"] + 1]] = np.frombuffer(row["data"], np.int64)
+        counts[cuts[row["part"]] : cuts[row["part"] + 1]] = _long(row["data"])
     # beyond 32 bits a feature's shares no longer change
     return np.minimum(counts, np.iinfo(np.int32).max).astype(np.int32)
 
@@ -327,20 +333,36 @@ def train(rows: DataFrame, params: LmParams) -> tuple:
     return shared, [model.group.weight, model.sub.weight]
 
 
-_RESULT = "held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-_LISTS = {
-    "words": "bigint", "known": "bigint", "leaf": "int", "training": "boolean", "context": "double",
-    "n_tokens": "bigint", "first_pair": "bigint", "pair": "int", "times": "int",
-}
+_WIDTHS = (np.uint8, np.uint16, np.uint32, np.uint64)
+
+
+def _short(values: np.ndarray) -> bytes:
+    """Whole numbers in as few bytes as they need, behind a byte for the width."""
+    code = min(k for k, t in enumerate(_WIDTHS) if int(values.max(initial=0)) <= np.iinfo(t).max)
+    return bytes([code]) + values.astype(_WIDTHS[code]).tobytes()
+
+
+def _long(blob: bytes) -> np.ndarray:
+    """Reverse of `_short`, as 64-bit integers."""
+    return np.frombuffer(blob, _WIDTHS[blob[0]], offset=1).astype(np.int64)
 
 
-def _slices(rows: DataFrame, params: LmParams, shared, weights: list[np.ndarray]) -> DataFrame:
-    """One row a slice of texts: its words with their counts, and which text has which."""
+# A slice's own row (r NULL), and its words of each hash range with their training counts.
+_BLOBS = ("words", "known", "training", "context", "n_tokens", "n_pairs", "leaf", "low", "high", "times")
+
+
+def _slices(rows: DataFrame, params: LmParams, shared, weights: list[np.ndarray], ranges: int) -> DataFrame:
+    """Per slice of texts: which text has which of its words, and its words by hash range."""
     kind = rows.schema["doc_id"].dataType
-    fields = T._parse_datatype_string("slice bigint, " + ", ".join(f"{n} array<{t}>" for n, t in _LISTS.items())).fields
+    fields = T._parse_datatype_string("slice bigint, r int, " + ", ".join(f"{n} binary" for n in _BLOBS)).fields
     schema = T.StructType([*fields, T.StructField("ids", T.ArrayType(kind))])
-    arrow = [to_arrow_type(f.dataType) for f in schema.fields]
-    id_type = to_arrow_type(kind)
+    names, id_type = [f.name for f in schema.fields], to_arrow_type(kind)
+
+    def table(number: int, r: list, ids: pa.Array, **blobs: list[bytes]) -> pa.RecordBatch:
+        n = len(r)
+        columns = [pa.array([number] * n, pa.int64()), pa.array(r, pa.int32())]
+        columns += [pa.array(blobs.get(name, [None] * n), pa.binary()) for name in _BLOBS]
+        return pa.RecordBatch.from_arrays([*columns, ids], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(params, shared.value, weights)
@@ -353,37 +375,82 @@ def _slices(rows: DataFrame, params: LmParams, shared, weights: list[np.ndarray]
                 context = np.bincount(tokens.text, model.log10_class(tokens), n)
                 order = np.argsort(tokens.word, kind="stable")
                 word = tokens.word[order]
-                first = np.flatnonzero(np.append(True, word[1:] != word[:-1])) if len(word) else order
-                distinct, leaf = word[first], tokens.leaf[order[first]]
+                first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+                words = word[first]
                 place = np.empty(len(word), np.int64)
                 place[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(word))))
                 known = np.bincount(place, training[tokens.text], len(first)).astype(np.int64)
                 pairs, times = np.unique(tokens.text * np.int64(len(first)) + place, return_counts=True)
                 text, pair = np.divmod(pairs, len(first))
-                values = {
-                    "words": distinct.view(np.int64),
-                    "known": known,
-                    "leaf": leaf.astype(np.int32),
-                    "training": training,
-                    "context": context,
-                    "n_tokens": np.bincount(tokens.text, minlength=n),
-                    "first_pair": np.searchsorted(text, np.arange(n + 1)),
-                    "pair": pair.astype(np.int32),
-                    "times": times.astype(np.int32),
-                }
+                # ascending within a text, so the high bytes come in runs
                 ids = part.column(0).cast(id_type)
-                columns = [pa.array([number], pa.int64())]
-                columns += [
-                    pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), pa.array(v).cast(t.value_type))
-                    for v, t in zip(values.values(), arrow[1:-1])
-                ]
-                columns.append(pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), ids))
+                yield table(
+                    number,
+                    [None],
+                    pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), ids),
+                    training=[training.tobytes()],
+                    context=[context.tobytes()],
+                    n_tokens=[_short(np.bincount(tokens.text, minlength=n))],
+                    n_pairs=[_short(np.bincount(text, minlength=n))],
+                    leaf=[(words & np.uint64(LEAVES - 1)).astype(np.uint8).tobytes()],
+                    low=[(pair & 0xFFFF).astype(np.uint16).tobytes()],
+                    high=[_short(pair >> 16)],
+                    times=[_short(times)],
+                )
+                # ranges that have words; never more rows than words
+                of = ((words >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
+                at = np.flatnonzero(np.diff(of, prepend=-1))
+                parts = [slice(a, b) for a, b in zip(at.tolist(), [*at[1:].tolist(), len(of)])]
+                yield table(
+                    number,
+                    of[at].tolist(),
+                    pa.nulls(len(parts), pa.list_(id_type)),
+                    words=[words[p].tobytes() for p in parts],
+                    known=[_short(known[p]) for p in parts],
+                )
                 number += 1
-                yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema.fields])
 
     return rows.mapInArrow(run, schema)
 
 
+def _add_up(table: pa.Table) -> pa.Table:
+    """One hash range: the sums of its words for each slice, and each leaf's sums (slice -1)."""
+    r = table.column("r")[0].as_py()
+    numbers = table.column("slice").to_pylist()
+    words = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("words")]
+    known = [_long(x) for x in table.column("known").to_pylist()]
+    distinct, inverse = np.unique(np.concatenate(words), return_inverse=True)
+    totals = np.bincount(inverse, np.concatenate(known), len(distinct)).astype(np.int64)
+    leaf = (distinct & np.uint64(LEAVES - 1)).astype(np.int64)
+    sums = np.concatenate([np.bincount(leaf, x, LEAVES) for x in (totals, totals > 0)]).astype(np.int64)
+    out, at = [sums.tobytes()], 0
+    for own in words:
+        out.append(_short(totals[inverse[at : at + len(own)]]))
+        at += len(own)
+    columns = [pa.array([-1, *numbers], pa.int64()), pa.array([r] * len(out), pa.int32()), pa.array(out, pa.binary())]
+    return pa.table(columns, names=["slice", "r", "totals"])
+
+
+def _leaf_sums(summed: DataFrame) -> np.ndarray:
+    """Training tokens and known words of each leaf: (2, LEAVES)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(2 * LEAVES, np.int64)
+        for batch in batches:
+            for blob in batch.column(0):
+                total += np.frombuffer(blob.as_buffer(), np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], names=["at", "n"])
+
+    per_task = summed.where("slice = -1").select("totals").mapInArrow(run, "at long, n long")
+    out = np.zeros(2 * LEAVES, np.int64)
+    for row in per_task.groupBy("at").agg(F.sum("n").alias("n")).collect():  # 2 * LEAVES rows
+        out[row["at"]] = row["n"]
+    return out.reshape(2, LEAVES)
+
+
+_RESULT = "held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+
+
 def score_documents(
     docs: DataFrame, params: LmParams | None = None, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -398,50 +465,39 @@ def score_documents(
     wanted = 1 << max(0, int(size) // params.bytes_per_row - 1).bit_length()
     params = replace(params, rows=min(params.max_rows, max(params.min_rows, wanted)))
     shared, weights = train(rows, params)
-    stored = staged(_slices(rows, params, shared, weights), "lm")
-    each = stored.select("slice", F.posexplode(F.arrays_zip("words", "known", "leaf")).alias("at", "w"))
-    each = each.select("slice", "at", "w.words", "w.known", "w.leaf")
-    # one row for each word of the corpus
-    totals = staged(each.groupBy("words").agg(F.sum("known").alias("total"), F.min("leaf").alias("leaf")), "lm-words")
-    per_leaf = totals.groupBy("leaf").agg(F.sum("total").alias("n"), F.count_if(F.col("total") > 0).alias("v"))
-    leaf_size = np.ones(LEAVES)
-    train_tokens = vocabulary = 0
-    for row in per_leaf.collect():  # LEAVES rows at most
-        leaf_size[row["leaf"]] = row["n"] + row["v"] + 1
-        train_tokens, vocabulary = train_tokens + row["n"], vocabulary + row["v"]
-    leaf_log, base_log = np.log10(leaf_size), np.log10(train_tokens + vocabulary + 1)
-    answers = (
-        each.select("slice", "at", "words")
-        .join(totals.select("words", "total"), "words")
-        .groupBy("slice")
-        .agg(F.sort_array(F.collect_list(F.struct("at", "total"))).alias("answer"))
-        .select("slice", F.col("answer.total").alias("totals"))
-    )
+    ranges = max(params.min_ranges, int(size) // params.slice_bytes)
+    stored = staged(_slices(rows, params, shared, weights, ranges), "lm")
+    sent = stored.where("r IS NOT NULL").select("r", "slice", "words", "known")
+    summed = staged(sent.groupBy("r").applyInArrow(_add_up, "slice long, r int, totals binary"), "lm-words")
+    leaf_tokens, leaf_words = _leaf_sums(summed)
+    train_tokens, vocabulary = int(leaf_tokens.sum()), int(leaf_words.sum())
+    leaf_log, base_log = np.log10(leaf_tokens + leaf_words + 1.0), np.log10(train_tokens + vocabulary + 1)
+    answers = summed.where("slice >= 0").groupBy("slice").agg(F.sort_array(F.collect_list(F.struct("r", "totals"))).alias("answer"))
     fields = [T.StructField("doc_id", rows.schema["doc_id"].dataType), *T._parse_datatype_string(_RESULT).fields]
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(len(batch)):
-                def flat(name: str) -> np.ndarray:
-                    return batch.column(name)[i].values.to_numpy(zero_copy_only=False)
-
-                totals, leaf, pair, times = flat("totals"), flat("leaf"), flat("pair"), flat("times").astype(np.int64)
-                first, tokens = flat("first_pair"), flat("n_tokens")
+                have = {n: batch.column(n)[i].as_py() for n in ("training", "context", "n_tokens", "n_pairs", "leaf", "low", "high", "times", "totals")}
+                totals = np.concatenate([_long(x) for x in have["totals"]])
+                leaf = np.frombuffer(have["leaf"], np.uint8)
+                pair = _long(have["high"]) << 16 | np.frombuffer(have["low"], np.uint16)
+                tokens, times = _long(have["n_tokens"]), _long(have["times"])
                 n = len(tokens)
-                text = np.repeat(np.arange(n), np.diff(first))
+                text = np.repeat(np.arange(n), _long(have["n_pairs"]))
                 logs = np.bincount(text, times * np.log10(totals + 1)[pair], n)
                 known = np.bincount(text, times * (totals > 0)[pair], n).astype(np.int64)
                 spread = np.bincount(text, times * leaf_log[leaf][pair], n)
                 numbers = [
-                    pa.array(~flat("training").astype(bool)),
+                    pa.array(~np.frombuffer(have["training"], bool)),
                     pa.array(tokens),
                     pa.array(known),
                     pa.array(np.full(n, train_tokens)),
                     pa.array(logs - tokens * base_log),
-                    pa.array(logs + flat("context") - spread),
+                    pa.array(logs + np.frombuffer(have["context"]) - spread),
                 ]
                 yield pa.RecordBatch.from_arrays([batch.column("ids")[i].values, *numbers], names=[f.name for f in fields])
 
-    wanted_columns = ("leaf", "training", "context", "n_tokens", "first_pair", "pair", "times", "ids", "totals")
-    joined = stored.drop("words", "known").join(answers, "slice").select(*wanted_columns)
+    own = stored.where("r IS NULL").drop("r", "words", "known")
+    joined = own.join(answers.select("slice", F.col("answer.totals").alias("totals")), "slice").drop("slice")
     return joined.mapInArrow(finish, T.StructType(fields))
