@@ -1,7 +1,10 @@
 """Licence scans: a trained paragraph classifier whose predictions templates confirm.
 
 A paragraph is a line, or else a line joined with the next ones while they do not end a
-sentence (joined lines count where none of them is a licence by itself). Its word
+sentence (joined lines count where none of them is a licence by itself), or else a window
+inside a line: lines longer than a window are tiled twice, half a window apart, so a notice
+of up to half a window stands whole in one, whatever runs on around it. A window counts only
+where a template confirms it, and is cut to what it shares with that. Its word
 bigrams and trigrams are hashed into a sparse logistic regression over licence families
 and "unknown", trained on altered copies of the templates against paragraphs of a
 bounded sample of documents and sentences that only speak of licences. A temperature,
@@ -10,7 +13,8 @@ A predicted family is confirmed if the paragraph and one of its templates share
 least `min_similarity` of the five-word shingles of the shorter.
 
 Defined results: NULL or empty texts have no paragraphs; a repeated row gives repeated
-results; an empty table gives no rows. Offsets count code points, ends excluded.
+results; of windows that overlap the longest match counts, then the more probable, then the
+first; other columns are ignored; an empty table gives no rows. Offsets count code points, ends excluded.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lawgrain.llm.samples import least_hashes
+from lawgrain.llm.samples import least_distinct
 from lawgrain.llm.texts import Texts, Words, mix, slices
 
 # Notices and opening paragraphs of common licences (fixed texts).
@@ -107,7 +111,10 @@ UNLICENSED = (
 class LicenceParams:
     buckets: int = 1 << 18
     sample_docs: int = 300  # documents whose paragraphs serve as unknown examples
-    sample_bytes: int = 20_000  # of each, at most
+    sample_lines: int = 3000  # of their lines and pieces of lines
+    piece_words: int = 24  # longer lines are cut into pieces of so many words,
+    piece_chars: int = 400  # each of so many characters at most
+    windows: tuple[int, ...] = (12, 24)  # words looked at together inside longer lines
     copies: int = 40  # altered copies of each template
     epochs: int = 250
     min_probability: float = 0.5
@@ -157,6 +164,19 @@ def _features(hashes: np.ndarray, owner: np.ndarray, buckets: int) -> tuple[np.n
     return bucket, who, 20.0 / total[who] if len(who) else np.zeros(0)
 
 
+def windows_of(lines: np.ndarray, width: int, shift: int) -> tuple[np.ndarray, np.ndarray]:
+    """Words of lines longer than `width`, and a number that changes with each window there.
+
+    A line is tiled from its first word, the first window shorter by `shift`.
+    """
+    sizes = np.bincount(lines) if len(lines) else np.zeros(0, np.int64)
+    first = np.concatenate(([0], np.cumsum(sizes)))[:-1]
+    words = np.flatnonzero(sizes[lines] > width) if len(lines) else np.zeros(0, np.int64)
+    tile = (words - first[lines[words]] + shift) // width
+    new = (np.diff(lines[words]) != 0) | (np.diff(tile) != 0)
+    return words, np.concatenate(([0], np.cumsum(new))) if len(words) else words
+
+
 class Template:
     def __init__(self, text: str, shingle: int):
         words = Texts.of([text]).tokens()
@@ -204,6 +224,19 @@ class Model:
         score = np.exp(score - score.max(axis=1, keepdims=True))
         return score / score.sum(axis=1, keepdims=True)
 
+    def matched(self, family: int, hashes: np.ndarray, shingle: int) -> tuple[int, int] | None:
+        """First word and end of what a word sequence shares with a template of a family."""
+        best = None
+        for k, template in self.templates:
+            # a template shorter than a shingle is one whole
+            for n in range(1, shingle + 1) if k == family and len(template) == 1 else (shingle,):
+                if k == family and len(hashes) >= n:
+                    found, _ = grams(hashes, np.zeros(len(hashes), np.int64), n)
+                    at = np.flatnonzero(np.isin(found, np.array(list(template), np.uint64)))
+                    if len(at) and (best is None or at[-1] + n - at[0] > best[1] - best[0]):
+                        best = int(at[0]), int(at[-1]) + n
+        return best
+
     def similarity(self, family: int, hashes: np.ndarray, shingle: int) -> float:
         """Greatest share of the shorter side's shingles that both have."""
         best = 0.0
@@ -296,11 +329,20 @@ def train(unknown: list[str], params: LicenceParams) -> Model:
 
 
 def unknown_paragraphs(docs: DataFrame, params: LicenceParams, text_col: str) -> list[str]:
-    """Lines of the documents whose text hashes lowest, a bounded number of bytes each."""
+    """Lines, long ones in pieces, from anywhere in some documents.
+
+    The documents are the `sample_docs` distinct texts that hash lowest, and the lines the
+    `sample_lines` distinct ones that hash lowest in their whole texts.
+    """
     texts = docs.select(docs[text_col].cast("string").alias("text")).where("text IS NOT NULL")
-    sample = least_hashes(texts, F.col("text"), params.sample_docs)
-    rows = sample.select(F.substring("text", 1, params.sample_bytes // 4).alias("text")).collect()
-    return [line for r in rows for line in r["text"].split("\n") if line.strip()]
+    sample = least_distinct(texts, F.col("text"), params.sample_docs)
+    split_lines = sample.select(F.explode(F.split("text", "\n")).alias("line"))
+    words = F.split("line", " ").alias("words")
+    size = F.lit(params.piece_words)
+    starts = F.sequence(F.lit(1), F.size("words"), size)
+    pieces = F.transform(starts, lambda at: F.substring(F.array_join(F.slice("words", at, size), " "), 1, params.piece_chars))
+    lines = split_lines.select(words).select(F.explode(pieces).alias("line")).where(F.trim("line") != "")
+    return [r["line"] for r in least_distinct(lines, F.col("line"), params.sample_lines).collect()]
 
 
 _SCHEMA = (
@@ -332,6 +374,24 @@ def scan_licences(
                         if not taken[a:b].any():
                             taken[a:b] = True
                             hits.append((a, b, family, p))
+                inside = []
+                for width in params.windows:
+                    for shift in (0, width // 2):
+                        some, owner = windows_of(lines, width, shift)
+                        for a, b, family, p in model.predict(hashes[some], owner, params.min_probability):
+                            a, b = int(some[a]), int(some[b - 1]) + 1
+                            if taken[a:b].any():
+                                continue
+                            part_of = model.matched(family, hashes[a:b], params.shingle)
+                            if part_of is not None:
+                                a, b = a + part_of[0], a + part_of[1]
+                                like = model.similarity(family, hashes[a:b], params.shingle)
+                                if like >= params.min_similarity:
+                                    inside.append((b - a, p, -a, a, b, family))
+                for _, p, _, a, b, family in sorted(inside, reverse=True):  # longest first
+                    if not taken[a:b].any():
+                        taken[a:b] = True
+                        hits.append((a, b, family, p))
                 if not hits:
                     continue
                 points = np.concatenate(([0], np.cumsum((texts.data & 0xC0) != 0x80)))

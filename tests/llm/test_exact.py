@@ -447,6 +447,64 @@ def test_licence_lines(spark, data, corpus):
     assert not len(found) or model.probabilities(score)[0].argmax() == len(licences.TEMPLATES)
 
 
+NOTICES = {
+    "Released under the MIT License.": "MIT",
+    "Licensed under CC BY-NC 4.0.": "CC-BY-NC",
+    "Licensed under the Apache License, Version 2.0.": "Apache-2.0",
+    "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0",
+}
+
+
+def test_notices_inside_longer_lines(spark, data, corpus):
+    """Running text of 0 to 200 words on both sides, in one line."""
+    running = [w for _, t in corpus[:40] for w in (t or "").split() if "icense" not in w][:4000]
+    rows, want = [], set()
+    for words in (0, 3, 10, 40, 60, 200):
+        for k, (notice, family) in enumerate(NOTICES.items()):
+            for shift in range(5):
+                at = 37 * k + 11 * shift
+                number = len(rows)
+                rows.append((number, " ".join([*running[at : at + words + shift], notice, *running[at + 500 : at + 500 + words]])))
+                want.add((number, family))
+    plain = len(rows)
+    rows += [(plain + i, " ".join(running[i * 300 : i * 300 + 300])) for i in range(10)]
+    found = licences.scan_licences(spark.createDataFrame(rows, "doc_id long, text string")).where("confirmed").collect()
+    got = {(r["doc_id"], r["family"]) for r in found}
+    assert want <= got  # recall 1
+    assert got == want  # and nothing else, also of another family
+    text = dict(rows)
+    notices = {v: k for k, v in NOTICES.items()}
+    for r in found:
+        if len(text[r["doc_id"]].split()) > 60:
+            part = text[r["doc_id"]][r["start"] : r["end"]]
+            notice = notices[r["family"]].rstrip(".")
+            # cut to the notice; a longer template may go on with the next word too
+            assert notice in part and len(part.split()) <= len(notice.split()) + 1
+
+
+def test_windows_tile_long_lines():
+    lines = np.repeat([0, 1, 2], [3, 30, 13])
+    for shift in (0, 6):
+        words, owner = licences.windows_of(lines, 12, shift)
+        assert words.tolist() == list(range(3, 46))
+        assert all(len(set(lines[words[owner == w]])) == 1 and (owner == w).sum() <= 12 for w in set(owner.tolist()))
+    assert len(licences.windows_of(lines[:0], 12, 0)[0]) == 0
+
+
+def test_samples_are_distinct_and_full_whatever_the_copies(spark):
+    from pyspark.sql import functions as F
+
+    from lawgrain.llm.samples import least_distinct
+
+    rows = spark.range(30_000).select(F.when(F.col("id") % 3 < 2, "copy").otherwise(F.concat(F.lit("t"), F.col("id") % 50)).alias("text"))
+    for limit, size in ((5, 5), (40, 40), (500, 51)):
+        got = [r["text"] for r in least_distinct(rows, F.col("text"), limit).collect()]
+        assert len(got) == len(set(got)) == size
+        again = {r["text"] for r in least_distinct(rows.repartition(11), F.col("text"), limit).collect()}
+        assert again == set(got)
+    assert least_distinct(rows.where("false"), F.col("text"), 5).count() == 0
+
+
 def test_pipeline(spark, data, corpus, result):
     import corpus_pipeline
 
