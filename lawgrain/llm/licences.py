@@ -382,6 +382,9 @@ def scan_licences(
                             a, b = int(some[a]), int(some[b - 1]) + 1
                             if taken[a:b].any():
                                 continue
+                            # what stands half in the window is matched whole
+                            line = np.searchsorted(lines, lines[a], "left"), np.searchsorted(lines, lines[a], "right")
+                            a, b = max(a - width, int(line[0])), min(b + width, int(line[1]))
                             part_of = model.matched(family, hashes[a:b], params.shingle)
                             if part_of is not None:
                                 a, b = a + part_of[0], a + part_of[1]
