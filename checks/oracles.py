@@ -272,6 +272,8 @@ ORACLES: dict[str, str] = {
          UNION ALL SELECT item_no, category, document_type, akn_uri FROM listing WHERE document_type = 'authority-regulation'""",
     "worklist": ctes("listing", "completed")
     + "SELECT item_no, akn_uri FROM listing WHERE akn_uri NOT IN (SELECT akn_uri FROM completed)",
+    "worklist_bucketed": ctes("listing", "completed")
+    + "SELECT item_no, akn_uri FROM listing WHERE akn_uri NOT IN (SELECT akn_uri FROM completed)",
     "skip_completed": ctes("listing", "completed")
     + "SELECT item_no, akn_uri FROM listing WHERE akn_uri IN (SELECT akn_uri FROM completed)",
     "in_run_dedup": ctes("listing")

@@ -20,6 +20,17 @@ def worklist(listing: DataFrame, completed: DataFrame, resume: bool = True, uri:
     return attach(listing, completed.select(uri), uri, "left_anti").select(*listing.columns)
 
 
+def worklist_bucketed(listing: DataFrame, completed: DataFrame, uri: str = "akn_uri") -> DataFrame:
+    """`worklist` against completed URIs in buckets (`bucket_completed`), which do not move.
+
+    The listed URIs, made distinct on the map side first, go to the buckets. What is found
+    there is at most the listing's distinct URIs; the listing is joined with that, which
+    splits a URI that is listed very often.
+    """
+    done = listing.select(uri).distinct().join(completed.select(uri), uri, "left_semi")
+    return attach(listing, done, uri, "left_anti").select(*listing.columns)
+
+
 def skip_completed(listing: DataFrame, completed: DataFrame, resume: bool = True, uri: str = "akn_uri") -> DataFrame:
     """Listing rows whose URI is completed already; none when not resuming."""
     if not resume:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from lawgrain.operators.manifest import completed_set, manifest_summary
@@ -83,6 +85,21 @@ def read_completed(spark: SparkSession, root: str, but_run: str | None = None) -
     return commits.read(spark, root, COMPLETED, but=but_run).select("akn_uri")
 
 
+def bucket_completed(spark: SparkSession, root: str, table: str, buckets: int) -> DataFrame:
+    """Completed URIs of all runs, distinct, stored by URI hash as a catalogue table.
+
+    A join by URI reads the buckets where they lie, so a completed set of many runs is
+    moved once, here, and not with every worklist. Give as many buckets as a join should
+    have tasks. A new call makes a new copy and points the table to it; copies before stay
+    for readers that have begun.
+    """
+    path = f"{root}/_buckets/{uuid.uuid4().hex}"
+    distinct = read_completed(spark, root).where("akn_uri IS NOT NULL").distinct()
+    by_bucket = distinct.repartition(buckets, "akn_uri")  # one file a bucket
+    by_bucket.write.bucketBy(buckets, "akn_uri").sortBy("akn_uri").option("path", path).mode("overwrite").saveAsTable(table)
+    return spark.table(table)
+
+
 def write_progress(progress: DataFrame, root: str, run_id: str) -> None:
     """Publish the positions reached by one run."""
     commits.publish(progress, root, run_id)

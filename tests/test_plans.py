@@ -72,6 +72,29 @@ def test_hot_uri_is_split_in_worklist(spark, small_skew, hot, tmp_path):
     assert is_split(run_plan(W.worklist(listing, spark.read.parquet(completed))))
 
 
+def test_completed_uris_in_buckets_do_not_move(spark, small_skew, hot, tmp_path):
+    root = str(tmp_path / "completed")
+    done = spark.range(5_000).select(F.concat(F.lit("/akn/fi/act/statute/2024/"), "id", F.lit("/fin@")).alias("akn_uri"))
+    for run in ("1", "2"):
+        G.write_completed(done.withColumn("status", F.lit("success")), root, run)
+    stored = G.bucket_completed(spark, root, "completed_buckets", 8)
+    listing = spark.read.parquet(hot)
+    work = W.worklist_bucketed(listing, stored)
+    lines = plan(work).split("\n")
+    (scan,) = [i for i, line in enumerate(lines) if "Bucketed: true" in line]
+    indent = [len(line) - len(line.lstrip(" :|+-")) for line in lines]
+    above, depth = [], indent[scan]
+    for i in range(scan - 1, -1, -1):  # from the scan up to the join
+        if indent[i] < depth:
+            above.append(lines[i])
+            depth = indent[i]
+            if "Join" in lines[i]:
+                break
+    assert "Join" in above[-1] and not any("Exchange" in line for line in above)
+    assert is_split(run_plan(work))
+    assert sorted(r.item_no for r in work.collect()) == sorted(r.item_no for r in W.worklist(listing, done).collect())
+
+
 def test_hot_uri_is_split_in_dedup(spark, small_skew, hot):
     assert is_split(run_plan(W.in_run_dedup(spark.read.parquet(hot))))
 
