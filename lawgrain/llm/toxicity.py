@@ -5,14 +5,15 @@ beginnings; the document's
 is their noisy-or, 1 - prod(1 - p). Both the training (labels exist for documents only)
 and the scores go through it, and the sentences behind a score are located.
 
-Training takes at most `sample_docs` labelled documents, those whose ids hash lowest,
-and keeps the words whose document frequencies among toxic and other documents differ
+Training takes at most `sample_docs` labelled documents, those whose ids hash lowest, and
+of them, in that order, no more than `sample_bytes` of text, texts over `sample_text_bytes`
+left out (they are scored whole like all others). It keeps the words whose document frequencies among toxic and other documents differ
 by `min_z` standard errors. Labels, languages, sources and ids are no inputs of a score.
 
 Defined results: NULL or empty texts have no sentence and score 0; a repeated row gives
-a repeated result; repeated labels of a document count as toxic if one is; NULL labels
+a repeated result (one row of an id is trained on, whatever the number); repeated labels of a document count as toxic if one is; NULL labels
 and labels of unknown documents are not used; without a toxic training document every
-score is 0; an empty table gives an empty table.
+score is 0; an empty table gives an empty table; ids keep their type.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lawgrain.llm.samples import least_hashes
 from lawgrain.llm.texts import Texts, Words, run_hashes, slices
@@ -38,6 +40,8 @@ _BREAK[[ord(c) for c in ".!?\n"]] = 1
 @dataclass(frozen=True)
 class ToxicityParams:
     sample_docs: int = 5_000
+    sample_bytes: int = 32 << 20
+    sample_text_bytes: int = 1 << 20
     buckets: int = 1 << 18
     min_docs: int = 5
     min_z: float = 4.0
@@ -144,20 +148,45 @@ def in_training(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 != 2, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, params: ToxicityParams, id_col: str, text_col: str) -> Model:
-    """The model of a bounded sample of labelled documents.
+def sample(docs: DataFrame, labels: DataFrame, params: ToxicityParams, id_col: str, text_col: str) -> DataFrame:
+    """toxic and text of the training documents, one row an id, within all three bounds.
 
-    The sampled ids, at most `sample_docs` rows, are what is broadcast to the join.
+    What goes to the driver and is broadcast to the joins are ids, at most `sample_docs`.
     """
+    kind = docs.schema[id_col].dataType
     chosen = (
-        labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
+        labels.select(F.col("doc_id").cast(kind).alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
         .where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & in_training(F.col("doc_id")))
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
     )
     chosen = least_hashes(chosen, F.col("doc_id"), params.sample_docs)
-    texts = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
-    sample = texts.join(F.broadcast(chosen), "doc_id").select("toxic", "text")
+    texts = docs.select(
+        docs[id_col].alias("doc_id"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text")
+    ).withColumn("copy", F.xxhash64("text"))
+    sizes = (
+        texts.join(F.broadcast(chosen), "doc_id")
+        .groupBy("doc_id", "toxic")
+        .agg(F.min(F.struct("copy", F.octet_length("text").alias("size"))).alias("first"))
+        .select("doc_id", "toxic", "first.*", F.xxhash64("doc_id").alias("place"))
+    )
+    taken, total = [], 0
+    for row in sorted(sizes.collect(), key=lambda r: (r["place"], str(r["doc_id"]))):
+        if row["size"] > params.sample_text_bytes:
+            continue
+        total += row["size"]
+        if total > params.sample_bytes:
+            break
+        taken.append((row["doc_id"], row["toxic"], row["copy"]))
+    schema = T.StructType(
+        [T.StructField("doc_id", kind), T.StructField("toxic", T.IntegerType()), T.StructField("copy", T.LongType())]
+    )
+    wanted = F.broadcast(docs.sparkSession.createDataFrame(taken, schema))
+    return texts.join(wanted, ["doc_id", "copy"]).dropDuplicates(["doc_id"]).select("toxic", "text")
+
+
+def fit(docs: DataFrame, labels: DataFrame, params: ToxicityParams, id_col: str, text_col: str) -> Model:
+    """The model of a bounded sample of labelled documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -176,7 +205,8 @@ def fit(docs: DataFrame, labels: DataFrame, params: ToxicityParams, id_col: str,
                     names=["toxic", "buckets", "sentences"],
                 )
 
-    rows = sample.mapInArrow(run, "toxic int, buckets binary, sentences binary").collect()
+    chosen = sample(docs, labels, params, id_col, text_col)
+    rows = chosen.mapInArrow(run, "toxic int, buckets binary, sentences binary").collect()
     return train(
         sorted(
             ((r["toxic"], np.frombuffer(r["buckets"], np.int32), np.frombuffer(r["sentences"], np.int32)) for r in rows),
@@ -225,8 +255,9 @@ def score_documents(
                     names=["doc_id", "score", "offending"],
                 )
 
-    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
+    rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
     out = rows.mapInArrow(
-        run, "doc_id long, score double, offending array<struct<start:long,end:long,p:double>>"
+        run, f"doc_id {kind}, score double, offending array<struct<start:long,end:long,p:double>>"
     )
     return out.withColumn("predicted", (F.col("score") >= params.threshold).cast("int"))
