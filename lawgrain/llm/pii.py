@@ -1,25 +1,36 @@
 """Personal data: base patterns, and a skip-chain conditional random field.
 
 Base spans are those of the patterns and checks of `base_spans`; they always stay. The
-field then labels, in each document, the other words that could be personal data (an
-@, or seven digits and more). Its nodes are the base spans (their labels are known) and
-these words. Neighbouring nodes share a chain potential; nodes with the same or similar
-content (the same letters and digits, or the same last seven digits) share a skip
-potential, linked from one occurrence to the next, so that a group costs a link per
-member. Loopy sum-product messages give each word's marginals, and a word whose best
-label is surer than `min_marginal` becomes a span.
-
-All weights are trained by pseudo-likelihood on the nodes of at most `sample_docs`
-documents (`sample_nodes` of each), the labels being the base spans' kinds and "other" for the rest.
+field then labels, in each document, the other pieces that could be personal data: words
+with an @ or seven digits and more, and runs of digit groups. Where some groups of a run
+are the end of a number that the document's base spans hold (a leading zero aside), they
+are a piece of their own. Its nodes are the base spans (their labels are known) and
+these pieces. Neighbouring nodes share a chain potential; nodes with the same or similar
+content (the same letters and digits, the same last seven digits, the same name before
+an @) share a skip potential, linked from one occurrence to the next, so that a group
+costs a link per member. Loopy sum-product messages give each piece's marginals, and a
+piece whose best label is surer than `min_marginal` becomes a span.
+
+All weights are trained by pseudo-likelihood. Labels are the base spans' kinds and "other"
+for the rest. So that the field learns to find repeats and not to deny them, half of the
+base contents are restated in a form the base patterns do not find (without the country
+code, with other separators, without the domain's end), once as they are, with their label,
+and once with other digits or letters, labelled "other", in each form by itself: only links tell the two apart.
+Equal nodes (features, label and labels around) of all documents are counted together, and
+training takes at most `sample_examples` of these distinct ones, by hash. Pieces that links
+join to a base span have no label there.
 
 Defined results: a NULL or empty text has no spans; a repeated row gives a repeated
-result; an empty table gives an empty table. Offsets count code points, ends excluded.
+result; an empty table gives an empty table; ids keep their type. Pieces that
+overlap are taken from the left, base spans before digit groups before words. Offsets count code points, ends excluded.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,6 +45,7 @@ from lawgrain.session import staged
 
 KINDS = ("email", "ip", "card", "phone")
 OTHER = len(KINDS)
+FORMS = 4  # ways in which a number is restated
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
@@ -44,16 +56,17 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _WORD = re.compile(r"(?<![^ \t-\r])[^ \t-\r0-9@]*+[0-9@][^ \t-\r]*+")
 _DIGIT = re.compile("[0-9]")
 _SOLID = re.compile("[^a-z0-9]+")
+_RUN = re.compile(r"(?<![A-Za-z0-9@])[0-9]++(?:[ ()./-]{1,3}[0-9]++)++")
+_GROUP = re.compile("[0-9]+")
 _TRIGGER = np.zeros(256, bool)
 _TRIGGER[[*range(48, 58), ord("@")]] = True
 
 
 @dataclass(frozen=True)
 class PiiParams:
-    sample_docs: int = 5_000  # training documents, and nodes taken from each
-    sample_nodes: int = 64
+    sample_examples: int = 10_000  # distinct nodes that the field is trained on
     features: int = 1 << 12
-    epochs: int = 60
+    epochs: int = 500
     rounds: int = 12
     min_marginal: float = 0.9
     chain_words: int = 40  # nodes further apart (code points) share no chain potential
@@ -96,11 +109,51 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return spans
 
 
+def _digits(surface: str) -> str:
+    return "".join(_DIGIT.findall(surface))
+
+
+def number_pieces(text: str, begin: int, end: int, known: set[str]) -> list[tuple[int, int]]:
+    """Pieces of the digit-group runs between two places.
+
+    Groups whose digits are in `known`, the leftmost and then longest first; a run
+    without them is a piece if it has 7 to 19 digits, none of its groups over 6.
+    """
+    found = []
+    for run in _RUN.finditer(text, begin, end):
+        groups = [(m.start(), m.end()) for m in _GROUP.finditer(text, run.start(), run.end())]
+        i, like = 0, len(found)
+        while i < len(groups):
+            digits, stop = "", 0
+            for j in range(i, len(groups)):
+                digits += text[groups[j][0] : groups[j][1]]
+                if len(digits) > 20:
+                    break
+                if digits in known or (digits[0] == "0" and digits[1:] in known):
+                    stop = j + 1
+            if stop:
+                found.append((groups[i][0], groups[stop - 1][1]))
+            i = stop or i + 1
+        if len(found) == like and 7 <= sum(b - a for a, b in groups) <= 19 and max(b - a for a, b in groups) < 7:
+            found.append((run.start(), run.end()))
+    return [(a - 1 if a > begin and text[a - 1] == "(" and ")" in text[a:b] else a, b) for a, b in found]
+
+
 def nodes(text: str) -> list[tuple[int, int, int, str]]:
-    """(label, start, end, surface) of base spans and other candidate words, by start."""
+    """(label, start, end, surface) of base spans and other candidate pieces, by start."""
     spans = base_spans(text)
-    covered = sorted((a, b) for _, a, b in spans)
     found = [(k, a, b, text[a:b]) for k, a, b in spans]
+    numbers = [_digits(surface) for k, _, _, surface in found if k >= 2]
+    known = {d[i:] for d in numbers for i in range(len(d) - 6)}
+    free, done = [], 0
+    for a, b in sorted((a, b) for _, a, b in spans):
+        if a > done:
+            free.append((done, a))
+        done = max(done, b)
+    free.append((done, len(text)))
+    pieces = [p for a, b in free for p in number_pieces(text, a, b, known)]
+    found += [(OTHER, a, b, text[a:b]) for a, b in pieces]
+    covered = sorted([(a, b) for _, a, b in spans] + pieces)
     at = 0
     for m in _WORD.finditer(text):
         while at < len(covered) and covered[at][1] <= m.start():
@@ -114,9 +167,53 @@ def nodes(text: str) -> list[tuple[int, int, int, str]]:
     return sorted(found, key=lambda n: n[1:3] + n[:1])
 
 
+def restated(kind: int, surface: str, form: int, same: bool = True) -> str | None:
+    """A span's content written as no base pattern finds it; with other signs if not `same`.
+
+    None for addresses of machines, which have one form.
+    """
+    if kind == 1:
+        return None
+    if kind == 0:
+        local, _, host = surface.partition("@")
+        if not same:
+            local = "".join(chr((ord(c) - 97 + 7 + i) % 26 + 97) if c.isalpha() else c for i, c in enumerate(local.lower()))
+        return f"{local}@{host.partition('.')[0]}"
+    digits = _digits(surface)
+    if not same:
+        digits = "".join(str((int(d) + 3 + i * i) % 10) for i, d in enumerate(digits))
+    if kind == 2:
+        return "./"[form % 2].join(digits[i : i + 4] for i in range(0, len(digits), 4))
+    digits = digits[-10:] if len(digits) > 10 else digits[1:]
+    area, middle, last = digits[:-7], digits[-7:-4], digits[-4:]
+    return (f"{area} {middle} {last}", f"({area}) {middle}-{last}", f"{area}-{middle}-{last}", f"{area}.{middle}.{last}")[form % 4]
+
+
+def with_restated(
+    labels: list[int], starts: list[int], ends: list[int], surfaces: list[str], form: int, params: PiiParams
+):
+    """A document's nodes, followed by half of its base contents restated in a form, far away."""
+    labels, starts, ends, surfaces = list(labels), list(starts), list(ends), list(surfaces)
+    at, seen = max(ends, default=0), set()
+    for label, surface in list(zip(labels, surfaces)):
+        if label == OTHER or zlib.crc32(surface.encode()) & 1 or (label, surface) in seen:
+            continue
+        seen.add((label, surface))
+        for same in (True, False):
+            other = restated(label, surface, form, same)
+            if other is not None:
+                at += params.chain_words + 1
+                labels.append(label if same else OTHER)
+                starts.append(at)
+                ends.append(at + len(other))
+                surfaces.append(other)
+                at += len(other)
+    return labels, starts, ends, surfaces
+
+
 def features(surface: str, width: int) -> list[int]:
     """Hashed features of a node's own text."""
-    digits = "".join(_DIGIT.findall(surface))
+    digits = _digits(surface)
     shape = re.sub(r"[^\W\d_]+", "a", re.sub("[0-9]+", "9", surface))[:24]
     letters = sum(c.isalpha() for c in surface)
     parts = surface.split(".")
@@ -140,8 +237,11 @@ def links(starts: list[int], ends: list[int], surfaces: list[str], reach: int) -
     last: dict[str, int] = {}
     for i, surface in enumerate(surfaces):
         keys = ["=" + _SOLID.sub("", surface.lower())]
-        digits = "".join(_DIGIT.findall(surface))
-        if len(digits) >= 7 and "@" not in surface:
+        digits = _digits(surface)
+        local, at, _ = surface.lower().partition("@")
+        if at and len(local) > 2:
+            keys.append("@" + local)
+        if len(digits) >= 7 and not at:
             keys.append("#" + digits[-7:])
         linked = {last[k] for k in keys if k in last}
         found += [(j, i, 1) for j in sorted(linked)]
@@ -199,39 +299,71 @@ class Field:
         ]
 
 
+def examples(labels, starts, ends, surfaces, params: PiiParams, since: int | None = None) -> list[tuple[tuple, int, tuple]]:
+    """(features, label, linked labels) of each node; the last is a count per link type and label.
+
+    Pieces that skip links lead to from a base span are what the field is to find: their
+    label is not known, and neither they nor their links are examples. With `since`, nodes
+    from that number on are known, and they alone are returned.
+    """
+    width = OTHER + 1
+    first, certain = (0, len(labels)) if since is None else (since, since)
+    edges = links(starts, ends, surfaces, params.chain_words)
+    group = list(range(len(labels)))
+
+    def root(i: int) -> int:
+        while group[i] != i:
+            group[i] = i = group[group[i]]
+        return i
+
+    for i, j, kind in edges:
+        if kind == 1:
+            group[root(j)] = root(i)
+    touched = {root(i) for i, label in enumerate(labels) if label != OTHER}
+    sure = [i >= certain or label != OTHER or root(i) not in touched for i, label in enumerate(labels)]
+    around = np.zeros((len(labels), 2 * width), int)
+    for i, j, kind in edges:
+        if sure[i] and sure[j]:
+            around[i, kind * width + labels[j]] += 1
+            around[j, kind * width + labels[i]] += 1
+    return [
+        (tuple(features(s, params.features)), label, tuple(near))
+        for s, label, near, known in list(zip(surfaces, labels, around.tolist(), sure))[first:]
+        if known
+    ]
+
+
 def train(samples: list[tuple[list[int], list[int], list[int], list[str]]], params: PiiParams) -> Field:
+    """The field of the nodes of some documents."""
+    return learn([(e, 1.0) for sample in samples for e in examples(*sample, params)], params)
+
+
+def learn(weighted: list[tuple[tuple[tuple, int, tuple], float]], params: PiiParams) -> Field:
     """Pseudo-likelihood: each node's label given its features and linked labels.
 
-    Accelerated full gradients over the sample, with a small quadratic penalty.
+    Accelerated full gradients over the weighted examples, with a small quadratic penalty.
     """
-    labels_n = OTHER + 1
-    feats, gold, around = [], [], []
-    for labels, starts, ends, surfaces in samples:
-        counts = np.zeros((len(labels), 2, labels_n))
-        for i, j, kind in links(starts, ends, surfaces, params.chain_words):
-            counts[i, kind, labels[j]] += 1
-            counts[j, kind, labels[i]] += 1
-        feats += [features(s, params.features) for s in surfaces]
-        gold += labels
-        around.append(counts)
-    unary, pair = np.zeros((params.features, labels_n)), np.zeros((2, labels_n, labels_n))
-    if not gold:
+    width = OTHER + 1
+    unary, pair = np.zeros((params.features, width)), np.zeros((2, width, width))
+    if not weighted:
         return Field(unary, pair)
-    x, y, around = np.array(feats), np.array(gold), np.concatenate(around)
-    target = np.eye(labels_n)[y]
-    n = len(y)
+    x = np.array([e[0] for e, _ in weighted])
+    target = np.eye(width)[[e[1] for e, _ in weighted]]
+    around = np.array([e[2] for e, _ in weighted], float).reshape(-1, 2, width)
+    weight = np.array([w for _, w in weighted])
+    weight = (weight / weight.sum())[:, None]
     flat = x.ravel()
     speed_u, speed_p = np.zeros_like(unary), np.zeros_like(pair)
     for _ in range(params.epochs):
         score = unary[x].sum(axis=1) + np.einsum("nkl,klm->nm", around, pair)
         score = np.exp(score - score.max(axis=1, keepdims=True))
-        error = score / score.sum(axis=1, keepdims=True) - target
+        error = (score / score.sum(axis=1, keepdims=True) - target) * weight
         grad_u = np.zeros_like(unary)
         np.add.at(grad_u, flat, np.repeat(error, x.shape[1], axis=0))
         grad_p = np.einsum("nkl,nm->klm", around, error)
         grad_p = (grad_p + grad_p.transpose(0, 2, 1)) / 2
-        speed_u = 0.9 * speed_u + grad_u / n + 1e-4 * unary
-        speed_p = 0.9 * speed_p + grad_p / n + 1e-4 * pair
+        speed_u = 0.9 * speed_u + grad_u + 1e-4 * unary
+        speed_p = 0.9 * speed_p + grad_p + 1e-4 * pair
         unary -= 0.3 * speed_u
         pair -= 0.3 * speed_p
     return Field(unary, pair)
@@ -258,8 +390,12 @@ def document_nodes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     ]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, kind)], names=["doc_id", "nodes"])
 
-    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
-    return rows.mapInArrow(run, f"doc_id long, nodes {_NODE}")
+    rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"))
+    return rows.mapInArrow(run, f"doc_id {_id_type(rows)}, nodes {_NODE}")
+
+
+def _id_type(rows: DataFrame) -> str:
+    return rows.schema["doc_id"].dataType.simpleString()
 
 
 def _unpack(row_nodes: list) -> tuple[list[int], list[int], list[int], list[str]]:
@@ -267,13 +403,46 @@ def _unpack(row_nodes: list) -> tuple[list[int], list[int], list[int], list[str]
 
 
 def fit(table: DataFrame, params: PiiParams) -> Field:
-    """The field, from the documents with nodes whose hash is least: a fixed number."""
-    some = least_hashes(
-        table.where(F.size("nodes") > 0).select(F.slice("nodes", 1, params.sample_nodes).alias("nodes")),
-        F.col("nodes"),
-        params.sample_docs,
+    """The field, from the distinct examples of all documents whose hash is least.
+
+    Equal features that are met n times weigh 1 + ln n, shared among their examples by number.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            met = Counter()
+            for row in batch.column(0).to_pylist():
+                plain = _unpack(row)
+                met.update(examples(*plain, params))
+                for form in range(FORMS if min(plain[0]) < OTHER else 0):
+                    met.update(examples(*with_restated(*plain, form, params), params, since=len(row)))
+            columns = [[e[k] for e in met] for k in range(3)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(columns[0], pa.list_(pa.int32())),
+                    pa.array(columns[1], pa.int32()),
+                    pa.array(columns[2], pa.list_(pa.int32())),
+                    pa.array(met.values(), pa.int64()),
+                ],
+                names=["features", "label", "around", "n"],
+            )
+
+    found = table.where(F.size("nodes") > 0).select("nodes")
+    found = found.mapInArrow(run, "features array<int>, label int, around array<int>, n long")
+    found = staged(found.groupBy("features", "label", "around").agg(F.sum("n").alias("n")), "pii-examples")
+    key = F.struct("features", "label", "around")
+    rows = least_hashes(found, key, params.sample_examples).collect()
+    met = Counter()
+    for r in rows:
+        met[tuple(r["features"])] += r["n"]
+    return learn(
+        [
+            ((own, r["label"], tuple(r["around"])), r["n"] / met[own] * (1.0 + math.log(met[own])))
+            for r in rows
+            for own in [tuple(r["features"])]
+        ],
+        params,
     )
-    return train([_unpack(r["nodes"]) for r in some.collect()], params)
 
 
 def find_personal_data(
@@ -299,7 +468,7 @@ def find_personal_data(
             )
 
     span = "array<struct<kind:int,start:long,end:long>>"
-    return table.mapInArrow(run, f"doc_id long, base {span}, spans {span}")
+    return table.mapInArrow(run, f"doc_id {_id_type(table)}, base {span}, spans {span}")
 
 
 def redact(docs: DataFrame, params: PiiParams | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

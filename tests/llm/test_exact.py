@@ -13,7 +13,7 @@ import xxhash
 
 import __spark_entry__ as E
 from checks.compare import canonical, connect
-from lawgrain.llm import chat, decontaminate, licences, packing, pii, queries, scoring, simhash, suffixes
+from lawgrain.llm import chat, decontaminate, licences, packing, pii, queries, scoring, simhash, suffixes, toxicity
 from lawgrain.llm.texts import Texts
 
 LOWER = {k: k + 32 for k in range(65, 91)}
@@ -239,6 +239,63 @@ def test_field_links_like_words():
     assert pii.links([0, 300], [17, 308], ["+1 (202) 555-0147", "90000031"], 40) == []
 
 
+def test_repeats_written_otherwise_are_found(spark, data):
+    """Every base content restated at the end of its text, and strangers in the same forms."""
+    documents = spark.read.parquet(data.replace("sf0.001", "sf0.01") + "/documents.parquet")
+    rows, want = [], {}
+    for text in sorted(r["text"] for r in documents.select("text").where("text IS NOT NULL").collect()):
+        for kind, a, b in [s for s in pii.base_spans(text) if s[0] != 1][:1]:
+            for same in (True, False):
+                content = pii.restated(kind, text[a:b], len(rows) // 2, same)
+                before = text + " and later once more "
+                want[f"row {len(rows)}"] = (same, (kind, len(before), len(before) + len(content)))
+                rows.append((f"row {len(rows)}", f"{before}{content} in the text"))
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    got = {r["doc_id"]: set(map(tuple, r["spans"])) for r in pii.find_personal_data(docs).collect()}
+    found = {flag: [span in got[i] for i, (same, span) in want.items() if same is flag] for flag in (True, False)}
+    assert len(found[True]) > 30
+    assert np.mean(found[True]) >= 0.9 and np.mean(found[False]) <= 0.05
+
+
+def test_marginals_by_enumeration():
+    rng = np.random.default_rng(4)
+    width = pii.OTHER + 1
+    for edges, exact in (
+        ([(0, 1, 0), (1, 2, 1), (1, 3, 1)], True),
+        ([(0, 2, 1)], True),
+        ([], True),
+        ([(0, 1, 0), (1, 2, 0), (0, 2, 1), (2, 3, 1)], False),
+    ):
+        for known in ([4, 4, 4, 4], [3, 4, 4, 4]):
+            pair = rng.normal(size=(2, width, width)) * (1 if exact else 0.4)
+            field = pii.Field(rng.normal(size=(16, width)), pair + pair.transpose(0, 2, 1))
+            feats = rng.integers(0, 16, (4, 3)).tolist()
+            want = np.zeros((4, width))
+            for labels in itertools.product(range(width), repeat=4):
+                if any(k != pii.OTHER and k != x for k, x in zip(known, labels)):
+                    continue
+                score = sum(field.unary[f, x] for fs, x in zip(feats, labels) for f in fs)
+                score += sum(field.pair[t, labels[i], labels[j]] for i, j, t in edges)
+                for i, x in enumerate(labels):
+                    want[i, x] += math.exp(score)
+            want /= want.sum(axis=1, keepdims=True)
+            got = field.marginals(known, feats, edges, 60)
+            assert np.abs(got - want).max() < (1e-6 if exact else 0.1)
+
+
+def test_pieces_of_number_runs():
+    def pieces(text):
+        return [s for k, _, _, s in pii.nodes(text) if k == pii.OTHER]
+
+    assert pieces("+1 202 555 0147 or, (202) 555-0147, 0202 555 0147") == ["(202) 555-0147", "0202 555 0147"]
+    assert pieces("Tel. +1 202 555 0147; rows 15 202-555-0147 3 left") == ["202-555-0147"]
+    assert pieces("202 555 0147 and 1 2 3 and 4111.1111.1111.1111") == ["202 555 0147", "4111.1111.1111.1111"]
+    assert pieces("jane@host and 12 and 1234567, x") == ["jane@host", "1234567"]
+    assert pieces(" ".join("12" for _ in range(5000))) == []
+    same, other = (pii.restated(3, "+1 (202) 555-0147", 1, same) for same in (True, False))
+    assert same == "(202) 555-0147" and other != same and not pii.base_spans(f"{same} {other}")
+
+
 def test_cards_beside_numbers_are_added(spark):
     plain = [(k, f"word {4111111111111111} next {k}", None) for k in range(400)]
     rows = [*plain, (1000, "pay 4111111111111111 10.20.30.40 now", None)]
@@ -402,6 +459,26 @@ def test_toxicity_on_held_out_labels(spark, data, result):
     assert np.mean([r["predicted"] == r["toxic"] for r in rows]) > 0.98
 
 
+def test_toxicity_sample_is_bounded(spark):
+    rows = [(f"id {k}", f"text number {k} " + "word " * 50) for k in range(200)]
+    rows += [("id 1", "text number 1 " + "word " * 50)] * 300 + [("id 2", "another text")] * 100 + [("id 3", "long " * 9000)]
+    docs = spark.createDataFrame(rows, "key string, body string").repartition(8)
+    labels = spark.createDataFrame([(f"id {k}", k % 2) for k in range(200)], "doc_id string, toxic int")
+
+    def sizes(**bounds):
+        params = toxicity.ToxicityParams(**bounds)
+        return [len(r["text"]) for r in toxicity.sample(docs, labels, params, "key", "body").collect()]
+
+    every = sizes()
+    trained = sum(zlib.crc32(f"id {k}".encode()) % 4 != 2 for k in range(200))
+    assert len(every) == trained
+    assert 8 <= len(sizes(sample_bytes=3000)) <= 12 and sum(sizes(sample_bytes=3000)) <= 3000
+    assert max(sizes(sample_text_bytes=1000)) <= 1000
+    assert len(sizes(sample_docs=20)) == 20
+    scored = toxicity.score_documents(docs, labels, id_col="key", text_col="body")
+    assert scored.count() == len(rows) and dict(scored.dtypes)["doc_id"] == "string"
+
+
 def test_quality_counts(corpus, result):
     got = result("op10_quality_rules")
     for i, t in corpus:
