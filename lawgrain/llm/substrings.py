@@ -19,7 +19,7 @@ corpus too. The work, on distinct texts (one stands for all its copies):
 5. Removal. Intervals are joined to the texts once more and the rest is hashed.
 
 Defined results: a NULL text is empty; repeated rows are copies of each other; texts
-shorter than `length` stay whole; an empty table gives an empty table. Texts are told
+shorter than `length` stay whole; an empty table gives an empty table; ids keep their type. Texts are told
 apart by two 64-bit hashes and windows by one beside their order in a shard.
 """
 
@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from lawgrain.llm.suffixes import anchors, common_prefixes, suffix_array
 from lawgrain.llm.texts import run_hashes, slices
+from lawgrain.operators.joins import attach
 from lawgrain.session import staged
 
 
@@ -332,7 +333,7 @@ def repeated_strings(
     params = params or SubstringParams()
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
     rows = docs.select(
-        docs[id_col].cast("long").alias("doc_id"),
+        docs[id_col].alias("doc_id"),
         F.xxhash64(text).alias("k1"),
         F.xxhash64(F.lit("second"), text).alias("k2"),
         text.alias("text"),
@@ -345,14 +346,15 @@ def repeated_strings(
     )
     texts = meta.groupBy("k1", "k2").agg(F.count("*").alias("copies"), F.min("doc_id").alias("first_id"))
 
-    found = rows.select("k1", "text").mapInArrow(_anchor_rows(params), "h long, k1 long, twice boolean")
+    anchors = rows.select("k1", "text").mapInArrow(_anchor_rows(params), "h long, k1 long, twice boolean")
+    found = staged(anchors, "anchors")
     suspect = (
         found.groupBy("h")
         .agg(F.min("k1").alias("a"), F.max("k1").alias("b"), F.max("twice").alias("twice"))
         .where("a <> b OR twice")
         .select("h")
     )
-    of_text = found.select("h", "k1").join(suspect, "h").groupBy("k1").agg(F.collect_set("h").alias("hs"))
+    of_text = attach(found.select("h", "k1"), suspect, "h", "inner").groupBy("k1").agg(F.collect_set("h").alias("hs"))
     one_each = texts.join(of_text, "k1").select(
         F.col("k1").alias("w1"), F.col("k2").alias("w2"), F.col("first_id").alias("wid"), "hs"
     )
@@ -366,15 +368,15 @@ def repeated_strings(
     routes = segments.groupBy("route").agg(F.sum(F.octet_length("bytes")).alias("n"))
     salt = F.pmod(F.xxhash64("k1", "k2", "start"), F.ceil(F.col("n") / params.shard_bytes))
     dealt = staged(
-        segments.join(routes, "route").select(
+        attach(segments, routes, "route", "inner").select(
             F.pmod(F.xxhash64("route", salt), F.lit(shards)).cast("long").alias("shard"),
             "k1", "k2", "start", "bytes", "hs",
         ),
         "shards",
     )
-    by_shard = dealt.select("shard", "hs").mapInArrow(_explode_anchors, "h long, shard long")
+    by_shard = dealt.select("shard", "hs").mapInArrow(_explode_anchors, "h long, shard long").distinct()
     met = by_shard.groupBy("h").agg(F.min("shard").alias("a"), F.max("shard").alias("b")).where("a <> b").select("h")
-    cross = by_shard.join(met, "h").distinct()
+    cross = attach(by_shard, met, "h", "inner")
     pieces = dealt.select("shard", "k1", "k2", "start", "bytes")
     local = staged(
         pieces.groupBy("shard").cogroup(cross.groupBy("shard")).applyInArrow(_search_shard(params, shards), _LOCAL),
@@ -396,8 +398,9 @@ def repeated_strings(
     empty = F.sha2(F.lit(""), 256)
     gone = (F.col("copies") > 1) & (F.col("n_bytes") >= params.length)
     all_of = F.array(F.col("n_bytes"))
+    facts = texts.join(removed, ["k1", "k2"], "left").withColumn("text", F.struct("k1", "k2")).drop("k1", "k2")
     return (
-        meta.join(texts.join(removed, ["k1", "k2"], "left"), ["k1", "k2"])
+        attach(meta.withColumn("text", F.struct("k1", "k2")), facts, "text", "inner")
         .select(
             "doc_id",
             "n_bytes",

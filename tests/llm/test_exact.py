@@ -13,7 +13,7 @@ import xxhash
 
 import __spark_entry__ as E
 from checks.compare import canonical, connect
-from lawgrain.llm import chat, decontaminate, licences, packing, pii, queries, scoring, simhash, suffixes, toxicity
+from lawgrain.llm import chat, decontaminate, licences, packing, pii, queries, scoring, simhash, substrings, suffixes, toxicity
 from lawgrain.llm.texts import Texts
 
 LOWER = {k: k + 32 for k in range(65, 91)}
@@ -68,8 +68,8 @@ def test_chat_folds_edits_and_regenerations(spark):
         chat.format_conversations(spark.createDataFrame([(1, 1, 1, "user", "drop", "x")], events.schema)).collect()
 
 
-def test_substrings_by_every_window(corpus, result):
-    got = result("op2_suffix_array_dedup")
+def check_windows(corpus, got):
+    """Rows of `corpus` against a count of every window of 200 bytes."""
     texts = {i: (t or "").encode() for i, t in corpus}
     seen = Counter(t[j : j + 200] for t in texts.values() for j in range(len(t) - 199))
     for i, t in texts.items():
@@ -83,6 +83,30 @@ def test_substrings_by_every_window(corpus, result):
         assert tuple(got[i][c] for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256")) == want
 
 
+def test_substrings_by_every_window(corpus, result):
+    check_windows(corpus, result("op2_suffix_array_dedup"))
+
+
+@pytest.mark.parametrize("shard_bytes", [6_000, 60_000])
+def test_substrings_over_many_shards(spark, corpus, shard_bytes):
+    """Repeats between shards, within them, and a passage that is too hot for one; text ids."""
+    rng = np.random.default_rng(11)
+    words = ["".join(chr(97 + c) for c in rng.integers(0, 26, 6)) for _ in range(4000)]
+
+    def filler(n):
+        return " ".join(words[k] for k in rng.integers(0, len(words), n))
+
+    hot, pair = filler(60), [filler(40) for _ in range(12)]
+    rows = [(f"doc {i}", t) for i, t in corpus]
+    rows += [(f"hot {k}", f"{filler(30)} {hot} {filler(5 + k % 7)}") for k in range(60)]
+    rows += [(f"pair {k}", f"{filler(50)} {pair[k % 12]} {filler(30)}") for k in range(24)]
+    rows += [("twice", f"{pair[0]} {filler(20)} {pair[0]}"), ("copy", rows[0][1]), ("none", None)]
+    docs = spark.createDataFrame(rows, "name string, text string").repartition(6)
+    params = substrings.SubstringParams(shard_bytes=shard_bytes)
+    out = substrings.repeated_strings(docs, params, id_col="name")
+    check_windows(rows, {r["doc_id"]: r for r in out.collect()})
+
+
 def test_suffix_arrays():
     rng = np.random.default_rng(1)
     for trial in range(60):
