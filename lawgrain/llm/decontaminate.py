@@ -31,6 +31,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from lawgrain.llm.texts import Texts, mix, slices
 
@@ -186,11 +188,11 @@ def find_overlaps(
     """
     params = params or SeedParams()
     spark = docs.sparkSession
-    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
-    schema = (
-        "doc_id long, item_id long, doc_start long, item_start long, n_tokens long, n_matched long, item_tokens long"
-    )
-    names = schema.replace(" long", "").split(", ")
+    rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"))
+    ids = [rows.schema["doc_id"].dataType, benchmark.schema[item_col].dataType]
+    names = "doc_id item_id doc_start item_start n_tokens n_matched item_tokens".split()
+    schema = T.StructType([T.StructField(n, t) for n, t in zip(names, [*ids, *[T.LongType()] * 5])])
+    kinds = [to_arrow_type(f.dataType) for f in schema]
 
     def against(index: SeedIndex) -> DataFrame:
         shared = spark.sparkContext.broadcast(index)
@@ -206,7 +208,7 @@ def find_overlaps(
                     ]
                     if out:
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(c, pa.int64()) for c in zip(*out)], names=names
+                            [pa.array(c, kind) for c, kind in zip(zip(*out), kinds)], names=names
                         )
 
         return rows.mapInArrow(run, schema)

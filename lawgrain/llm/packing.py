@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_type
 
 from lawgrain.llm.texts import slices
 
@@ -158,13 +159,17 @@ def pack(
     names = (
         "doc_id start length ids_crc32 doc_tokens sequence_id offset loss_tokens padded_length".split()
     )
-    schema = ", ".join(f"{n} long" for n in names) + (", ids array<int>" if params.with_ids else "")
+    rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"))
+    id_type = rows.schema["doc_id"].dataType
+    kinds = [to_arrow_type(id_type), *[pa.int64()] * (len(names) - 1)]
+    schema = f"doc_id {id_type.simpleString()}, " + ", ".join(f"{n} long" for n in names[1:])
+    schema += ", ids array<int>" if params.with_ids else ""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(params.tokenizer, params.ranks)
         packer = Packer(params.max_tokens, params.max_segments, params.max_loss)
         number = TaskContext.get().partitionId() << 33
-        rows: list[tuple] = []
+        pieces: list[tuple] = []
 
         def record(sequence: list[tuple]) -> None:
             nonlocal number
@@ -175,16 +180,16 @@ def pack(
                 crc = zlib.crc32(piece.astype("<u4").tobytes())
                 loss = n - (start + n == len(ids))
                 row = (doc_id, start, n, crc, len(ids), number, at, loss, whole)
-                rows.append((*row, piece) if params.with_ids else row)
+                pieces.append((*row, piece) if params.with_ids else row)
                 at += n
             number += 1
 
         def out() -> pa.RecordBatch:
-            columns = list(zip(*rows)) or [()] * (len(names) + params.with_ids)
-            arrays = [pa.array(c, pa.int64()) for c in columns[: len(names)]]
+            columns = list(zip(*pieces)) or [()] * (len(names) + params.with_ids)
+            arrays = [pa.array(c, kind) for c, kind in zip(columns, kinds)]
             if params.with_ids:
                 arrays.append(pa.array([p.astype(np.int32) for p in columns[-1]], pa.list_(pa.int32())))
-            rows.clear()
+            pieces.clear()
             return pa.RecordBatch.from_arrays(arrays, names=[*names, *["ids"] * params.with_ids])
 
         for batch in batches:
@@ -200,5 +205,4 @@ def pack(
             record(sequence)
         yield out()
 
-    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
     return rows.mapInArrow(run, schema)

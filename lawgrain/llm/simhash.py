@@ -73,11 +73,11 @@ def fingerprints(docs: DataFrame, shingle: int, id_col: str, text_col: str) -> D
                 )
 
     rows = docs.select(
-        docs[id_col].cast("long").alias("doc_id"),
+        docs[id_col].alias("doc_id"),
         F.xxhash64(docs[text_col]).alias("text_hash"),
         docs[text_col].cast("string").alias("text"),
     )
-    return rows.mapInArrow(run, "doc_id long, text_hash long, fp long")
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text_hash long, fp long")
 
 
 def bit_planes(values: np.ndarray) -> np.ndarray:
@@ -228,7 +228,7 @@ def keep_one(
     """One row of `docs` for each component: of its least id, columns unchanged."""
     groups = simhash_groups(docs, shingle, radius, id_col, text_col)
     names = groups.groupBy("root", "doc_id", "text_hash").agg(F.count("*").alias("n_rows"))
-    order = F.struct(F.isnull("doc_id"), F.coalesce("doc_id", F.lit(0)), F.col("text_hash"))
+    order = F.struct(F.isnull("doc_id"), "doc_id", "text_hash")
     chosen = names.groupBy("root").agg(
         F.min_by(F.struct("doc_id", "text_hash", "n_rows"), order).alias("keep")
     )

@@ -44,6 +44,20 @@ def test_one_row_for_each_document(spark, odd, none, name):
     assert SAME_ROWS[name](spark, none).count() == 0
 
 
+def test_ids_keep_their_type(spark):
+    text = "alpha beta gamma delta " * 12
+    rows = [("b-1", text), ("a-2", text), (None, "other words here"), ("c", None)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    bench = spark.createDataFrame([("i-1", text)], "item_id string, text string")
+    overlaps = decontaminate.find_overlaps(docs, bench).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in overlaps) == [("a-2", "i-1"), ("b-1", "i-1")]
+    groups = {r["doc_id"]: r["component_id"] for r in simhash.simhash_groups(docs).collect()}
+    assert groups["b-1"] == groups["a-2"] == "a-2"
+    assert sorted(r["doc_id"] or "" for r in simhash.keep_one(docs).collect()) == ["", "a-2", "c"]
+    assert {r["doc_id"] for r in packing.pack(docs).collect()} == {"b-1", "a-2", "c", None}
+    assert {r["doc_id"] for r in pii.find_personal_data(docs).collect()} == {"b-1", "a-2", "c", None}
+
+
 FILTERS = {
     "quality": lambda s, d: quality.keep_good(d),
     "simhash": lambda s, d: simhash.keep_one(d),
