@@ -7,7 +7,7 @@ from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StatefulProcessor
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
 from lawgrain.params import COMPLETED_STATUSES
@@ -17,37 +17,6 @@ from lawgrain.session import child_folders, path_exists, remove_path
 EXPIRY_MS = 30 * 86_400_000
 
 
-class _UntilDone(StatefulProcessor):
-    """Rows of one URI up to its first completion, over all batches."""
-
-    def __init__(self, expiry_ms: int, status: str, order: str):
-        self.expiry_ms, self.status, self.order = expiry_ms, status, order
-
-    def init(self, handle) -> None:
-        # renewed whenever the URI is seen, gone when it was not for `expiry_ms`
-        self.seen = handle.getValueState("seen", "done boolean, last_seen bigint", self.expiry_ms)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        found = self.seen.get()
-        done = bool(found is not None and found[0])
-        first, kept = None, []
-        for frame in rows:
-            if done:
-                continue
-            complete = frame.loc[frame[self.status].isin(COMPLETED_STATUSES), self.order]
-            if len(complete):
-                first = complete.min() if first is None else min(first, complete.min())
-            # rows behind the first completion so far never count
-            kept.append(frame if first is None else frame[frame[self.order] <= first])
-        now = timerValues.getCurrentProcessingTimeInMs()
-        self.seen.update((bool(done or first is not None), int(now)))
-        for frame in kept:
-            yield frame if first is None else frame[frame[self.order] <= first]
-
-    def close(self) -> None:
-        pass
-
-
 def until_done(
     outcomes: DataFrame, expiry_ms: int = EXPIRY_MS, uri: str = "akn_uri", status: str = "status", order: str = "item_no"
 ) -> DataFrame:
@@ -56,17 +25,48 @@ def until_done(
     A URI that failed is tried again when it is listed again, in the same or a later
     micro-batch or after a restart; one that is done never is. The state holds, for each
     URI seen in the last `expiry_ms` (processing time), whether it is done and when it was
-    seen; RocksDB drops older ones. So the state is bounded by the URIs of that span, and a
+    seen; the batches drop older ones. So the state is bounded by the URIs of that span, and a
     URI that was not listed for so long counts as new. `order` must be unique per URI; rows
     are ordered by it within a micro-batch, and by arrival across them. Only the failures
     of one URI in one micro-batch are held at once.
 
+    The state is passed to the tasks with the rows, and the function is sent to them whole:
+    neither the driver nor a task starts a process that has to import this module.
+
     Start it within `without_empty_batches`: Spark runs batches without data for as long as
     anything may expire, which `availableNow` would never end.
     """
-    processor = _UntilDone(expiry_ms, status, order)
-    return outcomes.groupBy(uri).transformWithStateInPandas(
-        processor, outputStructType=outcomes.schema, outputMode="Append", timeMode="ProcessingTime"
+    completing = tuple(COMPLETED_STATUSES)
+
+    def up_to_first_done(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        now = state.getCurrentProcessingTimeMs()
+        done, last_seen = state.get if state.exists else (False, now)
+        # one listed again in the batch that would have removed it counts as new, too
+        done = bool(done) and last_seen + expiry_ms > now
+        first, kept = None, []
+        for frame in frames:
+            if done:
+                continue
+            complete = frame.loc[frame[status].isin(completing), order]
+            if len(complete):
+                first = complete.min() if first is None else min(first, complete.min())
+            # rows behind the first completion so far never count
+            kept.append(frame if first is None else frame[frame[order] <= first])
+        # renewed whenever the URI is seen, gone when it was not for `expiry_ms`
+        state.update((bool(done or first is not None), int(now)))
+        state.setTimeoutDuration(expiry_ms)
+        for frame in kept:
+            yield frame if first is None else frame[frame[order] <= first]
+
+    return outcomes.groupBy(uri).applyInPandasWithState(
+        up_to_first_done,
+        outcomes.schema,
+        "done boolean, last_seen bigint",
+        "append",
+        GroupStateTimeout.ProcessingTimeTimeout,
     )
 
 

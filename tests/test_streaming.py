@@ -1,6 +1,9 @@
 """Streams stopped and started again, against their batch form."""
 
 import json
+import os
+import subprocess
+import sys
 
 from pyspark.sql import functions as F
 
@@ -185,6 +188,22 @@ def test_state_of_uris_no_longer_listed_expires(spark, tmp_path):
     assert [k for k in kept if k[1] == "again"] == [(n, "again", "success") for n in (99, 199, 299, 399)]
 
 
+def test_the_function_kept_with_the_state_needs_no_module_of_ours(spark, tmp_path, monkeypatch):
+    from pyspark import cloudpickle
+    from pyspark.sql import GroupedData
+
+    sent = []
+    real = GroupedData.applyInPandasWithState
+    monkeypatch.setattr(GroupedData, "applyInPandasWithState", lambda self, f, *rest: sent.append(f) or real(self, f, *rest))
+    schema = "item_no long, akn_uri string, status string"
+    spark.createDataFrame([(1, "u", "error")], schema).write.parquet(str(tmp_path / "outcomes"))
+    stream = spark.readStream.schema(schema).parquet(str(tmp_path / "outcomes"))
+    J.stream_until_done(stream, spark.createDataFrame([("gone",)], "akn_uri string"))
+    code = f"import pickle; pickle.loads(bytes.fromhex({cloudpickle.dumps(sent[0]).hex()!r}))"
+    elsewhere = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=tmp_path, env=elsewhere)
+
+
 def test_twelve_batches_read_few_folders_of_state(spark, tmp_path):
     from lawgrain.streaming import state as T
 
