@@ -27,13 +27,16 @@ def stream_listing(
     max_bytes: str | None = None,
     archive: str | None = None,
     max_age: str | None = None,
+    packed: bool = False,
 ) -> DataFrame:
     """Listing rows of list pages as they arrive, so many files or bytes at a time.
 
     Pages that were worked off move to `archive`, so the landing folder holds, and each
     micro-batch lists, only what is new; `max_age` bounds the files remembered as seen.
+    A micro-batch costs about a second however little it reads: where pages are many, land
+    them `packed`, many to a file.
     """
-    return stream_list_pages(spark, landing, max_files, max_bytes, archive, max_age)
+    return stream_list_pages(spark, landing, max_files, max_bytes, archive, max_age, packed)
 
 
 def stream_dedup(listing: DataFrame, completed: DataFrame) -> DataFrame:

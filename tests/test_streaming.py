@@ -204,6 +204,24 @@ def test_the_function_kept_with_the_state_needs_no_module_of_ours(spark, tmp_pat
     subprocess.run([sys.executable, "-c", code], check=True, cwd=tmp_path, env=elsewhere)
 
 
+def test_packed_pages_are_listed_like_a_file_a_page_in_few_batches(spark, tmp_path, rows):
+    pages = [(n, page(f"u{n}", f"é\r\n{n}")) for n in range(1, 41)] + [(41, "no json")]
+    write_pages(tmp_path / "single", "act", "statute", [body for _, body in pages])
+    lines = "\n".join(json.dumps({"page": n, "body": body}) for n, body in pages)
+    folder = tmp_path / "packed" / "category=act" / "document_type=statute"
+    folder.mkdir(parents=True)
+    (folder / "part-0.txt").write_text(lines)
+    listing = J.stream_listing(spark, str(tmp_path / "packed"), max_files=4, packed=True)
+    query = J.append_to_table(listing, str(tmp_path / "listed"), str(tmp_path / "c"))
+    query.awaitTermination()
+    assert sum(p.numInputRows > 0 for p in query.recentProgress) == 1
+    query.stop()
+    columns = ("category", "document_type", "page", "pos", "akn_uri", "status")
+    found = rows(spark.read.parquet(str(tmp_path / "listed")).select(*columns))
+    assert len(found) == 80
+    assert found == rows(L.read_list_pages(spark, str(tmp_path / "single")).select(*columns))
+
+
 def test_twelve_batches_read_few_folders_of_state(spark, tmp_path):
     from lawgrain.streaming import state as T
 
