@@ -87,6 +87,7 @@ def final_responses(
     attempts: DataFrame,
     max_retries: int = MAX_RETRIES,
     keys: Sequence[str] = ("akn_uri", "kind", "link"),
+    spread: bool = True,
 ) -> DataFrame:
     """Per request what its newest run made of it.
 
@@ -97,7 +98,14 @@ def final_responses(
     fetched. Aggregates combine on the map side, so no chain of attempts is gathered.
     The exception text makes them sorting aggregates: the hash of the keys goes
     first, so that the sort compares numbers and not URIs of one prefix.
+
+    A file of URIs is many times larger in the memory of that sort. So the attempts are
+    `spread` over the shuffle partitions first, a long chain over many of them, unless they
+    come from a join that has dealt them out by URI.
     """
+    if spread:
+        partitions = int(attempts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        attempts = attempts.repartition(partitions, F.xxhash64(*keys, "run_id", "attempt", "start_ts"))
     attempt = F.col("attempt")
     retryable = H.is_retryable(F.col("http_status")) | F.col("exception").isNotNull()
     by_run = attempts.groupBy(F.xxhash64(*keys).alias("_hash"), *keys, "run_id").agg(

@@ -98,7 +98,7 @@ def _outcomes(scope: DataFrame, tables: LandingTables, params: CrawlParams, run_
     if params.resume and not params.reset:
         work = work.join(tables.completed.select("akn_uri"), "akn_uri", "left_anti")
     asked = tables.attempts.join(work.select("akn_uri"), "akn_uri", "left_semi")
-    by_document = O.responses_by_document(O.final_responses(asked), params)
+    by_document = O.responses_by_document(O.final_responses(asked, spread=False), params)
     joined = S.with_paths(S.with_document_key(work.join(by_document, "akn_uri", "left"), params.base_path))
     known = W.with_existing(joined, tables.inventory, params.force)
     outcomes = O.decided(known, params).select(

@@ -206,3 +206,14 @@ def test_document_files_are_numbered(spark):
         (1, "u", 0, "x"),
         (1, "u", 1, "y"),
     ]
+
+
+def test_attempts_are_spread_before_they_are_sorted(spark):
+    log = attempts(spark, [(URI.format(n), "xml", None, [503, "timeout", 200]) for n in range(20)])
+    plan = O.final_responses(log)._jdf.queryExecution().executedPlan().toString()
+    below_sorts = plan[plan.rindex("Sort [") :]
+    assert f"{spark.conf.get('spark.sql.shuffle.partitions')}), REPARTITION_BY_NUM" in below_sorts
+    assert "REPARTITION" not in O.final_responses(log, spread=False)._jdf.queryExecution().executedPlan().toString()
+    chain = log.where("attempt < 0").unionByName(attempts(spark, [(URI.format(1), "xml", None, [503] * 400)]))
+    spread = chain.repartition(8, F.xxhash64("akn_uri", "kind", "link", "run_id", "attempt", "start_ts"))
+    assert spread.groupBy(F.spark_partition_id()).count().count() == 8
