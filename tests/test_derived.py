@@ -29,7 +29,7 @@ def test_every_row_is_a_file_of_its_own(spark, tmp_path):
     assert len([n for _, _, names in os.walk(root) for n in names]) == 4
 
 
-def test_a_tree_is_listed_by_few_tasks_and_read_in_one_scan(spark, tmp_path):
+def test_a_tree_is_listed_by_few_tasks(spark, tmp_path):
     key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
     before = spark.conf.get(key)
     for n in range(200):

@@ -204,6 +204,18 @@ def test_the_function_kept_with_the_state_needs_no_module_of_ours(spark, tmp_pat
     subprocess.run([sys.executable, "-c", code], check=True, cwd=tmp_path, env=elsewhere)
 
 
+def test_failing_uris_are_kept_in_spark_s_own_state_store(spark, tmp_path):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    try:
+        for lines in ([(1, "u", "error"), (2, "v", "success")], [(3, "u", "success"), (4, "v", "error")]):
+            kept, _ = run_until_done(spark, tmp_path, lines, 10**9)
+    finally:
+        spark.conf.set(key, before)
+    assert kept == [(1, "u", "error"), (2, "v", "success"), (3, "u", "success")]
+
+
 def test_packed_pages_are_listed_like_a_file_a_page_in_few_batches(spark, tmp_path, rows):
     pages = [(n, page(f"u{n}", f"é\r\n{n}")) for n in range(1, 41)] + [(41, "no json")]
     write_pages(tmp_path / "single", "act", "statute", [body for _, body in pages])
