@@ -10,7 +10,7 @@ from lawgrain.operators import manifest as M
 from lawgrain.operators import outcome as O
 from lawgrain.operators import scope as S
 from lawgrain.operators import worklist as W
-from lawgrain.operators.joins import attach
+from lawgrain.operators.joins import attach, likely_matches
 from lawgrain.params import COMPLETED_STATUSES, CrawlParams
 from lawgrain.session import staged, staging_area
 from lawgrain.sources import catalogue as G
@@ -83,10 +83,12 @@ def _outcomes(scope: DataFrame, tables: LandingTables, params: CrawlParams, run_
     Everything about a document hangs on its URI, so the joins run on one row
     per URI. That row comes from an aggregate that combines on the map side,
     which takes the weight off a URI listed very often, and leaves the rows
-    partitioned by URI as the joins with completed URIs and responses want them.
-    The attempt log is cut to these URIs first; that join partitions it by URI
-    too, so its aggregates need no exchange. What hangs on the folder (documents
-    in store, folders that several URIs share) comes last.
+    partitioned by URI as the join with completed URIs wants them. What is left is
+    stored. The attempt log is cut to it where it lies, but for few rows too many, and
+    only then dealt out by URI, which its aggregates and the join with the listed URIs
+    share. It goes to all shuffle partitions: their rows are many times larger in a
+    sort than in an exchange, by whose bytes Spark would merge them. What hangs on the
+    folder (documents in store, folders that several URIs share) comes last.
 
     Adds `first_item`, `n_items` (times listed) and `stored_from`: the item of
     this run that stored the document's folder first, where several URIs lead to
@@ -97,7 +99,9 @@ def _outcomes(scope: DataFrame, tables: LandingTables, params: CrawlParams, run_
     work = items.groupBy("akn_uri").agg(F.min("run_order").alias("item_no"), F.count("*").alias("n_items"))
     if params.resume and not params.reset:
         work = work.join(tables.completed.select("akn_uri"), "akn_uri", "left_anti")
-    asked = tables.attempts.join(work.select("akn_uri"), "akn_uri", "left_semi")
+    work = staged(work, "pending")
+    partitions = int(work.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    asked = likely_matches(tables.attempts, work, "akn_uri").repartition(partitions, "akn_uri")
     by_document = O.responses_by_document(O.final_responses(asked, spread=False), params)
     joined = S.with_paths(S.with_document_key(work.join(by_document, "akn_uri", "left"), params.base_path))
     known = W.with_existing(joined, tables.inventory, params.force)

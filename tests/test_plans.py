@@ -249,3 +249,43 @@ def test_a_run_moves_the_log_once_and_the_uris_twice(spark, tmp_path):
     assert len([e for e in exchanges if "folder_path" in e]) <= 3
     assert all("akn_uri" in e or "folder_path" in e for e in exchanges)
     assert not any("kind" in e or "link" in e for e in exchanges)
+
+
+def test_a_log_is_cut_before_it_moves(spark):
+    """Attempts of documents that are not asked for are dropped where they lie."""
+    from checks.queries import PARAMS, _tables
+    from lawgrain.plans import crawl as C
+
+    texts, keep = {}, C.staged
+
+    def spy(table, label):
+        texts[label] = plan(table)
+        return keep(table, label)
+
+    C.staged = spy
+    try:
+        C.crawl_manifest(_tables(spark, "/root/testdata/sf0.001"), PARAMS, "2001-12-31 00:00:00").collect()
+    finally:
+        C.staged = keep
+    lines = texts["outcomes"].splitlines()
+    log = next(i for i, line in enumerate(lines) if "FileScan" in line and "http_status" in line)
+    above = [line for line in lines[:log] if "Exchange hashpartitioning" in line or "_bucket" in line and "BroadcastHashJoin" in line]
+    assert "BroadcastHashJoin" in above[-1] and "REPARTITION_BY_NUM" in above[-2]
+
+
+@pytest.mark.parametrize("max_bits", [27, 15])
+def test_likely_matches_lose_no_match(spark, monkeypatch, max_bits):
+    """With bits enough few others pass, with too few many, but never is a match lost."""
+    from lawgrain.operators import joins
+
+    monkeypatch.setattr(joins, "MAX_BITS", max_bits)
+    uri = F.concat(F.lit("/akn/fi/act/statute/2020/"), F.col("id").cast("string"))
+    key = F.when(F.col("id") % 1000 != 7, uri).alias("akn_uri")
+    rows = spark.range(200_000).select("id", key)
+    facts = spark.range(20_000).select(key)
+    found = joins.likely_matches(rows, facts, "akn_uri")
+    assert found.columns == rows.columns
+    assert found.where("id < 20000").count() == 20_000 - 20 and found.where("akn_uri IS NULL").count() == 0
+    others = found.where("id >= 20000").count()
+    assert others < 180_000 / 6 if max_bits == 27 else others < 180_000
+    assert joins.likely_matches(rows, facts.where("false"), "akn_uri").count() == 0
