@@ -68,8 +68,9 @@ def pending_documents(tables: LandingTables, params: CrawlParams) -> DataFrame:
 
 def _staged_scope(tables: LandingTables, params: CrawlParams) -> DataFrame:
     """Listing rows in scope, read and parsed once; all that follows starts from here."""
+    parsed = F.col("document_key").isNotNull().alias("parsed")
     scoped = scoped_listing(tables.listing, params)
-    return staged(scoped.select("akn_uri", "run_order", F.col("document_key").isNotNull().alias("parsed")), "scope")
+    return staged(scoped.select("category", "document_type", "akn_uri", "run_order", parsed), "scope")
 
 
 def document_outcomes(tables: LandingTables, params: CrawlParams, run_timestamp: str) -> DataFrame:
@@ -138,7 +139,11 @@ def crawl_manifest(tables: LandingTables, params: CrawlParams, run_timestamp: st
     times go back to the listing: each time gives an entry, until another URI
     has stored the same folder, after which the next one is skipped.
     """
-    scope = _staged_scope(tables, params)
+    return _entries(_staged_scope(tables, params), tables, params, run_timestamp)
+
+
+def _entries(scope: DataFrame, tables: LandingTables, params: CrawlParams, run_timestamp: str) -> DataFrame:
+    """`crawl_manifest` of a staged scope."""
     stamp = F.to_timestamp_ntz(F.lit(run_timestamp)).alias("timestamp")
     no_files = F.array().cast("array<string>").alias("files")
     unparsed = scope.where("NOT parsed").select(
@@ -223,14 +228,14 @@ def run_crawl(
         known = known.unionByName(G.read_completed(spark, roots.completed, but_run=run_id))
     landed = LandingTables(tables.listing, known, tables.inventory, tables.attempts)
     with staging_area(spark):
-        written = G.write_manifest(crawl_manifest(landed, params, run_timestamp), roots.manifest, run_id)
+        scope = _staged_scope(landed, params)
+        written = G.write_manifest(_entries(scope, landed, params, run_timestamp), roots.manifest, run_id)
         entries = spark.read.parquet(written)
         G.write_completed(entries, roots.completed, run_id)
-        scope = scoped_listing(tables.listing, params).select("category", "document_type", "run_order", "akn_uri")
         done = known.select("akn_uri").distinct().withColumn("_done", F.lit(True))
         if not params.resume:
             done = done.where(F.lit(False))
-        flagged = attach(scope, done, "akn_uri").withColumn("processed", F.col("_done").isNull())
+        flagged = attach(scope.drop("parsed"), done, "akn_uri").withColumn("processed", F.col("_done").isNull())
         progress = M.progress_counter(flagged, order="run_order").select(
             "category", "document_type", "position", F.to_timestamp_ntz(F.lit(run_timestamp)).alias("updated_at")
         )

@@ -289,3 +289,23 @@ def test_likely_matches_lose_no_match(spark, monkeypatch, max_bits):
     others = found.where("id >= 20000").count()
     assert others < 180_000 / 6 if max_bits == 27 else others < 180_000
     assert joins.likely_matches(rows, facts.where("false"), "akn_uri").count() == 0
+
+
+def test_a_run_parses_its_listing_once(spark, tmp_path):
+    """Entries and progress start from one stored scope."""
+    from checks.queries import PARAMS, _tables
+    from lawgrain.plans import crawl as C
+
+    parsed, keep = [], C.scoped_listing
+
+    def spy(listing, params):
+        parsed.append(params)
+        return keep(listing, params)
+
+    C.scoped_listing = spy
+    try:
+        roots = C.CatalogueRoots(*(str(tmp_path / name) for name in ("manifest", "completed", "progress")))
+        C.run_crawl(_tables(spark, "/root/testdata/sf0.001"), roots, PARAMS, "001", "2001-12-31 00:00:00")
+    finally:
+        C.scoped_listing = keep
+    assert len(parsed) == 1
