@@ -16,6 +16,9 @@ from lawgrain.session import staged, staging_area
 from lawgrain.sources import catalogue as G
 from lawgrain.sources import landing as L
 
+# Pending URIs whose attempts one task reduces, where there are shuffle partitions enough.
+URIS_A_TASK = 10_000
+
 
 @dataclass(frozen=True)
 class LandingTables:
@@ -87,9 +90,10 @@ def _outcomes(scope: DataFrame, tables: LandingTables, params: CrawlParams, run_
     partitioned by URI as the join with completed URIs wants them. What is left is
     stored. The attempt log is cut to it where it lies, but for few rows too many, and
     only then dealt out by URI, which its aggregates and the join with the listed URIs
-    share. It goes to all shuffle partitions: their rows are many times larger in a
-    sort than in an exchange, by whose bytes Spark would merge them. What hangs on the
-    folder (documents in store, folders that several URIs share) comes last.
+    share. The tasks are as many as the pending URIs ask for, up to the shuffle
+    partitions: rows are many times larger in a sort than in an exchange, by whose
+    bytes Spark would choose. What hangs on the folder (documents in store, folders that
+    several URIs share) comes last.
 
     Adds `first_item`, `n_items` (times listed) and `stored_from`: the item of
     this run that stored the document's folder first, where several URIs lead to
@@ -101,7 +105,9 @@ def _outcomes(scope: DataFrame, tables: LandingTables, params: CrawlParams, run_
     if params.resume and not params.reset:
         work = work.join(tables.completed.select("akn_uri"), "akn_uri", "left_anti")
     work = staged(work, "pending")
-    partitions = int(work.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = work.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, work.count() // URIS_A_TASK)
+    partitions = min(tasks, int(spark.conf.get("spark.sql.shuffle.partitions")))
     asked = likely_matches(tables.attempts, work, "akn_uri").repartition(partitions, "akn_uri")
     by_document = O.responses_by_document(O.final_responses(asked, spread=False), params)
     joined = S.with_paths(S.with_document_key(work.join(by_document, "akn_uri", "left"), params.base_path))
