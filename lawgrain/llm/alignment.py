@@ -18,6 +18,10 @@ Pair counts: a slice of texts is stored with its distinct pairs; these are summe
 slices, and each slice gets the sums of its pairs back. Nothing is broadcast but the
 greatest count of each B id (`PIECES` rows at most).
 
+Memory: a slice is encoded in parts (whole texts of `part_bytes`, or one text), and only a
+part's tokens are held, and only its texts taken out of the Arrow batch; the parts' distinct
+pairs are joined. Groups are rendered `BLOCK` at a time.
+
 Defined results: a NULL or empty text, and one whose tokens do not give its bytes back, has
 no tokens, links or groups, and its digest is `''`; a repeated row is a document of its own
 under the same id, which may have any type; ties for the greatest count all count; other
@@ -35,6 +39,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,6 +51,8 @@ from lawgrain.session import staged
 # Ids of B are below this; a pair is a * PIECES + b and fits 31 bits.
 PIECES = 1 << 15
 FAN = 16
+# Groups rendered at once.
+BLOCK = 1 << 16
 # Characters for which both libraries of side A share one idea of letters, digits and spaces.
 _UNUSUAL = re.compile("[^\t\n\r\x20-\x7e\xa0-ɏ‐-‧]")
 # A blank that starts a token on both sides.
@@ -60,6 +67,7 @@ class AlignParams:
     chunk_chars: int = 1 << 20
     max_context: int = 1 << 16  # a border without a cut so near moves to the next cut
     slice_bytes: int = 2 << 20
+    part_bytes: int = 1 << 18
 
 
 class Side:
@@ -105,12 +113,12 @@ class Encoders:
     def encode(self, units: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Ids of A over blank + unit and of B over the unit (it adds the blank)."""
         left = [
-            np.array(self.exact.encode(" " + u, add_special_tokens=False).ids, np.int64)
+            np.array(self.exact.encode(" " + u, add_special_tokens=False).ids, np.int32)
             if _UNUSUAL.search(u)
-            else self.plain.encode_to_numpy(" " + u, disallowed_special=()).astype(np.int64)
+            else self.plain.encode_to_numpy(" " + u, disallowed_special=()).astype(np.int32)
             for u in units
         ]
-        right = [np.array(ids, np.int64) for ids in self.model.encode(units, num_threads=1)] if units else []
+        right = [np.array(ids, np.int32) for ids in self.model.encode(units, num_threads=1)] if units else []
         return list(zip(left, right))
 
 
@@ -133,8 +141,18 @@ def render(a: np.ndarray, a_end: np.ndarray, b: np.ndarray, b_end: np.ndarray, s
 
     `shared` are the ascending common ends; both sides end at the last one.
     """
-    if not len(shared):
-        return np.zeros(0, np.uint8), np.zeros(0, np.int64)
+    texts, ends, size, from_a, from_b = [np.zeros(0, np.uint8)], [np.zeros(0, np.int64)], 0, 0, 0
+    for at in range(0, len(shared), BLOCK):
+        some = shared[at : at + BLOCK]
+        to_a, to_b = np.searchsorted(a_end, some[-1]) + 1, np.searchsorted(b_end, some[-1]) + 1
+        text, end = _render(a[from_a:to_a], a_end[from_a:to_a], b[from_b:to_b], b_end[from_b:to_b], some)
+        texts.append(text)
+        ends.append(end + size)
+        size, from_a, from_b = size + len(text), to_a, to_b
+    return np.concatenate(texts), np.concatenate(ends)
+
+
+def _render(a: np.ndarray, a_end: np.ndarray, b: np.ndarray, b_end: np.ndarray, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     flat, starts = _decimals()
     last_a, last_b = np.searchsorted(a_end, shared), np.searchsorted(b_end, shared)
     size_a, size_b = np.diff(last_a, prepend=-1), np.diff(last_b, prepend=-1)
@@ -210,6 +228,42 @@ def chunks(text: str, size: int, max_context: int) -> Iterator[tuple[int, str, i
         number, low, left = number + 1, high, begin
 
 
+def runs(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """(from, to) of runs that reach a limit with their last size; the last may not."""
+    at, total = 0, 0
+    for i, size in enumerate(sizes.tolist(), 1):
+        total += size
+        if total >= limit:
+            yield at, i
+            at, total = i, 0
+    if at < len(sizes):
+        yield at, len(sizes)
+
+
+@dataclass
+class Pairs:
+    """Distinct pairs of some units: `codes` with `counts` over all; those of unit i are
+    codes[pair], each `times`, of first_pair[i] up to first_pair[i + 1]."""
+
+    codes: np.ndarray
+    counts: np.ndarray
+    first_pair: np.ndarray
+    pair: np.ndarray
+    times: np.ndarray
+
+    @staticmethod
+    def joined(parts: list["Pairs"]) -> "Pairs":
+        codes, of = np.unique(np.concatenate([p.codes for p in parts]), return_inverse=True)
+        counts = np.zeros(len(codes), np.int64)
+        np.add.at(counts, of, np.concatenate([p.counts for p in parts]))
+        pair, first_pair, at, size = [], [np.zeros(1, np.int64)], 0, 0
+        for p in parts:
+            pair.append(of[at : at + len(p.codes)][p.pair])
+            first_pair.append(p.first_pair[1:] + size)
+            at, size = at + len(p.codes), size + len(p.pair)
+        return Pairs(codes, counts, np.concatenate(first_pair), np.concatenate(pair), np.concatenate([p.times for p in parts]))
+
+
 class Slice:
     """Tokens, links and groups of some units (of whole texts, or one range)."""
 
@@ -219,7 +273,7 @@ class Slice:
         self.valid = np.array(
             [bool(p) and tools.a.gives(a, p) and tools.b.gives(b, p) for p, (a, b) in zip(padded, tokens)], bool
         )
-        none = np.zeros(0, np.int64)
+        none = np.zeros(0, np.int32)
         kept = [t if ok else (none, none) for t, ok in zip(tokens, self.valid)]
         self.a = np.concatenate([a for a, _ in kept]) if kept else none
         self.b = np.concatenate([b for _, b in kept]) if kept else none
@@ -240,15 +294,15 @@ class Slice:
             inside = (ends > low) & (ends <= high)
             ends, next_a, next_b = ends[inside], next_a[inside], next_b[inside]
         code = (self.a[next_a] * PIECES + self.b[next_b]).astype(np.int32)
-        self.codes, of, self.counts = np.unique(code, return_inverse=True, return_counts=True)
+        codes, of, counts = np.unique(code, return_inverse=True, return_counts=True)
         unit = np.repeat(np.arange(len(units)), self.per_unit(ends))
-        pairs = unit * max(1, len(self.codes)) + of
-        pairs, self.times = np.unique(pairs, return_counts=True)
-        unit, self.pair = np.divmod(pairs, max(1, len(self.codes)))
-        # distinct pairs of unit i: first_pair[i] up to first_pair[i + 1]
-        self.first_pair = np.searchsorted(unit, np.arange(len(units) + 1))
-        self.n_links = np.add.reduceat(np.append(self.times, 0), self.first_pair[:-1]) if len(units) else none
-        self.n_links[np.diff(self.first_pair) == 0] = 0
+        pairs = unit * max(1, len(codes)) + of
+        pairs, times = np.unique(pairs, return_counts=True)
+        unit, pair = np.divmod(pairs, max(1, len(codes)))
+        first_pair = np.searchsorted(unit, np.arange(len(units) + 1))
+        self.pairs = Pairs(codes, counts, first_pair, pair, times)
+        self.n_links = np.add.reduceat(np.append(times, 0), first_pair[:-1]) if len(units) else none
+        self.n_links[np.diff(first_pair) == 0] = 0
 
     def per_unit(self, ends: np.ndarray) -> np.ndarray:
         return np.diff(np.searchsorted(ends, self.bound, "right"), prepend=0)
@@ -279,6 +333,7 @@ class Slice:
         return len(ids_a), len(ids_b), len(shared), closed, (ids_a[:fa], ids_b[:fb]), (ids_a[la:], ids_b[lb:])
 
 
+_INTS = "array<int>"
 _LONGS = "array<bigint>"
 _FRAGMENT = "prefix_a array<int>, prefix_b array<int>, closed boolean, suffix_a array<int>, suffix_b array<int>"
 
@@ -298,66 +353,63 @@ def _slices(rows: DataFrame, params: AlignParams) -> DataFrame:
     schema = T.StructType(
         [
             T.StructField("slice", T.LongType()),
-            *T._parse_datatype_string(f"codes {_LONGS}, counts {_LONGS}").fields,
+            *T._parse_datatype_string(f"codes {_INTS}, counts {_INTS}").fields,
             T.StructField("ids", T.ArrayType(rows.schema["doc_id"].dataType)),
             *T._parse_datatype_string(
                 f"n_a {_LONGS}, n_b {_LONGS}, n_groups {_LONGS}, n_links {_LONGS}, digest array<string>, "
-                f"first_pair {_LONGS}, pair {_LONGS}, times {_LONGS}, key bigint, chunk bigint, valid boolean, "
+                f"first_pair {_INTS}, pair {_INTS}, times {_INTS}, key bigint, chunk bigint, valid boolean, "
                 f"closed_text binary, {_FRAGMENT}"
             ).fields,
         ]
     )
-    sizes = (params.tokenizer, params.ranks, params.pieces)
-    limit = params.slice_bytes
+    files = (params.tokenizer, params.ranks, params.pieces)
+    limit, part = params.slice_bytes, params.part_bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tools = encoders(*sizes)
+        tools = encoders(*files)
         number = TaskContext.get().partitionId() << 33
 
-        def row(found: Slice, ids: pa.Array, numbers: list, digests: list, rest: list) -> pa.RecordBatch:
+        def row(found: Pairs, ids: pa.Array, numbers: list, digests: list, rest: list) -> pa.RecordBatch:
             nonlocal number
             one = [
                 pa.array([number], pa.int64()),
-                *[_lists(x.astype(np.int64), np.array([0, len(x)])) for x in (found.codes, found.counts)],
+                *[_lists(x.astype(np.int32), np.array([0, len(x)])) for x in (found.codes, found.counts)],
                 pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
                 *[_lists(np.asarray(x, np.int64), np.array([0, len(x)])) for x in numbers],
                 pa.array([digests], pa.list_(pa.string())),
-                *[_lists(x.astype(np.int64), np.array([0, len(x)])) for x in (found.first_pair, found.pair, found.times)],
+                *[_lists(x.astype(np.int32), np.array([0, len(x)])) for x in (found.first_pair, found.pair, found.times)],
             ]
             types = [pa.int64(), pa.int64(), pa.bool_(), pa.binary(), *[pa.list_(pa.int32())] * 2, pa.bool_(), *[pa.list_(pa.int32())] * 2]
             number += 1
             return pa.RecordBatch.from_arrays([*one, *[pa.array([v], t) for v, t in zip(rest, types)]], names=names)
 
-        def whole(ids: pa.Array, texts: list[str]) -> pa.RecordBatch:
-            found = Slice(texts, tools)
-            counts = [found.per_unit(found.a_end), found.per_unit(found.b_end), found.per_unit(found.shared), found.n_links]
-            return row(found, ids, counts, found.digests(), [None] * 9)
+        def whole(ids: pa.Array, texts: pa.Array, sizes: np.ndarray) -> pa.RecordBatch:
+            pairs, counts, digests = [], [], []
+            for low, high in runs(sizes, part):
+                found = Slice(texts.slice(low, high - low).to_pylist(), tools)
+                pairs.append(found.pairs)
+                counts.append([*[found.per_unit(x) for x in (found.a_end, found.b_end, found.shared)], found.n_links])
+                digests += found.digests()
+            return row(Pairs.joined(pairs), ids, [np.concatenate(x) for x in zip(*counts)], digests, [None] * 9)
 
         def one_range(ids: pa.Array, unit: str, key: int, chunk: int, low: int, high: int) -> pa.RecordBatch:
             found = Slice([unit], tools, low, high)
             n_a, n_b, n_groups, text, prefix, suffix = found.fragment(low, high)
             lists = [x.astype(np.int32) for x in (*prefix, *suffix)]
             rest = [key, chunk, bool(found.valid[0]), text, *lists[:2], n_groups > 0, *lists[2:]]
-            return row(found, ids, [[n_a], [n_b], [n_groups], found.n_links], [None], rest)
+            return row(found.pairs, ids, [[n_a], [n_b], [n_groups], found.n_links], [None], rest)
 
         for batch in batches:
-            ids = batch.column(0).cast(kind)
-            texts = batch.column(1).to_pylist()
+            ids, texts = batch.column(0).cast(kind), batch.column(1)
+            sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
             keys, chunk, low, high = (batch.column(i).to_pylist() for i in range(2, 6))
-            at, size = 0, 0
-            for i, text in enumerate(texts):
-                if keys[i] is not None:
-                    if at < i:
-                        yield whole(ids.slice(at, i - at), texts[at:i])
-                    yield one_range(ids.slice(i, 1), text, keys[i], chunk[i], low[i], high[i])
-                    at, size = i + 1, 0
-                    continue
-                size += len(text)
-                if size >= limit:
-                    yield whole(ids.slice(at, i + 1 - at), texts[at : i + 1])
-                    at, size = i + 1, 0
-            if at < len(texts):
-                yield whole(ids.slice(at), texts[at:])
+            at = 0
+            for i in [*[i for i, key in enumerate(keys) if key is not None], len(batch)]:
+                for x, y in runs(sizes[at:i], limit):
+                    yield whole(ids.slice(at + x, y - x), texts.slice(at + x, y - x), sizes[at + x : at + y])
+                if i < len(batch):
+                    yield one_range(ids.slice(i, 1), texts[i].as_py(), keys[i], chunk[i], low[i], high[i])
+                at = i + 1
 
     return rows.mapInArrow(run, schema)
 
@@ -478,7 +530,7 @@ def _with_sums(slices: DataFrame, kind: T.DataType) -> DataFrame:
         for batch in batches:
             for i in range(len(batch)):
                 first, pair, times = (flat(c, i) for c in ("first_pair", "pair", "times"))
-                totals, best = flat("totals", i).astype(np.int64), flat("bests", i).astype(bool)
+                times, totals, best = times.astype(np.int64), flat("totals", i).astype(np.int64), flat("bests", i).astype(bool)
                 sums = [
                     np.diff(np.concatenate(([0], np.cumsum(x)))[first])
                     for x in ((times * best[pair], times * totals[pair]) if len(pair) else (pair, pair))

@@ -1,9 +1,12 @@
 """Alignment of tokenizers against a plain version, whole and in ranges."""
 
 import hashlib
+import tracemalloc
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import types as T
 
 from lawgrain.llm import alignment as A, queries
 
@@ -148,3 +151,34 @@ def test_ids_of_any_type_repeats_and_clashing_columns(spark):
         one, two = (tuple(r) for r in got if r["doc_id"] == "x")
         assert one == two and one[1] > 0
     assert A.align(docs.where("false")).count() == 0
+
+
+def test_a_slice_holds_the_tokens_of_a_part_only(spark, monkeypatch):
+    class Task:
+        get = staticmethod(lambda: Task)
+        partitionId = staticmethod(lambda: 0)
+
+    class Rows:
+        schema = T.StructType.fromDDL("doc_id bigint, text string, key bigint, chunk bigint, low bigint, high bigint")
+        mapInArrow = staticmethod(lambda run, schema: run)
+
+    monkeypatch.setattr(A, "TaskContext", Task)
+    words = "The alignment of 12 tokens, grouped by their common ends; one after another. "
+    texts = [f"{i} " + words * 50 for i in range(500)]
+    long = words * 12_000
+    batch = pa.RecordBatch.from_arrays(
+        [
+            pa.array(range(501), pa.int64()),
+            pa.array([*texts, long]),
+            *[pa.array([None] * 500 + [v], pa.int64()) for v in (7, 0, 0, 1 + len(long))],
+        ],
+        names=Rows.schema.names,
+    )
+    list(A._slices(Rows, A.AlignParams())(iter([batch.slice(0, 1), batch.slice(500)])))  # tokenizers are loaded
+    for some, limit in ((batch.slice(0, 500), 40 << 20), (batch.slice(500), 45 << 20)):
+        tracemalloc.start()
+        rows = list(A._slices(Rows, A.AlignParams())(iter([some])))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert sum(len(r["ids"][0].values) for r in rows) == len(some)
+        assert peak < limit
