@@ -5,20 +5,30 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructType
 
 from lawgrain.params import COMPLETED_STATUSES
 from lawgrain.session import child_folders, path_exists, remove_path
 
 # A month: a URI not listed for so long is as new.
 EXPIRY_MS = 30 * 86_400_000
+# Parts of the state of `until_done`.
+BUCKETS = 1 << 13
 
 
 def until_done(
-    outcomes: DataFrame, expiry_ms: int = EXPIRY_MS, uri: str = "akn_uri", status: str = "status", order: str = "item_no"
+    outcomes: DataFrame,
+    expiry_ms: int = EXPIRY_MS,
+    uri: str = "akn_uri",
+    status: str = "status",
+    order: str = "item_no",
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """Streaming form of `in_run_dedup`: per URI the rows up to the first success or skip.
 
@@ -27,8 +37,14 @@ def until_done(
     URI seen in the last `expiry_ms` (processing time), whether it is done and when it was
     seen; the batches drop older ones. So the state is bounded by the URIs of that span, and a
     URI that was not listed for so long counts as new. `order` must be unique per URI; rows
-    are ordered by it within a micro-batch, and by arrival across them. Only the failures
-    of one URI in one micro-batch are held at once.
+    are ordered by it within a micro-batch, and by arrival across them.
+
+    URIs are dealt by their hash to `buckets`, and a bucket's URIs are worked off together:
+    a call of the function costs milliseconds, one for each URI would be nearly all of the
+    time. A bucket's state is one value, read and written whole when one of its URIs is
+    listed, and it goes when none was for `expiry_ms`. Of the rows of a bucket in one
+    micro-batch, those behind a completion are dropped as they come. A checkpoint goes with
+    its number of buckets, and with this form of the state.
 
     The state is passed to the tasks with the rows, and the function is sent to them whole:
     neither the driver nor a task starts a process that has to import this module.
@@ -37,37 +53,81 @@ def until_done(
     anything may expire, which `availableNow` would never end.
     """
     completing = tuple(COMPLETED_STATUSES)
+    uri_type = to_arrow_type(outcomes.schema[uri].dataType)
+    # pandas makes floats of a column of longs with a NULL: NULLs go beside it
+    longs = {f.name: f"{f.name} is null" for f in outcomes.schema if f.dataType == LongType() and f.name != uri}
+    no_order = longs.get(order)
+
+    def up_to_first(rows: pd.DataFrame) -> pd.DataFrame:
+        """Without the rows behind the first completion of their URI."""
+        complete = rows[status].isin(completing).to_numpy()
+        if not complete.any():
+            return rows
+        codes, _ = pd.factorize(rows[uri], use_na_sentinel=False)
+        usable = ~(rows[no_order] if no_order else rows[order].isna()).to_numpy(bool)
+        some = complete & usable
+        first = rows.loc[some, order].groupby(codes[some]).min()
+        at = first.index.get_indexer(codes)
+        keep = ~np.isin(codes, codes[complete])
+        known = usable & (at >= 0)
+        keep[known] = rows.loc[known, order].to_numpy() <= first.to_numpy()[at[known]]
+        return rows[keep]
 
     def up_to_first_done(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        now = state.getCurrentProcessingTimeMs()
-        done, last_seen = state.get if state.exists else (False, now)
-        # one listed again in the batch that would have removed it counts as new, too
-        done = bool(done) and last_seen + expiry_ms > now
-        first, kept = None, []
+        now = int(state.getCurrentProcessingTimeMs())
+        known, done, last_seen = pd.Index([], dtype=object), np.zeros(0, bool), np.zeros(0, np.int64)
+        if state.exists:
+            held = pa.ipc.open_stream(pa.py_buffer(state.get[0])).read_all()
+            last_seen = held["last_seen"].to_numpy()
+            # one listed again in the batch that would have removed it counts as new, too
+            fresh = last_seen + expiry_ms > now
+            known = pd.Index(held["uri"].to_pandas(), dtype=object)[fresh]
+            done, last_seen = held["done"].to_numpy()[fresh], last_seen[fresh]
+        listed, completed, kept, size, limit = [], [], [], 0, 1 << 16
         for frame in frames:
-            if done:
-                continue
-            complete = frame.loc[frame[status].isin(completing), order]
-            if len(complete):
-                first = complete.min() if first is None else min(first, complete.min())
-            # rows behind the first completion so far never count
-            kept.append(frame if first is None else frame[frame[order] <= first])
+            listed.append(pd.unique(frame[uri]))
+            frame = frame[~np.append(done, False)[known.get_indexer(frame[uri])]]
+            completed.append(pd.unique(frame.loc[frame[status].isin(completing), uri]))
+            kept.append(frame)
+            size += len(frame)
+            if size > limit:
+                kept = [up_to_first(pd.concat(kept))]
+                size, limit = len(kept[0]), max(limit, 2 * len(kept[0]))
+        rows = up_to_first(pd.concat(kept))
         # renewed whenever the URI is seen, gone when it was not for `expiry_ms`
-        state.update((bool(done or first is not None), int(now)))
+        listed = pd.unique(np.concatenate(listed))
+        at = known.get_indexer(listed)
+        known = known.append(pd.Index(listed[at < 0], dtype=object))
+        done = np.append(done, np.zeros(len(known) - len(done), bool))
+        done[known.get_indexer(np.concatenate(completed))] = True
+        last_seen[at[at >= 0]] = now
+        last_seen = np.append(last_seen, np.full(len(known) - len(last_seen), now))
+        columns = [pa.array(known, uri_type, from_pandas=True), pa.array(done), pa.array(last_seen, pa.int64())]
+        held = pa.RecordBatch.from_arrays(columns, names=["uri", "done", "last_seen"])
+        out = pa.BufferOutputStream()
+        with pa.ipc.new_stream(out, held.schema, options=pa.ipc.IpcWriteOptions(compression="lz4")) as writer:
+            writer.write_batch(held)
+        state.update((out.getvalue().to_pybytes(),))
         state.setTimeoutDuration(expiry_ms)
-        for frame in kept:
-            yield frame if first is None else frame[frame[order] <= first]
+        yield rows[names]
 
-    return outcomes.groupBy(uri).applyInPandasWithState(
+    sent = outcomes.select(
+        *[F.coalesce(F.col(f.name), F.lit(0)).alias(f.name) if f.name in longs else F.col(f.name) for f in outcomes.schema],
+        *[F.col(name).isNull().alias(null) for name, null in longs.items()],
+    )
+    names = sent.columns
+    bucket = F.pmod(F.xxhash64(uri), F.lit(buckets))
+    rows = sent.withColumn("bucket of the uri", bucket).groupBy("bucket of the uri").applyInPandasWithState(
         up_to_first_done,
-        outcomes.schema,
-        "done boolean, last_seen bigint",
+        sent.schema,
+        "seen binary",
         "append",
         GroupStateTimeout.ProcessingTimeTimeout,
     )
+    return rows.select(*[F.when(~F.col(longs[n]), F.col(n)).alias(n) if n in longs else n for n in outcomes.columns])
 
 
 @contextmanager

@@ -204,6 +204,80 @@ def test_the_function_kept_with_the_state_needs_no_module_of_ours(spark, tmp_pat
     subprocess.run([sys.executable, "-c", code], check=True, cwd=tmp_path, env=elsewhere)
 
 
+def test_the_uris_of_a_bucket_are_worked_off_together(spark, tmp_path):
+    from lawgrain.streaming import state as T
+
+    schema = "item_no long, akn_uri string, status string, size long"
+    uris = [None, "", *[f"u{i}" for i in range(300)]]
+    lines, number = [], 2**60  # no float holds these
+    for batch in range(3):
+        for i, uri in enumerate(uris):
+            for again in range(1 + i % 3):
+                number += 1
+                status = "success" if (i + again) % 5 < batch else "error"
+                lines.append((batch, number, uri, status, None if i % 4 == 0 else number))
+    want, done = [], set()
+    for batch, *line in lines:
+        if line[1] not in done:
+            want.append(tuple(line))
+            done |= {line[1]} if line[2] == "success" else set()
+    assert 0 < len(want) < len(lines)
+    source, table = f"{tmp_path}/outcomes", f"{tmp_path}/kept"
+    for batch in range(3):
+        some = [line[1:] for line in lines if line[0] == batch]
+        spark.createDataFrame(some[::-1], schema).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).parquet(source)
+        query = J.append_to_table(T.until_done(stream, 10**9, buckets=3), table, f"{tmp_path}/checkpoint")
+        query.awaitTermination()
+        (state,) = query.recentProgress[-1].stateOperators
+        query.stop()
+        assert state.numRowsTotal == 3
+    kept = spark.read.parquet(table)
+    assert kept.columns == ["item_no", "akn_uri", "status", "size"]
+    assert sorted(map(tuple, kept.collect()), key=lambda r: r[0]) == want
+
+
+def test_a_bucket_keeps_its_uris_apart(spark, tmp_path, monkeypatch):
+    import pandas as pd
+    from pyspark.sql import GroupedData
+
+    class State:
+        hasTimedOut, exists, now = False, False, 0
+        getCurrentProcessingTimeMs = property(lambda self: lambda: self.now)
+
+        def update(self, value):
+            self.get, self.exists = value, True
+
+        def setTimeoutDuration(self, ms):
+            pass
+
+    sent = []
+    real = GroupedData.applyInPandasWithState
+    monkeypatch.setattr(GroupedData, "applyInPandasWithState", lambda self, f, *rest: sent.append(f) or real(self, f, *rest))
+    schema = "item_no long, akn_uri string, status string"
+    spark.createDataFrame([(1, "u", "error")], schema).write.parquet(str(tmp_path / "outcomes"))
+    stream = spark.readStream.schema(schema).parquet(str(tmp_path / "outcomes"))
+    J.stream_until_done(stream, spark.createDataFrame([("gone",)], "akn_uri string"), 100)
+    state = State()
+
+    def kept(now, *frames):
+        state.now = now
+        tables = [pd.DataFrame(lines, columns=["item_no", "akn_uri", "status"]).assign(**{"item_no is null": False}) for lines in frames]
+        out = pd.concat(sent[0]((7,), iter(tables), state))
+        return sorted(zip(out["item_no"], out["akn_uri"], out["status"]))
+
+    assert kept(0, [(1, "u", "success"), (2, "v", "success"), (3, "w", "error")]) == [
+        (1, "u", "success"), (2, "v", "success"), (3, "w", "error"),
+    ]
+    assert kept(99, [(4, "v", "success"), (5, "w", "error")]) == [(5, "w", "error")]
+    # u was not listed for 100 ms, v was
+    assert kept(101, [(6, "u", "error"), (7, "v", "error"), (8, "w", "success")]) == [(6, "u", "error"), (8, "w", "success")]
+    # many frames: the least completion counts wherever it comes
+    frames = [[(10 * n + i, f"x{i}", "success" if n % 7 == 0 else "error") for i in range(10)] for n in range(20_000, 100, -1)]
+    joined = [sum(frames[k : k + 1000], []) for k in range(0, len(frames), 1000)]
+    assert kept(102, *joined) == sorted(line for frame in frames[-5:] for line in frame)
+
+
 def test_failing_uris_are_kept_in_spark_s_own_state_store(spark, tmp_path):
     key = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(key)
